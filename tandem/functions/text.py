@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -31,6 +33,7 @@ _SINGLE_QUOTES = "\u02BC\u2018-\u201B"
 _DOUBLE_QUOTES = "\u201C-\u201F"
 _CONTROLS = "\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\u206A-\u206F\uFEFF\uFFF9-\uFFFC"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 _MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
 # One scan decides whether a text needs any repair at all.
 _NEEDS_REPAIR = (
@@ -46,9 +49,14 @@ def _code_point(number: Column) -> Column:
     return F.decode(utf32, "UTF-32")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unescape_entities(text: Column) -> Column:
     """Resolve HTML character references once, left to right; unknown ones stay as they are."""
-    names = F.create_map(*(F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))))
+    names = F.from_json(F.lit(_ENTITY_NAMES), "map<string, string>")
 
     def resolve(entity: Column) -> Column:
         body = F.substring(entity, 2, F.length(entity) - 2)
@@ -67,17 +75,19 @@ def unescape_entities(text: Column) -> Column:
 
 def _undo_mojibake(text: Column) -> Column:
     """Re-read as UTF-8 a text that was decoded as Windows-1252, when that gives valid UTF-8."""
-    codes = F.translate(text, _C1_SHOWN, _C1_CODES)
-    latin = ~codes.rlike("[^\\x00-\\xFF]") & codes.rlike("[\\x80-\\xFF]")
-    raw = F.encode(F.regexp_replace(codes, "[^\\x00-\\xFF]", "?"), "ISO-8859-1")
-    reread = F.try_validate_utf8(raw.cast("string"))
-    return F.coalesce(F.when(latin, reread), text)
+
+    def reread(codes: Column) -> Column:
+        latin = ~codes.rlike("[^\\x00-\\xFF]") & codes.rlike("[\\x80-\\xFF]")
+        raw = F.encode(F.regexp_replace(codes, "[^\\x00-\\xFF]", "?"), "ISO-8859-1")
+        return F.when(latin, F.try_validate_utf8(raw.cast("string")))
+
+    return F.coalesce(let(F.translate(text, _C1_SHOWN, _C1_CODES), reread), text)
 
 
 def _repaired(text: Column) -> Column:
     # A text with markup keeps its entities: they are part of the markup.
-    text = F.when(text.contains("<"), text).otherwise(unescape_entities(text))
-    text = F.translate(_undo_mojibake(text), _C1_CODES, _C1_SHOWN)
+    text = let(text, lambda t: F.when(t.contains("<"), t).otherwise(unescape_entities(t)))
+    text = F.translate(let(text, _undo_mojibake), _C1_CODES, _C1_SHOWN)
     for ligature, letters in _LIGATURES.items():
         text = F.replace(text, F.lit(ligature), F.lit(letters))
     text = F.translate(text, _FULLWIDTH, _HALFWIDTH)
@@ -93,7 +103,7 @@ def repair_text(text: Column) -> Column:
 
     Texts that need nothing pass after one scan, and every step is a native expression.
     """
-    return F.when(text.rlike(_NEEDS_REPAIR), _repaired(text)).otherwise(text)
+    return F.when(text.rlike(_NEEDS_REPAIR), let(text, _repaired)).otherwise(text)
 
 
 def clean_text(text: Column, repair: bool = True) -> Column:

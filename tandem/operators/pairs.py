@@ -11,7 +11,14 @@ from tandem.settings import DIRECTIONS, Rules
 
 
 def clean_pairs(pairs: DataFrame, repair: bool = True) -> DataFrame:
-    return pairs.withColumns({side: clean_text(F.col(side), repair) for side in ("en", "es")})
+    """Both sides cleaned.
+
+    The one-element `inline` keeps the optimizer from copying the cleaning into every later filter
+    and projection that uses a side: it runs once per text.
+    """
+    others = [name for name in pairs.columns if name not in ("en", "es")]
+    cleaned = F.struct(*(clean_text(F.col(side), repair).alias(side) for side in ("en", "es")))
+    return pairs.select(*others, F.inline(F.array(cleaned)))
 
 
 def nonempty_pairs(pairs: DataFrame) -> DataFrame:

@@ -121,18 +121,15 @@ def schema_report(profile: DataFrame) -> DataFrame:
 
 def schema_check(records: DataFrame, schema: DataFrame) -> DataFrame:
     """Each record against a schema report: missing field, unseen value, length out of range."""
-    limits = schema.select("required_fields", "valid_domains", "valid_directions", "input_len_stats")
-    missing = [F.when(F.col(name).isNull() | (F.col(name) == ""), F.lit(name)) for name in RECORD_FIELDS]
-    flagged = records.join(F.broadcast(limits.limit(1))).select(
-        *records.columns,
-        (F.size(F.array_intersect("required_fields", F.array_compact(F.array(*missing)))) > 0).alias("missing_field"),
-        ~F.coalesce(F.array_contains("valid_domains", F.coalesce("domain", F.lit(""))), F.lit(False)).alias(
-            "unseen_domain"
-        ),
-        ~F.coalesce(F.array_contains("valid_directions", F.coalesce("direction", F.lit(""))), F.lit(False)).alias(
-            "unseen_direction"
-        ),
+    names = records.columns
+    limits = schema.select("required_fields", "valid_domains", "valid_directions", "input_len_stats").limit(1)
+    missing = [F.when(is_empty(F.col(name)), F.lit(name)) for name in RECORD_FIELDS]
+    domain, direction = (F.coalesce(F.col(name), F.lit("")) for name in ("domain", "direction"))
+    # One row of limits.
+    return records.join(F.broadcast(limits)).select(
+        *names,
+        F.arrays_overlap("required_fields", F.array_compact(F.array(*missing))).alias("missing_field"),
+        (~F.array_contains("valid_domains", domain)).alias("unseen_domain"),
+        (~F.array_contains("valid_directions", direction)).alias("unseen_direction"),
         (~F.col("n_in").between(F.col("input_len_stats.min"), F.col("input_len_stats.max"))).alias("length_out_of_range"),
     )
-    flags = ("missing_field", "unseen_domain", "unseen_direction", "length_out_of_range")
-    return flagged.withColumn("conforms", ~F.greatest(*flags))

@@ -203,8 +203,13 @@ def bias_report(rounded: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
     per_score = (
         scores.groupBy("slice")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "deviation")))).alias("scores"))
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("slice", "scores")))).alias("bias_scores"))
+        .agg(F.array_sort(F.collect_list(F.struct("metric", "deviation"))).alias("scores"))
+        .agg(F.array_sort(F.collect_list(F.struct("slice", "scores"))).alias("scores"))
+        .select(
+            F.map_from_entries(
+                F.transform("scores", lambda s: F.struct(s["slice"], F.map_from_entries(s["scores"])))
+            ).alias("bias_scores")
+        )
     )
     flag = F.struct(F.array_position(order, F.col("slice")).alias("rank"), "slice", "count", "issues", "summary")
     flags = bias_flags(scores).agg(F.array_sort(F.collect_list(flag)).alias("flags"))

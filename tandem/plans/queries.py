@@ -288,8 +288,8 @@ def table_fingerprint(spark, sf):
 
 @query(
     "repair_text",
-    r"""select page_id, replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'),
-        '&copy;', '©'), '&quot;', '"'), '&amp;', '&') "text" from pages""",
+    r"""select page_id, replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'),
+        '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&amp;', '&') "text" from pages""",
 )
 def repair_text(spark, sf):
     bare = F.regexp_replace("html", "<[^>]*>", " ")
@@ -932,7 +932,7 @@ def approval_gate(spark, sf):
     bleu_sql("""select b.slice, b."count", round(l.mean, 6) avg_input_len, case when b."count" >= 2 or b.slice = 'overall'
           then round_even(bleu, 2) end bleu,
         case when b.slice <> 'overall' then round_even(abs(l.mean - o.mean) / greatest(o.mean, 1.0), 3) end bias_dev,
-        case when b.slice in ('short_sents', 'long_sents') then 2.0 when b.slice <> 'overall' then 0.5 end cap,
+        case when b.slice in ('short_sents', 'long_sents') then 2.0::double when b.slice <> 'overall' then 0.5::double end cap,
         case when b.slice = 'overall' then round_even(bleu, 2) >= 0.0
           else round_even(abs(l.mean - o.mean) / greatest(o.mean, 1.0), 3)
             < case when b.slice in ('short_sents', 'long_sents') then 2.0 else 0.5 end end passed
@@ -1069,7 +1069,7 @@ def transcript_export(spark, sf):
           window w as (partition by user_id order by ts)),
         s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) no from g)
     select user_id "user", min(ts) "start", max(ts) "end", count(*) "events",
-        round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) seconds from s group by user_id, no""",
+        round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) "seconds" from s group by user_id, no""",
 )
 def session_summary(spark, sf):
     return rounded(sessions.session_summary(fx.table(spark, sf, "events"), "user_id", "ts"))
@@ -1079,17 +1079,17 @@ def session_summary(spark, sf):
 
 
 def _stub_model():
-    return lambda prompts: [f" {prompt.upper()} " for prompt in prompts]
+    return lambda prompts: [f" [{prompt}] " for prompt in prompts]
 
 
 @query(
     "batch_translate",
-    sql("""select doc_id, pair_no, direction, upper('### Instruction:' || chr(10) || instruction || chr(10) || chr(10)
-        || '### Input:' || chr(10) || "input" || chr(10) || chr(10) || '### Response:') translated
+    sql("""select doc_id, pair_no, direction, '[### Instruction:' || chr(10) || instruction || chr(10) || chr(10)
+        || '### Input:' || chr(10) || "input" || chr(10) || chr(10) || '### Response:' || chr(10) || ']' translated
         from test"""),
 )
 def batch_translate(spark, sf):
-    """A stand-in model that answers in capitals."""
+    """A stand-in model that answers with the prompt in brackets."""
     test = fx.test_split(spark, sf)
     prompts = test.select(*fx.ROW_ID, rec.render_prompt(F.col("instruction"), F.col("input")).alias("prompt"))
     return translate.batch_translate(prompts, _stub_model).select(*fx.ROW_ID, "translated")
