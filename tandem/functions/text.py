@@ -9,9 +9,9 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The 29 whitespace code points of a Unicode-aware split, as a Java character class.
-SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
-WORD = r"[^\s\x0B\x1C-\x1F\x85\p{Z}]+"
+# The 29 whitespace code points of a Unicode-aware split, and a token, as Java patterns.
+SPACE = r"(?U:[\s\x1C-\x1F])"
+WORD = r"(?U:[^\s\x1C-\x1F])+"
 
 # Windows-1252 shows these 27 characters where Latin-1 has the control codes 0x80-0x9F.
 _CP1252 = [
@@ -35,7 +35,11 @@ _CONTROLS = "\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\u206A-\u206F\uFEFF\uFFF9-\uFFFC"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 _MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
-# One scan decides whether a text needs any repair at all.
+# Two scans decide whether a text needs any repair: a cheap one over few ranges, which nearly all texts
+# end at, and the exact one.
+_MAY_NEED_REPAIR = (
+    "[&\\x00-\\x08\\x0B\\x0D-\\x1F\\x7F-\\x9F\u0132-\uFFFF]|[\u00C2-\u00F4][\u0080-\u00BF]"
+)
 _NEEDS_REPAIR = (
     f"{_ENTITY}|{_MOJIBAKE}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
     f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000]"
@@ -101,9 +105,10 @@ def _repaired(text: Column) -> Column:
 def repair_text(text: Column) -> Column:
     """Entities, mojibake, ligatures, fullwidth forms, curly quotes, line breaks, control codes.
 
-    Texts that need nothing pass after one scan, and every step is a native expression.
+    Texts that need nothing pass after a scan, and every step is a native expression.
     """
-    return F.when(text.rlike(_NEEDS_REPAIR), let(text, _repaired)).otherwise(text)
+    needed = text.rlike(_MAY_NEED_REPAIR) & text.rlike(_NEEDS_REPAIR)
+    return F.when(needed, let(text, _repaired)).otherwise(text)
 
 
 def clean_text(text: Column, repair: bool = True) -> Column:

@@ -9,7 +9,8 @@ from tandem.functions.records import content_hash, default_fields, mirror_key
 from tandem.settings import Rules
 from tandem.workspace import settle
 
-STRATA = ["stratum"]
+# Cut tables up to this many rows (two per stratum) are broadcast, larger ones are joined by a shuffle.
+MAX_BROADCAST_ROWS = 100_000
 # Key prefixes by which a cut point is narrowed down: a 4096th of the content hash, then the content
 # with a 4096th of its copies, then the row itself.
 _STEPS = (3, 35, 64)
@@ -34,6 +35,15 @@ def split_sizes(size: Column, ratios: tuple[float, float, float]) -> tuple[Colum
     return train, F.when(size >= 3, F.greatest(val, train + 1)).otherwise(val)
 
 
+def _cut_rows(counts: DataFrame) -> DataFrame:
+    """Of the counted prefixes, the one that holds each cut point; `before` rows come before it."""
+    until = Window.partitionBy("stratum", "cut").orderBy("prefix")
+    upto = F.col("before") + F.sum("n").over(until)
+    located = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
+    inside = (F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto"))
+    return located.where(inside).select("stratum", "cut", "target", "prefix", "before")
+
+
 def split_cuts(keyed: DataFrame, ratios: tuple[float, float, float]) -> DataFrame:
     """Per stratum, the shuffle keys of the last train row and of the last val row.
 
@@ -41,38 +51,40 @@ def split_cuts(keyed: DataFrame, ratios: tuple[float, float, float]) -> DataFram
     only rows with that prefix are counted further. Each step keeps at most two rows per stratum, so
     strata and groups of copies of any size are spread over all tasks.
     """
-    narrow = keyed.select(*STRATA, "shuffle_key")
-    size = F.sum("n").over(Window.partitionBy(*STRATA))
-    cuts = None
-    for step in _STEPS:
-        prefix = F.substring("shuffle_key", 1, step)
-        if cuts is None:
-            train_end, val_end = split_sizes(F.col("size"), ratios)
-            ends = F.array(
-                F.struct(F.lit("train").alias("cut"), train_end.alias("target")),
-                F.struct(F.lit("val").alias("cut"), val_end.alias("target")),
-            )
-            counts = (
-                narrow.groupBy(*STRATA, prefix.alias("prefix"))
-                .agg(F.count("*").alias("n"))
-                .withColumn("size", size)
-                .select(*STRATA, "prefix", "n", F.lit(0).cast("bigint").alias("before"), F.inline(ends))
-            )
-        else:
-            near = narrow.withColumn("near", F.substring("shuffle_key", 1, previous))
-            counts = (
-                near.join(cuts.withColumnRenamed("prefix", "near"), [*STRATA, "near"])
-                .groupBy(*STRATA, "cut", "target", "before", prefix.alias("prefix"))
-                .agg(F.count("*").alias("n"))
-            )
-        until = Window.partitionBy(*STRATA, "cut").orderBy("prefix")
-        located = counts.withColumn("upto", F.col("before") + F.sum("n").over(until))
-        cuts = located.where((F.col("target") <= F.col("upto")) & (F.col("target") > F.col("upto") - F.col("n")))
-        cuts = cuts.select(*STRATA, "cut", "target", "prefix", (F.col("upto") - F.col("n")).alias("before"))
-        cuts = settle(cuts, f"split-cuts-{step}")
-        previous = step
+    narrow = keyed.select("stratum", "shuffle_key")
+
+    def prefix(step: int) -> Column:
+        return F.substring("shuffle_key", 1, step)
+
+    train_end, val_end = split_sizes(F.col("size"), ratios)
+    ends = F.array(
+        F.struct(F.lit("train").alias("cut"), train_end.alias("target")),
+        F.struct(F.lit("val").alias("cut"), val_end.alias("target")),
+    )
+    counts = (
+        narrow.groupBy("stratum", prefix(_STEPS[0]).alias("prefix"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("size", F.sum("n").over(Window.partitionBy("stratum")))
+        .select("stratum", "prefix", "n", F.lit(0).cast("bigint").alias("before"), F.inline(ends))
+    )
+    cuts = settle(_cut_rows(counts), "split-cuts")
+    # Later steps have no more rows than this one, so its size decides whether they may be broadcast.
+    small = cuts.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    for known, step in zip(_STEPS, _STEPS[1:]):
+        near = _broadcast_if(small, cuts.withColumnRenamed("prefix", "near"))
+        counts = (
+            narrow.withColumn("near", prefix(known))
+            .join(near, ["stratum", "near"])
+            .groupBy("stratum", "cut", "target", "before", prefix(step).alias("prefix"))
+            .agg(F.count("*").alias("n"))
+        )
+        cuts = _cut_rows(counts)
     last = [F.max(F.when(F.col("cut") == cut, F.col("prefix"))).alias(f"last_{cut}") for cut in ("train", "val")]
-    return cuts.groupBy(*STRATA).agg(*last)
+    return _broadcast_if(small, cuts.groupBy("stratum").agg(*last))
+
+
+def _broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def stratified_split(records: DataFrame, row_id: list[str], rules: Rules = Rules()) -> DataFrame:
@@ -83,13 +95,13 @@ def stratified_split(records: DataFrame, row_id: list[str], rules: Rules = Rules
     if abs(sum(rules.ratios) - 1.0) > 1e-6:
         raise ValueError("Split ratios must sum to 1.")
     keyed = with_shuffle_key(records, row_id, rules.seed).withColumn("stratum", stratum())
-    cuts = settle(split_cuts(keyed, rules.ratios), "split-cuts")
+    cuts = split_cuts(keyed, rules.ratios)
     split = (
         F.when(F.col("shuffle_key") <= F.col("last_train"), "train")
         .when(F.col("shuffle_key") <= F.col("last_val"), "val")
         .otherwise("test")
     )
-    return keyed.join(cuts, STRATA, "left").withColumn("split", split).drop("stratum", "last_train", "last_val")
+    return keyed.join(cuts, "stratum", "left").withColumn("split", split).drop("stratum", "last_train", "last_val")
 
 
 def shuffle_rows(splits: DataFrame) -> DataFrame:

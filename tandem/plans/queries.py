@@ -964,14 +964,14 @@ def schema_check(spark, sf):
 
 
 _WINDOWS = """select date_trunc('hour', "timestamp") window_start, direction, "domain", count(*) n,
-    round(avg(latency_ms), 6) latency_mean, round(avg(input_len), 6) input_len_mean, round(avg(output_len), 6) output_len_mean,
-    round(sum(output_len) / greatest(sum(input_len), 1), 6) out_in_ratio, round(quantile_disc(latency_ms, 0.95), 6) latency_p95
+    round(avg(latency_ms), 9) latency_mean, round(avg(input_len), 9) input_len_mean, round(avg(output_len), 9) output_len_mean,
+    round(sum(output_len) / greatest(sum(input_len), 1), 9) out_in_ratio, round(quantile_disc(latency_ms, 0.95), 9) latency_p95
     from log group by all"""
 
 
 @query("monitor_window", _LOG_SQL + _WINDOWS)
 def monitor_window(spark, sf):
-    return rounded(monitor.monitor_window(fx.request_log(spark, sf)))
+    return rounded(monitor.monitor_window(fx.request_log(spark, sf)), 9)
 
 
 @query("stream_monitor_window", _LOG_SQL + _WINDOWS)
@@ -979,7 +979,7 @@ def stream_monitor_window(spark, sf):
     stream = jobs.read_files(spark, sf, fx.table(spark, sf, "events").schema, "events.parquet")
     out = fresh_path(spark, "monitor")
     jobs.stream_monitor(fx.as_request_log(stream), out).awaitTermination()
-    return rounded(jobs.read_monitor(spark, out))
+    return rounded(jobs.read_monitor(spark, out), 9)
 
 
 @query(
