@@ -71,7 +71,7 @@ def transcript_export(lines: DataFrame, page_lines: int = 1000) -> DataFrame:
     )
 
 
-def session_summary(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800, block: str = "day") -> DataFrame:
+def session_summary(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800, block: str = "hour") -> DataFrame:
     """Sessions per user: a pause of at least the gap starts a new one.
 
     First sessions within (user, block of time), then only the first and last of each block are

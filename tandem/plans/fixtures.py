@@ -31,7 +31,7 @@ def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
     lines = documents.select("doc_id", "source", "lang", source_no.alias("n"), F.split("text", "\n").alias("lines"))
     pair = F.explode(
         F.transform(
-            F.sequence(F.lit(0), F.floor(F.size("lines") / 2).cast("int") - 1),
+            F.when(F.size("lines") >= 2, F.sequence(F.lit(0), F.floor(F.size("lines") / 2).cast("int") - 1)),
             lambda k: F.struct(
                 k.cast("bigint").alias("pair_no"),
                 F.get("lines", 2 * k).alias("en"),
@@ -40,7 +40,7 @@ def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     first = F.col("n") < 10
-    return lines.where(F.size("lines") >= 2).select(
+    return lines.select(
         "doc_id",
         "source",
         "lang",
