@@ -37,9 +37,7 @@ _ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.ite
 _MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
 # Two scans decide whether a text needs any repair: a cheap one over few ranges, which nearly all texts
 # end at, and the exact one.
-_MAY_NEED_REPAIR = (
-    "[&\\x00-\\x08\\x0B\\x0D-\\x1F\\x7F-\\x9F\u0132-\uFFFF]|[\u00C2-\u00F4][\u0080-\u00BF]"
-)
+_MAY_NEED_REPAIR = "[&\\x00-\\x1F\\x7F-\\xA0\u0132-\uFFFF]|[\u00C2-\u00F4][\u0080-\u00BF]"
 _NEEDS_REPAIR = (
     f"{_ENTITY}|{_MOJIBAKE}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
     f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000]"
@@ -112,10 +110,12 @@ def repair_text(text: Column) -> Column:
 
 
 def clean_text(text: Column, repair: bool = True) -> Column:
-    """Repair, collapse whitespace runs to one space, trim."""
-    if repair:
-        text = repair_text(text)
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    """Repair, collapse whitespace runs to one space, trim. Texts that are clean already pass after one scan."""
+    repaired = repair_text(text) if repair else text
+    cleaned = F.trim(F.regexp_replace(repaired, SPACE + "+", " "))
+    # Besides the plain space, all whitespace is among the characters that may need repair.
+    spaced = text.startswith(" ") | text.endswith(" ") | text.contains("  ")
+    return F.when(spaced | text.rlike(_MAY_NEED_REPAIR), cleaned).otherwise(text)
 
 
 def token_count(text: Column) -> Column:
