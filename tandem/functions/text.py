@@ -35,9 +35,9 @@ _CONTROLS = "\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\u206A-\u206F\uFEFF\uFFF9-\uFFFC"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 _MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
-# Two scans decide whether a text needs any repair: a cheap one over few ranges, which nearly all texts
-# end at, and the exact one.
-_MAY_NEED_REPAIR = "[&\\x00-\\x1F\\x7F-\\xA0\u0132-\uFFFF]|[\u00C2-\u00F4][\u0080-\u00BF]"
+# Two scans decide whether a text needs any repair: a cheap one for a single class of few ranges, which
+# nearly all texts end at, and the exact one. The class holds a part of everything that can be repaired.
+_MAY_NEED_REPAIR = "[&\\x00-\\x1F\\x7F-\\xBF\u0132-\uFFFF]"
 _NEEDS_REPAIR = (
     f"{_ENTITY}|{_MOJIBAKE}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
     f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000]"

@@ -18,7 +18,7 @@ def clean_pairs(pairs: DataFrame, repair: bool = True) -> DataFrame:
     """
     others = [name for name in pairs.columns if name not in ("en", "es")]
     cleaned = F.struct(*(clean_text(F.col(side), repair).alias(side) for side in ("en", "es")))
-    return pairs.select(*others, F.inline(F.array(cleaned)))
+    return pairs.select(*others, cleaned.alias("_sides")).select(*others, F.inline(F.array("_sides")))
 
 
 def nonempty_pairs(pairs: DataFrame) -> DataFrame:
@@ -26,8 +26,9 @@ def nonempty_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def with_pair_lengths(pairs: DataFrame) -> DataFrame:
-    """Token counts of cleaned pairs."""
-    return pairs.withColumns({"n_en": clean_token_count(F.col("en")), "n_es": clean_token_count(F.col("es"))})
+    """Token counts of cleaned pairs, counted once (see `clean_pairs`) for all rules that use them."""
+    counts = F.struct(clean_token_count(F.col("en")).alias("n_en"), clean_token_count(F.col("es")).alias("n_es"))
+    return pairs.select("*", F.inline(F.array(counts)))
 
 
 def _bounds(rules: Rules) -> tuple[Column, Column, Column]:
