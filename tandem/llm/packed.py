@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PER_BUCKET = 6_000_000
-FLUSH = 2_000_000
+PER_BUCKET = 3_000_000
+FLUSH = 1_500_000
 BLOCKS = "bucket int, block binary"
 
 

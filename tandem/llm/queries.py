@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import quality, tokens, urls
+from tandem.llm import jaccard, quality, substrings, tokens, urls
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,14 @@ select page_id, host, path, rule, coalesce(v, 'allow') as verdict from hosts lef
 def op10_url_filters(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     return urls.judge_urls(pages, urls.standard_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_ngram_jaccard")
+def op1_ngram_jaccard(spark, sf):
+    return jaccard.similar_documents(documents(spark, sf))
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark, sf):
+    stripped = substrings.remove_repeats(documents(spark, sf))
+    return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
