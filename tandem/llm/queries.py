@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import jaccard, quality, substrings, tokens, urls
+from tandem.llm import decontaminate, jaccard, quality, substrings, tokens, urls
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,14 @@ def op1_ngram_jaccard(spark, sf):
 def op8_substring_dedup(spark, sf):
     stripped = substrings.remove_repeats(documents(spark, sf))
     return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf):
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    found = decontaminate.find_passages(documents(spark, sf), benchmark, ("doc_id",))
+    region = F.transform("regions", lambda r: F.concat_ws(":", r["item_id"], r["start"], r["end"], r["edits"]))
+    items = F.array_distinct(F.transform("regions", lambda r: r["item_id"]))
+    return found.select(
+        "doc_id", (F.size("regions") > 0).alias("contaminated"), F.size(items).cast("bigint").alias("n_items"), F.array_join(region, ",").alias("regions")
+    )
