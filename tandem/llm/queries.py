@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, quality, substrings, tokens, urls
+from tandem.llm import decontaminate, jaccard, pii, quality, substrings, tokens, urls
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,13 @@ def op4_decontamination(spark, sf):
     return found.select(
         "doc_id", (F.size("regions") > 0).alias("contaminated"), F.size(items).cast("bigint").alias("n_items"), F.array_join(region, ",").alias("regions")
     )
+
+
+@query("op5_personal_data")
+def op5_personal_data(spark, sf):
+    docs = documents(spark, sf)
+    found = pii.find(docs, pii.train(pii.label_sample(docs)), ("doc_id",))
+    base = F.filter("spans", lambda s: s["base"])
+    digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(digest(base), 256).alias("base_sha256"), digest("spans").alias("spans"))
