@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, pii, quality, substrings, tokens, urls
+from tandem.llm import decontaminate, jaccard, pii, quality, substrings, tokens, urls, warc
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,23 @@ def op5_personal_data(spark, sf):
     digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(digest(base), 256).alias("base_sha256"), digest("spans").alias("spans"))
+
+
+OP3 = """
+with pages_ as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), best as (
+  select payload_digest, max(page_id) as original from pages_ where payload_bytes >= 1000 group by 1
+)
+select page_id, payload_bytes, payload_digest, case when original > page_id then 'revisit' else 'response' end as record_type,
+       case when original > page_id then original end as refers_to
+from pages_ left join best using (payload_digest)
+"""
+
+
+@query("op3_warc_revisits", OP3)
+def op3_warc_revisits(spark, sf):
+    plain, fresh = fresh_path(spark, "warc"), fresh_path(spark, "warc-fresh")
+    warc.write_archives(warc.as_responses(spark.read.parquet(f"{sf}/pages.parquet")), plain)
+    warc.deduplicate(spark, plain, fresh)
+    return warc.read_archives(spark, fresh, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
