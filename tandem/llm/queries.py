@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, pii, quality, substrings, tokens, urls, warc
+from tandem.llm import decontaminate, jaccard, lm, pii, quality, substrings, tokens, urls, warc
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ def op3_warc_revisits(spark, sf):
     warc.write_archives(warc.as_responses(spark.read.parquet(f"{sf}/pages.parquet")), plain)
     warc.deduplicate(spark, plain, fresh)
     return warc.read_archives(spark, fresh, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark, sf):
+    return lm.score_documents(documents(spark, sf))
