@@ -46,7 +46,7 @@ def measures(limits: Limits) -> dict[str, Column]:
 
 def text_counts(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """Counts of every whole text beside the columns `keep`."""
-    kinds = [f for f in docs.select(*keep).schema]
+    kinds = list(docs.select(*keep).schema)
 
     def count(batches):
         hashes = WordHashes()
@@ -132,14 +132,29 @@ def fences(sketch: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), limits: Limits = Limits()) -> DataFrame:
     """Counts, `base_failed` and `kept` of each document, beside the columns `keep`.
 
-    Null text counts as empty and fails for want of words. Null languages and sources form groups of their own.
-    Repeated rows are judged one by one; an empty table gives an empty one.
+    `docs` has `lang`, `source`, `text` and the columns to keep. Null text counts as empty and fails for want of words.
+    Null languages and sources form groups of their own. Repeated rows are judged one by one; an empty table gives an
+    empty one.
     """
-    counted = settle(text_counts(docs.select(*keep, *({"lang", "source", "text"} - set(keep))), tuple(dict.fromkeys([*keep, "lang", "source"]))), "quality")
-    limit = settle(fences(sketches(counted, limits), limits), "fences").withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    counted = settle(text_counts(docs, tuple(dict.fromkeys([*keep, "lang", "source"]))), "quality")
+    return _verdicts(counted, settle(fences(sketches(counted, limits), limits), "fences"), limits).select(*keep, *COUNTS, "base_failed", "kept")
+
+
+def reject(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The documents that `judge` keeps, with all their columns. Texts are counted twice, so none has to be stored or
+    shuffled for the limits, which are a small table."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    limit = settle(fences(sketches(text_counts(docs, ("lang", "source")), limits), limits), "fences")
+    counted = text_counts(docs.select(row, "lang", "source", "text"), ("_row", "lang", "source"))
+    kept = _verdicts(counted, limit, limits).where("kept")
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
+
+
+def _verdicts(counted: DataFrame, limit: DataFrame, limits: Limits) -> DataFrame:
+    limit = limit.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     outlier = F.lit(False)
     for name, value in measures(limits).items():
         outlier = outlier | F.coalesce(value > F.col(f"max_{name}"), F.lit(False))
     joined = counted.join(limit, counted["lang"].eqNullSafe(limit["_lang"]) & counted["source"].eqNullSafe(limit["_source"]), "left")
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
-    return joined.select(*keep, *COUNTS, failed.alias("base_failed"), (~failed & ~outlier).alias("kept"))
+    return joined.withColumns({"base_failed": failed, "kept": ~failed & ~outlier})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, lm, pii, quality, substrings, tokens, urls, warc
+from tandem.llm import decontaminate, jaccard, lm, mixing, pii, quality, substrings, tokens, urls, warc
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op3_warc_revisits(spark, sf):
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark, sf):
     return lm.score_documents(documents(spark, sf))
+
+
+@query("op2_source_mixing")
+def op2_source_mixing(spark, sf):
+    mixed = mixing.mix(documents(spark, sf))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 9).alias("probability"), F.round("weight", 9).alias("weight"))
