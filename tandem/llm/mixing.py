@@ -101,7 +101,8 @@ def calibrate(tokens: np.ndarray, shares: np.ndarray, budget: float) -> tuple[np
 
 
 def mix(docs: DataFrame, targets: Targets = STANDARD, id: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:
-    """The sampled rows of `docs` with `topic`, `n_tokens`, `probability` and `weight` (named with `prefix`).
+    """The sampled rows of `docs` with `topic`, `n_tokens`, `probability` and `weight` (named with `prefix`), which take
+    the place of columns of these names.
 
     A row is in the sample if a hash of its id and the seed lies below its cell's probability; rows with equal ids, also
     null ones, are kept or left together. Rows without words have no tokens to weigh: they follow their cell like others.
@@ -123,4 +124,5 @@ def mix(docs: DataFrame, targets: Targets = STANDARD, id: str = "doc_id", text:
     even = F.pmod(F.xxhash64(F.col("_id"), F.lit(targets.seed)), F.lit(1 << 52)) / float(1 << 52)
     kept = mixed.join(F.broadcast(table), list(cell)).where(even < F.col("_chance"))
     added = {"topic": topic_of(F.col("_text")), "n_tokens": token_weight(F.col("_text")), "probability": F.col("_chance"), "weight": F.col("_weight")}
-    return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns), *(v.alias(names[n]) for n, v in added.items()))
+    carried = [c for c in docs.columns if c not in names.values()]
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in carried), *(v.alias(names[n]) for n, v in added.items()))

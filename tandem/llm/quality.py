@@ -28,7 +28,7 @@ class Limits:
     smallest: float = 1e-4
     min_group: int = 200
     reach: float = 4.0
-    slack: tuple[tuple[str, float], ...] = (("symbols", 0.05), ("dup_lines", 0.35), ("repeats", 0.1), ("long_words", 4.0), ("short_words", 0.35))
+    slack: tuple[tuple[str, float], ...] = (("symbols", 0.05), ("dup_lines", 0.35), ("repeats", 0.15), ("long_words", 4.0), ("short_words", 0.35))
 
 
 def measures(limits: Limits) -> dict[str, Column]:

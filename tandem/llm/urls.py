@@ -117,7 +117,8 @@ class Cascade:
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url: str = "url") -> DataFrame:
-    """`host`, `path`, `rule` (longest that fits, else null) and `verdict` beside the columns of `pages`.
+    """`host`, `path`, `rule` (longest that fits, else null) and `verdict` beside the columns of `pages`, in place of any
+    that have these names.
 
     `rules` has host, path and verdict ("allow" or "block"). A rule fits its host and all subdomains if the path begins
     with the rule's. A url without a rule gets `otherwise`: it is in neither list. Null urls and urls without "://" have
@@ -136,7 +137,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url
     listed = Cascade.build(rules.select(key), every)
     blocked = Cascade.build(rules.where("verdict = 'block'").select(key), rules.select(key))
     # Columns first, so that each key is built once.
-    named = {f"_key{i}": k for i, k in enumerate(keys)}
+    free = "_" * (1 + max(len(c) for c in pages.columns))
+    named = {f"{free}{i}": k for i, k in enumerate(keys)}
     fits = [F.when(listed.member(F.col(n)), F.struct(F.length(n).alias("size"), F.col(n).alias("rule"))) for n in named]
     longest = F.greatest(*fits)["rule"] if len(fits) > 1 else fits[0]["rule"]
     verdict = F.when(F.col("rule").isNull(), F.lit(otherwise)).when(blocked.member(F.col("rule")), F.lit("block")).otherwise(F.lit("allow"))
