@@ -89,7 +89,8 @@ def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int, tolerance:
 def calibrate(tokens: np.ndarray, shares: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray]:
     """Probability and weight per cell. Probabilities follow share over tokens, none above 1, and keep `budget` of the
     tokens as far as cells with a target allow; a cell that would need more than 1 carries the rest as its weight, so
-    weighted tokens keep the raked shares."""
+    weighted tokens keep the raked shares. Shares below 1e-12 are what is left of contradicting targets, and none."""
+    shares = np.where(shares < 1e-12, 0.0, shares)
     ratio = np.divide(shares, tokens, out=np.zeros_like(shares), where=tokens > 0)
     low, high = 0.0, 1.0 / ratio[ratio > 0].min() if (ratio > 0).any() else 0.0
     wanted = min(budget * tokens.sum(), tokens[ratio > 0].sum())

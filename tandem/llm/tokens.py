@@ -59,8 +59,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id: str = "doc_id"
     wanted = keyed.join(missing.hint("shuffle_hash"), (F.col("digest") == F.col("_digest")) & F.col("_id").eqNullSafe(F.col("_first")))
 
     def encode(batches):
-        count = counter(tokenizer, model)
+        # Rows that repeat an id and text meet in one task.
+        count, seen = counter(tokenizer, model), set()
         for batch in batches:
+            digests = batch.column("digest").to_pylist()
+            fresh = [k for k, d in enumerate(digests) if not (d in seen or seen.add(d))]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             texts, counts, held, size = batch.column("_text").to_pylist(), [], [], 0
             for x in texts:
                 held.append(x)
