@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.llm.components import components
-from tandem.llm.packed import bucket_count, exchange, rows, runs, text_size
+from tandem.llm.packed import bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
 from tandem.llm.words import WordHashes, mix, split_words, text_bytes, window_hashes
 from tandem.workspace import settle
 
@@ -96,7 +96,6 @@ def _low(join: Join, n) -> np.uint64:
 
 def _screen(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
     """`sid`, `m`: how many counted tokens of the set some other set has too."""
-    kinds = ("u8", "u8", "u1")
 
     def send(batches, box):
         hashes, seen = WordHashes(), set()
@@ -111,14 +110,27 @@ def _screen(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
                 counted = np.searchsorted(sent, _low(join, len(tokens)), "right")
                 yield from box.add(sent, np.full(len(sent), sid, np.uint64), np.arange(len(sent)) < counted)
 
-    def receive(columns):
+    def turn(columns):
         _, sid, counted, _ = _shared(*columns)
         found, count = np.unique(sid[counted > 0], return_counts=True)
-        if len(found):
-            yield from rows([found.astype(np.int64), count], [("sid", pa.int64()), ("m", pa.int64())])
+        yield _key(found), count
+
+    def receive(columns):
+        key, count = columns
+        edges = runs(key)[:-1]
+        yield from rows([_sid(key[edges]), np.add.reduceat(count.astype(np.int64), edges)], [("sid", pa.int64()), ("m", pa.int64())])
+
+    blocks = send_blocks(docs.select("_text"), send, ("u8", "u8", "u1"), buckets)
+    return receive_blocks(forward_blocks(blocks, turn, ("u8", "u8", "u1"), ("u8", "u4"), buckets), receive, ("u8", "u4"), buckets, "sid bigint, m bigint")
 
-    part = exchange(docs.select("_text"), send, receive, kinds, buckets, "sid bigint, m bigint")
-    return part.groupBy("sid").agg(F.sum("m").alias("m"))
+
+def _key(sid: np.ndarray) -> np.ndarray:
+    """Set hashes have 63 bits; keys fill 64."""
+    return sid << np.uint64(1)
+
+
+def _sid(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(1)).astype(np.int64)
 
 
 def _shared(tokens: np.ndarray, sid: np.ndarray, *more: np.ndarray):
@@ -142,7 +154,6 @@ def _shared_tokens(docs: DataFrame, left: DataFrame, join: Join, buckets: int) -
 
     Only tokens that two or more of the sets have are kept: no others can be in an intersection.
     """
-    kinds = ("u8", "u8")
 
     def send(batches, box):
         hashes = WordHashes()
@@ -152,38 +163,26 @@ def _shared_tokens(docs: DataFrame, left: DataFrame, join: Join, buckets: int) -
                 if set_hash(tokens) == sid:
                     yield from box.add(tokens, np.full(len(tokens), sid, np.uint64))
 
-    def receive(columns):
+    def turn(columns):
         tokens, sid, df = _shared(*columns)
-        order = np.argsort(sid, kind="stable")
-        tokens, sid, df = tokens[order], sid[order], df[order].astype(np.uint32)
-        edges = runs(sid)
-        spans = list(zip(edges, edges[1:], strict=False))
-        if spans:
-            kinds = [("sid", pa.int64()), ("tokens", pa.binary()), ("df", pa.binary())]
-            yield from rows([sid[edges[:-1]].astype(np.int64), [tokens[i:j].tobytes() for i, j in spans], [df[i:j].tobytes() for i, j in spans]], kinds)
+        yield _key(sid), tokens, df
 
-    first = left.withColumnsRenamed({"id": "_first", "sid": "_sid"}).select("_first", "_sid")
-    texts = docs.join(first, docs["id"].eqNullSafe(first["_first"])).select("_text", F.col("_sid").alias("sid"))
-    parts = exchange(texts, send, receive, kinds, buckets, "sid bigint, tokens binary, df binary")
-    # Buckets are ranges of the hash, so parts in the order of their first token are in order as a whole.
-    whole = parts.groupBy("sid").agg(F.collect_list(F.struct("tokens", "df")).alias("parts"))
-
-    def assemble(batches):
-        for batch in batches:
-            sids, tokens, dfs = batch.column("sid").to_pylist(), [], []
-            for parts in batch.column("parts").to_pylist():
-                t = np.concatenate([np.frombuffer(p["tokens"], np.uint64) for p in parts])
-                d = np.concatenate([np.frombuffer(p["df"], np.uint32) for p in parts])
-                order = np.argsort(t)
-                tokens.append(t[order].tobytes())
-                dfs.append(d[order].tobytes())
-            matched = [len(t) // 8 for t in tokens]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sids, pa.int64()), pa.array(matched, pa.int64()), pa.array(tokens, pa.binary()), pa.array(dfs, pa.binary())],
-                ["sid", "matched", "tokens", "df"],
-            )
+    def receive(columns):
+        key, tokens, df = columns
+        edges = runs(key)
+        out = []
+        for i, j in zip(edges, edges[1:], strict=False):
+            order = np.argsort(tokens[i:j])
+            out.append((j - i, tokens[i:j][order].tobytes(), df[i:j][order].tobytes()))
+        if out:
+            kinds = [("sid", pa.int64()), ("matched", pa.int64()), ("tokens", pa.binary()), ("df", pa.binary())]
+            yield from rows([_sid(key[edges[:-1]]), *map(list, zip(*out, strict=True))], kinds)
 
-    table = whole.mapInArrow(assemble, "sid bigint, matched bigint, tokens binary, df binary")
+    first = left.withColumnsRenamed({"id": "_first", "sid": "_sid"}).select("_first", "_sid")
+    # The texts pass the narrow side, which is built, unsorted, and alike at every size.
+    texts = docs.join(first.hint("shuffle_hash"), docs["id"].eqNullSafe(first["_first"])).select("_text", F.col("_sid").alias("sid"))
+    blocks = forward_blocks(send_blocks(texts, send, ("u8", "u8"), buckets), turn, ("u8", "u8"), ("u8", "u8", "u4"), buckets)
+    table = receive_blocks(blocks, receive, ("u8", "u8", "u4"), buckets, "sid bigint, matched bigint, tokens binary, df binary")
     table = table.join(left.select("sid", "n"), "sid").withColumn("largest", F.expr(f"matched * {100 + join.percent} div {join.percent}") - F.col("n"))
     return settle(table.where(F.col("largest") * 100 >= F.col("n") * join.percent), "shared")
 
@@ -234,6 +233,8 @@ def _group(table: DataFrame, join: Join) -> DataFrame:
 
     keyed = table.select("sid", "n", "tokens", (F.col("n") - F.col("matched")).alias("rest")).mapInArrow(sign, "sid bigint, n bigint, rest bigint, j bigint, key bigint")
     leader = keyed.groupBy("j", "key").agg(F.min(F.struct("rest", "sid", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    # A table of its own, so that Spark may split the rows of a frequent key in the join.
+    leader = settle(leader, "leaders")
     near = (F.col("n") * join.percent <= F.col("lead.n") * 100) & (F.col("lead.n") * join.percent <= F.col("n") * 100)
     pairs = keyed.join(leader, ["j", "key"]).where(near & (F.col("sid") != F.col("lead.sid"))).select(F.col("sid").alias("a"), F.col("lead.sid").alias("b")).distinct()
     return settle(_check(_with_tokens(pairs, table), join), "links")

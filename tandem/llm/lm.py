@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.packed import Outbox, bucket_count, exchange, rows, runs, text_size
+from tandem.llm.packed import Outbox, bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
 from tandem.llm.words import WordHashes, mix, split_words, text_bytes
 from tandem.workspace import settle
 
@@ -111,7 +111,8 @@ def count_words(texts: DataFrame, options: Options, buckets: int) -> Counts:
         yield from rows([np.zeros(BINS, np.int32), np.arange(BINS), np.bincount(bins, total, BINS).astype(np.int64), np.bincount(bins, minlength=BINS)], schema)
         yield from rows([np.ones(len(top), np.int32), words[top].view(np.int64), total[top], np.ones(len(top), np.int64)], schema)
 
-    found = settle(exchange(texts, send, receive, ("u8", "i8"), buckets, "kind int, key bigint, n bigint, v bigint"), "vocabulary")
+    found = send_blocks(texts, send, ("u8", "i8"), buckets)
+    found = settle(receive_blocks(found, receive, ("u8", "i8"), buckets, "kind int, key bigint, n bigint, v bigint"), "vocabulary")
     n, v = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
     for row in found.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         n[row["key"]], v[row["key"]] = row["n"], row["v"]
@@ -138,7 +139,7 @@ def rare_words(texts: DataFrame, shared, options: Options, buckets: int) -> Data
                 words, number = words[rest], number[rest]
                 yield from box.add(words, np.full(len(words), key, np.int64), number, np.full(len(words), train))
 
-    def receive(columns):
+    def turn(columns):
         words, key, number, train = columns
         edges = runs(words)
         count = np.repeat(np.add.reduceat(number.astype(np.int64) * train, edges[:-1]), np.diff(edges))
@@ -150,10 +151,17 @@ def rare_words(texts: DataFrame, shared, options: Options, buckets: int) -> Data
         key, number, count = key[new], number[new], count[new]
         found, at = np.unique(key, return_inverse=True)
         total, known = np.bincount(at, number * np.log10(count + options.smooth)), np.bincount(at, number * (count > 0)).astype(np.int64)
-        yield from rows([found, total, known], [("key", pa.int64()), ("s", pa.float64()), ("k", pa.int64())])
+        yield found.view(np.uint64), total, known
 
-    part = exchange(texts.select("key", "_text", "train"), send, receive, kinds, buckets, "key bigint, s double, k bigint")
-    return part.groupBy("key").agg(F.sum("s").alias("rare_sum"), F.sum("k").alias("rare_known"))
+    def receive(columns):
+        key, total, known = columns
+        edges = runs(key)[:-1]
+        found = [key[edges].view(np.int64), np.add.reduceat(total, edges), np.add.reduceat(known.astype(np.int64), edges)]
+        yield from rows(found, [("key", pa.int64()), ("rare_sum", pa.float64()), ("rare_known", pa.int64())])
+
+    blocks = send_blocks(texts.select("key", "_text", "train"), send, kinds, buckets)
+    onward = ("u8", "f8", "u4")
+    return receive_blocks(forward_blocks(blocks, turn, kinds, onward, buckets), receive, onward, buckets, "key bigint, rare_sum double, rare_known bigint")
 
 
 # ---------------------------------------------------------------- weights

@@ -72,21 +72,20 @@ def unpack(block: bytes, dtypes: tuple[str, ...]) -> list[np.ndarray]:
     return out
 
 
-def exchange(
-    df: DataFrame,
-    send: Callable[[Iterator[pa.RecordBatch], Outbox], Iterator[pa.RecordBatch]],
-    receive: Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]],
-    dtypes: tuple[str, ...],
-    buckets: int,
-    schema: str,
-) -> DataFrame:
-    """df -> blocks by bucket -> rows. `send` fills the outbox; `receive` gets all arrays of a bucket, sorted by key."""
+def send_blocks(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch], Outbox], Iterator[pa.RecordBatch]], dtypes: tuple[str, ...], buckets: int) -> DataFrame:
+    """Blocks by bucket; `send` fills the outbox."""
 
     def pack(batches):
         box = Outbox(buckets, dtypes)
         yield from send(batches, box)
         yield from box.drain()
 
+    return df.mapInArrow(pack, BLOCKS)
+
+
+def receive_blocks(blocks: DataFrame, receive: Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]], dtypes: tuple[str, ...], buckets: int, schema: str) -> DataFrame:
+    """Rows that `receive` makes of all arrays of a bucket, sorted by key."""
+
     def gather(batches):
         parts = [unpack(x, dtypes) for batch in batches for x in batch.column("block").to_pylist()]
         if parts:
@@ -95,7 +94,22 @@ def exchange(
             order = np.argsort(columns[0], kind="stable")
             yield from receive([c[order] for c in columns])
 
-    return df.mapInArrow(pack, BLOCKS).repartitionById(buckets, "bucket").mapInArrow(gather, schema)
+    return blocks.repartitionById(buckets, "bucket").mapInArrow(gather, schema)
+
+
+def forward_blocks(
+    blocks: DataFrame, turn: Callable[[list[np.ndarray]], Iterator[tuple]], dtypes: tuple[str, ...], onward: tuple[str, ...], buckets: int
+) -> DataFrame:
+    """Blocks by another key: `turn` gives arrays, the new key first, for all arrays of a bucket. Results for a document
+    come from many buckets; this way they go back to it packed, and not as a row from each."""
+
+    def receive(columns):
+        box = Outbox(buckets, onward)
+        for arrays in turn(columns):
+            yield from box.add(*arrays)
+        yield from box.drain()
+
+    return receive_blocks(blocks, receive, dtypes, buckets, BLOCKS)
 
 
 def runs(keys: np.ndarray) -> np.ndarray:
