@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,8 +32,8 @@ _HALFWIDTH = "".join(chr(code - 0xFEE0) for code in range(0xFF01, 0xFF5F)) + " "
 _SINGLE_QUOTES = "\u02BC\u2018-\u201B"
 _DOUBLE_QUOTES = "\u201C-\u201F"
 _CONTROLS = "\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\u206A-\u206F\uFEFF\uFFF9-\uFFFC"
-_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-_ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
+_ENTITY = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY_NAMES = json.dumps({name[:-1]: chars for name, chars in html5.items() if name.endswith(";")})
 _MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
 # Two scans decide whether a text needs any repair: a cheap one for a single class of few ranges, which
 # nearly all texts end at, and the exact one. The class holds a part of everything that can be repaired.
@@ -62,9 +62,12 @@ def unescape_entities(text: Column) -> Column:
 
     def resolve(entity: Column) -> Column:
         body = F.substring(entity, 2, F.length(entity) - 2)
+        # Leading zeros say nothing; more than seven digits without them are out of range.
+        digits = F.regexp_replace(body, "^#[xX]?0*(?=.)", "")
+        digits = F.when(F.length(digits) <= 7, digits)
         return F.coalesce(
-            F.when(body.rlike("^#[xX]"), _code_point(F.conv(F.substring(body, 3, 6), 16, 10).cast("bigint")))
-            .when(body.startswith("#"), _code_point(F.substring(body, 2, 7).cast("bigint")))
+            F.when(body.rlike("^#[xX]"), _code_point(F.conv(digits, 16, 10).cast("bigint")))
+            .when(body.startswith("#"), _code_point(digits.cast("bigint")))
             .otherwise(F.try_element_at(names, body)),
             entity,
         )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tandem.functions.text import ngrams, tokenize_13a
 from tandem.operators.sampling import head_per_group
-from tandem.operators.slices import assign_slices, slice_sums
+from tandem.operators.slices import OVERALL, assign_slices, slice_sums
 
 ORDERS = (1, 2, 3, 4)
 
@@ -106,13 +106,13 @@ def bleu_by_slice(records: DataFrame) -> DataFrame:
     return sums.withColumn("bleu", bleu_score())
 
 
-def slice_bleu(records: DataFrame, head: int, min_records: int = 2) -> DataFrame:
-    """BLEU of the first `head` records of each slice that has at least `min_records`."""
-    sliced = assign_slices(records.select("domain", "direction", "bucket", "input", "output", "shuffle_key"))
-    heads = head_per_group(sliced, ["slice"], ["shuffle_key"], head).select("slice", "input", "output")
-    sums = (
-        ngram_matches(heads)
-        .groupBy("slice")
-        .agg(F.count("*").alias("count"), *(F.sum(name).alias(name) for name in BLEU_SUMS))
-    )
+def slice_bleu(records: DataFrame, head: int | None = None, min_records: int = 2) -> DataFrame:
+    """BLEU of each slice that has at least `min_records`, over all its records or its first `head`."""
+    if head is None:
+        sums = slice_sums(ngram_matches(records.select("domain", "direction", "bucket", "input", "output")), {name: F.col(name) for name in BLEU_SUMS})
+        sums = sums.where(F.col("slice") != OVERALL)
+    else:
+        sliced = assign_slices(records.select("domain", "direction", "bucket", "input", "output", "shuffle_key"))
+        heads = head_per_group(sliced, ["slice"], ["shuffle_key"], head).select("slice", "input", "output")
+        sums = ngram_matches(heads).groupBy("slice").agg(F.count("*").alias("count"), *(F.sum(name).alias(name) for name in BLEU_SUMS))
     return sums.where(F.col("count") >= min_records).withColumn("bleu", bleu_score())

@@ -10,31 +10,33 @@ from tandem.functions.text import length_bucket, length_ratio, words
 from tandem.operators.bleu import BLEU_SUMS, bleu_score, ngram_matches
 from tandem.operators.quality import DatasetRejected
 from tandem.operators.sampling import head_per_group, head_sample
-from tandem.operators.slices import OVERALL, assign_slices
+from tandem.operators.slices import OVERALL, assign_slices, slice_sums
 from tandem.settings import LENGTH_SLICES, Rules
 
 
-def slice_heads(test: DataFrame, n: int) -> DataFrame:
-    """First n records of each slice in shuffled order."""
-    return head_per_group(assign_slices(test), ["slice"], ["shuffle_key"], n)
+def slice_heads(test: DataFrame, n: int | None) -> DataFrame:
+    """First n records of each slice in shuffled order; all records for None."""
+    sliced = assign_slices(test)
+    return sliced if n is None else head_per_group(sliced, ["slice"], ["shuffle_key"], n)
+
+
+def _eval_sums(test: DataFrame, rules: Rules) -> DataFrame:
+    """Count, input length and BLEU sums per slice and overall."""
+    sums = ["n_in", *BLEU_SUMS]
+    columns = ["domain", "direction", "bucket", "input", "output", "n_in"]
+    if rules.eval_head is None and rules.eval_slice_head is None:
+        return slice_sums(ngram_matches(test.select(*columns)), {name: F.col(name) for name in sums})
+    test = test.select(*columns, "shuffle_key")
+    overall = test if rules.eval_head is None else head_sample(test, ["shuffle_key"], rules.eval_head)
+    heads = slice_heads(test, rules.eval_slice_head).unionByName(overall.withColumn("slice", F.lit(OVERALL)))
+    return ngram_matches(heads.select("slice", "n_in", "input", "output")).groupBy("slice").agg(F.count("*").alias("count"), *(F.sum(name).alias(name) for name in sums))
 
 
 def eval_report(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per slice and one for overall: count, mean input length, deviation, BLEU, cap, passed."""
-    columns = ["domain", "direction", "bucket", "input", "output", "n_in", "shuffle_key"]
-    test = test.select(*columns)
-    heads = slice_heads(test, rules.eval_slice_head).unionByName(
-        head_sample(test, ["shuffle_key"], rules.eval_head).withColumn("slice", F.lit(OVERALL))
-    )
-    # At most eval_head + 6 * eval_slice_head records from here on.
     stats = (
-        ngram_matches(heads.select("slice", "n_in", "input", "output"))
-        .groupBy("slice")
-        .agg(
-            F.count("*").alias("count"),
-            F.avg("n_in").alias("avg_input_len"),
-            *(F.sum(name).alias(name) for name in BLEU_SUMS),
-        )
+        _eval_sums(test, rules)
+        .withColumn("avg_input_len", F.col("n_in") / F.col("count"))
         .withColumn("bleu", F.when((F.col("count") >= 2) | (F.col("slice") == OVERALL), F.bround(bleu_score(), 2)))
     )
     base = stats.where(F.col("slice") == OVERALL).select(F.col("avg_input_len").alias("overall_len"))
@@ -63,14 +65,14 @@ def eval_gate(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
     report = eval_report(test, rules)
     verdict = eval_verdict(report).first()
     if not verdict["bleu_passed"]:
-        raise DatasetRejected(f"BLEU {verdict['bleu']} is below threshold {rules.bleu_threshold}")
+        raise DatasetRejected(f"corpus BLEU of {verdict['bleu']} misses the required {rules.bleu_threshold}")
     if not verdict["bias_passed"]:
-        raise DatasetRejected(f"Bias threshold {rules.slice_cap} exceeded")
+        raise DatasetRejected("a slice's input length strays from overall by its cap or more")
     return report
 
 
 def sensitivity_length(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Mean length ratio and count by input length, over the medical head and the legal head."""
+    """Mean length ratio and count by input length, over the medical and the legal slice."""
     names = ("short", "medium", "long")
     heads = union_slices(slice_heads(test, rules.sensitivity_head), ["medical", "legal"])
     group = length_bucket(F.col("n_in"), rules.sensitivity_bounds, names)
@@ -93,7 +95,7 @@ def union_slices(sliced: DataFrame, names: list[str]) -> DataFrame:
 
 
 def sensitivity_domain(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Output diversity and count of the medical head against the legal head."""
+    """Output diversity and count of the medical slice against the legal one."""
     heads = slice_heads(test, rules.sensitivity_head)
     names = ("medical", "legal")
     heads = union_slices(heads, list(names)).select("slice", "output")
@@ -117,7 +119,7 @@ def sensitivity_domain(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def sensitivity_direction(test: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Mean output length and count per direction head."""
+    """Mean output length and count per direction."""
     names = ("en_to_es", "es_to_en")
     heads = union_slices(slice_heads(test, rules.sensitivity_head), list(names)).select("slice", "n_out")
     return heads.agg(

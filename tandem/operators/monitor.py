@@ -36,16 +36,23 @@ def window_measures(count: Column, latency: Column, n_in: Column, n_out: Column)
 
 
 def monitor_window(log: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
-    """Per (window, direction, domain): requests, mean and exact 95th percentile latency, word counts.
-
-    Counts per latency value first: latencies have two digits, so a busy window shrinks to its
-    distinct values before the percentile is looked up in their running count.
-    """
-    window = F.window(F.col("timestamp").cast("timestamp"), width, slide)["start"]
-    keys = [window.alias("window_start"), "direction", "domain"]
-    values = log.groupBy(*keys, "latency_ms").agg(
-        F.count("*").alias("n"), F.sum("input_len").alias("n_in"), F.sum("output_len").alias("n_out")
-    )
+    """Per (window, direction, domain): requests, mean and exact 95th percentile latency, word counts."""
+    return window_report(log.groupBy(*window_keys(F.col("timestamp").cast("timestamp"), width, slide), "latency_ms").agg(*value_counts()))
+
+
+def window_keys(timestamp: Column, width: str, slide: str | None) -> list[Column]:
+    """A stream must give its watermarked column as it is: a cast would lose the watermark."""
+    return [F.window(timestamp, width, slide).alias("window"), F.col("direction"), F.col("domain")]
+
+
+def value_counts() -> list[Column]:
+    """Latencies have two digits, so a busy window shrinks to its distinct values before its percentile is looked up."""
+    return [F.count("*").alias("n"), F.sum("input_len").alias("n_in"), F.sum("output_len").alias("n_out")]
+
+
+def window_report(values: DataFrame) -> DataFrame:
+    """The report from counts per (window, direction, domain, latency value)."""
+    values = values.withColumn("window_start", F.col("window.start")).drop("window")
     upto = Window.partitionBy(*LOG_KEYS).orderBy("latency_ms")
     total = F.sum("n").over(Window.partitionBy(*LOG_KEYS))
     ranked = values.withColumns({"upto": F.sum("n").over(upto), "total": total})

@@ -19,7 +19,7 @@ def running_total(
     One window per group would put a hot group into one task. `cell` cuts the order into steps (it
     must grow with `order`); each (group, cell) is its own window, and the totals of the cells before
     it come from a small aggregate. The join and the window share one shuffle on (by, cell).
-    `by` columns must not be null.
+    Null groups and null cells count as values of their own, so no row is lost.
     """
     weight = F.lit(1) if weight is None else weight
     rows = df.withColumns({"_cell": cell, "_weight": weight.cast("bigint")})
@@ -32,8 +32,11 @@ def running_total(
     inside = (
         Window.partitionBy(*by, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    keys = [*by, "_cell"]
+    before = before.withColumnsRenamed({key: f"_of_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     return (
-        rows.join(before, [*by, "_cell"])
+        rows.join(before, same)
         .withColumn(name, F.col("_before") + F.sum("_weight").over(inside))
-        .drop("_cell", "_weight", "_before")
+        .drop("_weight", "_before", "_cell", *(f"_of_{key}" for key in keys))
     )

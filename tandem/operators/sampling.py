@@ -31,14 +31,14 @@ def length_stratified_sample(records: DataFrame, n: int) -> DataFrame:
     return head_per_group(records, ["bucket"], ["shuffle_key"], n)
 
 
-def training_prompts(splits: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The training loader's view: heads of train and val, rendered to one text column."""
-    heads = [
-        head_sample(splits.where(F.col("split") == name), ["shuffle_key"], n)
-        for name, n in (("train", rules.train_head), ("val", rules.val_head))
+def training_prompts(splits: DataFrame, rules: Rules = Rules(), keep: list[str] = ()) -> DataFrame:
+    """The training loader's view: train and val, or their heads, rendered to one text column."""
+    parts = [
+        part if n is None else head_sample(part, ["shuffle_key"], n)
+        for part, n in ((splits.where(F.col("split") == name), n) for name, n in (("train", rules.train_head), ("val", rules.val_head)))
     ]
     text = render_prompt(F.col("instruction"), F.col("input"), F.col("output"))
-    return heads[0].unionByName(heads[1]).select("split", "shuffle_key", text.alias("text"))
+    return parts[0].unionByName(parts[1]).select("split", "shuffle_key", *keep, text.alias("text"))
 
 
 def pack_sequences(examples: DataFrame, window: int, shard_digits: int = 2) -> DataFrame:
@@ -91,12 +91,14 @@ def oversample_domain(records: DataFrame, domain: str, share: float) -> DataFram
     """Repeat a domain's records until it holds `share` of all; adds `copy_no`.
 
     Each record gets the whole number of copies, and those whose hash falls below the remaining
-    fraction get one more: deterministic, and exact up to the hash's spread.
+    fraction get one more: deterministic, and exact up to the hash's spread. Without records of the domain nothing changes.
     """
+    if not 0 <= share < 1:
+        raise ValueError(f"a share of {share} cannot be reached: it must be at least 0 and below 1")
     counts = records.groupBy("domain").count()
     own = F.sum(F.when(F.col("domain") == domain, F.col("count")).otherwise(0))
     rest = F.sum(F.when(F.col("domain") == domain, 0).otherwise(F.col("count")))
-    factor = F.greatest(F.lit(share) * rest / (F.lit(1.0 - share) * own), F.lit(1.0))
+    factor = F.when(own > 0, F.greatest(F.try_divide(F.lit(share) * rest, F.lit(1.0 - share) * own), F.lit(1.0)))
     factors = counts.agg(F.coalesce(factor, F.lit(1.0)).alias("_factor"))
     whole = F.floor("_factor")
     draw = F.conv(F.substring(row_hash(), 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))

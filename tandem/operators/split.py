@@ -11,9 +11,9 @@ from tandem.workspace import settle
 
 # Cut tables up to this many rows (two per stratum) are broadcast, larger ones are joined by a shuffle.
 MAX_BROADCAST_ROWS = 100_000
-# Key prefixes by which a cut point is narrowed down: a 4096th of the content hash, then the content
-# with a 4096th of its copies, then the row itself.
-_STEPS = (3, 35, 64)
+# Key prefixes by which a cut point is narrowed down: three times a 4096th of the content hash, then the content with a
+# 4096th of its copies, then the row itself. So a window holds about 4096 counts, up to strata of 10^14 rows.
+_STEPS = (3, 6, 9, 35, 64)
 
 
 def with_shuffle_key(records: DataFrame, row_id: list[str], seed: int) -> DataFrame:
@@ -93,7 +93,7 @@ def stratified_split(records: DataFrame, row_id: list[str], rules: Rules = Rules
     Scans `records` a few times and never shuffles them, so pass a written table, not a long plan.
     """
     if abs(sum(rules.ratios) - 1.0) > 1e-6:
-        raise ValueError("Split ratios must sum to 1.")
+        raise ValueError(f"the shares of train, val and test are {rules.ratios}: together they are not 1")
     keyed = with_shuffle_key(records, row_id, rules.seed).withColumn("stratum", stratum())
     cuts = split_cuts(keyed, rules.ratios)
     split = (

@@ -1,15 +1,13 @@
-"""Batch translation with a user-supplied model, and the one normalisation without a native form."""
+"""Batch translation with a user-supplied model."""
 
 from __future__ import annotations
 
 import time
-import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tandem.functions.text import SPACE, WORD, token_count
 from tandem.settings import Rules
@@ -27,39 +25,36 @@ def truncate_tokens(text: Column, limit: int) -> Column:
 def batch_translate(prompts: DataFrame, load_model: Callable[[], Translate], rules: Rules = Rules(), batch: int = 64) -> DataFrame:
     """Adds translated, error and latency_ms to rows with a `prompt`.
 
-    `load_model` runs once per task and returns `translate(list[str]) -> list[str]`. A batch that
-    fails gives rows with the error text; it does not fail the job. Latency is the mean over a batch.
+    `load_model` runs once per task and returns `translate(list[str]) -> list[str]`. When a batch fails, its
+    prompts are tried one by one, so only the failing rows carry the error text; a null prompt is an error of its own row.
+    Latency is the mean over what was translated together. Prompts are cut only where `rules.prompt_tokens` says so.
     """
 
+    def attempt(translate: Translate, texts: list[str]) -> list[tuple[str, str | None, float]]:
+        began = time.perf_counter()
+        try:
+            outputs = [text.strip() for text in translate(texts)]
+            if len(outputs) != len(texts):
+                raise ValueError(f"{len(outputs)} translations for {len(texts)} prompts")
+        except Exception as failure:
+            if len(texts) > 1:
+                return [row for text in texts for row in attempt(translate, [text])]
+            return [("", f"Error: {failure}", round((time.perf_counter() - began) * 1000, 2))]
+        each = round((time.perf_counter() - began) * 1000 / len(texts), 2)
+        return [(output, None, each) for output in outputs]
+
     def run(prompts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         translate = load_model()
         for series in prompts:
-            parts = []
-            for first in range(0, len(series), batch):
-                texts = series.iloc[first : first + batch].tolist()
-                began, error = time.perf_counter(), None
-                try:
-                    outputs = [text.strip() for text in translate(texts)]
-                    if len(outputs) != len(texts):
-                        raise ValueError(f"{len(outputs)} translations for {len(texts)} prompts")
-                except Exception as failure:
-                    outputs, error = [""] * len(texts), f"Error: {failure}"
-                each = round((time.perf_counter() - began) * 1000 / len(texts), 2)
-                parts.append(pd.DataFrame({"translated": outputs, "error": error, "latency_ms": each}))
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(
-                {"translated": [], "error": [], "latency_ms": []}
-            )
+            rows = [("", "Error: no prompt", 0.0)] * len(series)
+            given = [i for i, text in enumerate(series) if text is not None]
+            for first in range(0, len(given), batch):
+                part = given[first : first + batch]
+                for i, row in zip(part, attempt(translate, [series.iloc[i] for i in part]), strict=True):
+                    rows[i] = row
+            yield pd.DataFrame(rows, columns=["translated", "error", "latency_ms"])
 
     udf = F.pandas_udf(run, "translated string, error string, latency_ms double")
-    cut = prompts.withColumn("prompt", truncate_tokens(F.col("prompt"), rules.prompt_tokens))
+    limit = rules.prompt_tokens
+    cut = prompts if limit is None else prompts.withColumn("prompt", truncate_tokens(F.col("prompt"), limit))
     return cut.withColumn("_result", udf("prompt")).select(*prompts.columns, "_result.*")
-
-
-@F.pandas_udf(StringType())
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda text: unicodedata.normalize("NFC", text), na_action="ignore")
-
-
-def nfc(text: Column) -> Column:
-    """Canonical composition. Off by default: it takes the text through a Python worker."""
-    return _nfc(text)

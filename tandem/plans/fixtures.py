@@ -25,17 +25,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines 2k and 2k+1 of a document are pair k; a last odd line is dropped."""
+    """Lines 2k and 2k+1 of a document are pair k; a last odd line is paired with the empty text."""
     source_no = F.substring("source", 4, 10).cast("int")
     documents = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     lines = documents.select("doc_id", "source", "lang", source_no.alias("n"), F.split("text", "\n").alias("lines"))
     pair = F.explode(
         F.transform(
-            F.when(F.size("lines") >= 2, F.sequence(F.lit(0), F.floor(F.size("lines") / 2).cast("int") - 1)),
+            F.when(F.size("lines") >= 1, F.sequence(F.lit(0), F.ceil(F.size("lines") / 2).cast("int") - 1)),
             lambda k: F.struct(
                 k.cast("bigint").alias("pair_no"),
                 F.get("lines", 2 * k).alias("en"),
-                F.get("lines", 2 * k + 1).alias("es"),
+                F.coalesce(F.get("lines", 2 * k + 1), F.lit("")).alias("es"),
             ),
         )
     )

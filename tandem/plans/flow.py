@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from tandem.operators.split import shuffle_rows, stratified_split
 from tandem.settings import Rules
 from tandem.sinks.writers import handoff_payload, publish, publish_plan, sink_report, sink_slices, sink_splits
 from tandem.sources.bitext import LINE_ORDER, read_manifest, scan_manifest_sources
-from tandem.sources.files import file_checksums, list_files, manifest_missing, snapshot_manifest
+from tandem.sources.files import file_checksums, list_present, manifest_missing, snapshot_manifest, source_branch
 
 
 def run_corpus(
@@ -25,10 +26,12 @@ def run_corpus(
     target: str,
     rules: Rules = Rules(),
     now: datetime | None = None,
+    fetch: Callable[[list[str]], None] | None = None,
 ) -> DataFrame:
     """Runs every step and returns the hand-off payload. A gate that fails raises, after its report.
 
-    Stage tables are written once under `out` and read back, so each step starts from storage.
+    Stage tables are written once under `out` and read back, so each step starts from storage. Sources that are not there
+    go to `fetch`, by name; without it, or if it does not bring them, the run is rejected.
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -40,13 +43,23 @@ def run_corpus(
 
     manifest = read_manifest(spark, manifest_path)
     paths = [row["path"] for row in manifest.select("path").collect()]
-    missing = manifest_missing(manifest, list_files(spark, paths)).select("name").collect()
-    if missing:
-        raise DatasetRejected(f"Missing sources: {[row['name'] for row in missing]}")
+
+    def absent() -> DataFrame:
+        return manifest_missing(manifest, list_present(spark, paths))
+
+    missing = absent()
+    if fetch and source_branch(missing).first()["branch"] == "download":
+        fetch([row["name"] for row in missing.orderBy("rank").collect()])
+        missing = absent()
+    if names := [row["name"] for row in missing.orderBy("rank").collect()]:
+        raise DatasetRejected(f"Missing sources: {names}")
 
     order = ["source_rank", *LINE_ORDER]
     records = stage(preprocess(scan_manifest_sources(spark, manifest), order, rules), "records")
-    splits = stage(stratified_split(records, [*order, "direction"], rules), "splits")
+    # Pairs are unique by text here, so the text is the row's id wherever its files lie and however they are read.
+    splits = stratified_split(records, ["domain", "direction", "input", "output"], rules)
+    splits.write.mode("overwrite").partitionBy("split").parquet(f"{out}/stage/splits")
+    splits = spark.read.parquet(f"{out}/stage/splits")
     train, val, test = (splits.where(F.col("split") == name) for name in ("train", "val", "test"))
 
     profile = stage(profile_report(train), "profile")

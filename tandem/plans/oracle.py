@@ -7,8 +7,8 @@ pairs as (select a.doc_id, cast(a.i//2 as bigint) pair_no, a.source, a.lang,
     cast(substr(a.source,4) as int) source_no,
     case when cast(substr(a.source,4) as int) < 10 then 0 else 1 end source_rank,
     case when cast(substr(a.source,4) as int) < 10 then 'medical' else 'legal' end "domain",
-    trim(regexp_replace(a.ln,'\s+',' ','g')) en, trim(regexp_replace(b.ln,'\s+',' ','g')) es
-  from l a join l b on a.doc_id = b.doc_id and b.i = a.i + 1 where a.i % 2 = 0),
+    trim(regexp_replace(a.ln,'\s+',' ','g')) en, trim(regexp_replace(coalesce(b.ln, ''),'\s+',' ','g')) es
+  from l a left join l b on a.doc_id = b.doc_id and b.i = a.i + 1 where a.i % 2 = 0),
 m as (select *, len(regexp_extract_all(en,'\S+')) ne, len(regexp_extract_all(es,'\S+')) ns
   from pairs where en <> '' and es <> ''),
 kept as (select * from m

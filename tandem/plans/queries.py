@@ -244,7 +244,7 @@ def append_inference_log(spark, sf):
     path = fresh_path(spark, "log")
     log = fx.request_log(spark, sf)
     for parity in (0, 1):
-        log.where(F.col("event_id") % 2 == parity).write.mode("append").parquet(path)
+        writers.append_log(log.where(F.col("event_id") % 2 == parity), path)
     return rounded(spark.read.parquet(path))
 
 
@@ -680,10 +680,10 @@ def bleu_by_slice(spark, sf):
 
 @query(
     "slice_bleu",
-    bleu_sql(f"""select slice, "count", {_BLEU_COLUMNS} from bleu where "count" >= 2""", "slice <> 'overall' and hn <= 200"),
+    bleu_sql(f"""select slice, "count", {_BLEU_COLUMNS} from bleu where "count" >= 2""", "slice <> 'overall'"),
 )
 def slice_bleu(spark, sf):
-    return rounded(bleu.slice_bleu(fx.test_split(spark, sf), Rules().eval_slice_head))
+    return rounded(bleu.slice_bleu(fx.test_split(spark, sf)))
 
 
 @query(
@@ -692,7 +692,7 @@ def slice_bleu(spark, sf):
         coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in between 11 and 25), 6), 0.0) medium_length_ratio,
         coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in > 25), 6), 0.0) long_length_ratio,
         count(*) filter (n_in <= 10) short_count, count(*) filter (n_in between 11 and 25) medium_count,
-        count(*) filter (n_in > 25) long_count from head where slice in ('medical', 'legal') and hn <= 300"""),
+        count(*) filter (n_in > 25) long_count from head where slice in ('medical', 'legal')"""),
 )
 def sensitivity_length(spark, sf):
     return rounded(evaluate.sensitivity_length(fx.test_split(spark, sf)))
@@ -703,7 +703,7 @@ def sensitivity_length(spark, sf):
     sql(r"""select round(count(distinct w) filter (slice = 'medical') / count(*) filter (slice = 'medical'), 6) medical_output_diversity,
         round(count(distinct w) filter (slice = 'legal') / count(*) filter (slice = 'legal'), 6) legal_output_diversity,
         count(distinct hn) filter (slice = 'medical') medical_count, count(distinct hn) filter (slice = 'legal') legal_count
-        from (select slice, hn, unnest(regexp_extract_all("output", '\S+')) w from head where hn <= 300)"""),
+        from (select slice, hn, unnest(regexp_extract_all("output", '\S+')) w from head)"""),
 )
 def sensitivity_domain(spark, sf):
     return rounded(evaluate.sensitivity_domain(fx.test_split(spark, sf)))
@@ -714,7 +714,7 @@ def sensitivity_domain(spark, sf):
     sql("""select round(avg(n_out) filter (slice = 'en_to_es'), 6) en_to_es_avg_output_len,
         round(avg(n_out) filter (slice = 'es_to_en'), 6) es_to_en_avg_output_len,
         count(*) filter (slice = 'en_to_es') en_to_es_count, count(*) filter (slice = 'es_to_en') es_to_en_count
-        from head where hn <= 300"""),
+        from head"""),
 )
 def sensitivity_direction(spark, sf):
     return rounded(evaluate.sensitivity_direction(fx.test_split(spark, sf)))
@@ -877,11 +877,10 @@ def turn_pairs(spark, sf):
 
 @query(
     "union_slices",
-    sql("select slice, doc_id, pair_no, direction from head where hn <= 300 and slice in ('medical', 'legal')"),
+    sql("select slice, doc_id, pair_no, direction from sliced where slice in ('medical', 'legal')"),
 )
 def union_slices(spark, sf):
-    heads = evaluate.slice_heads(fx.test_split(spark, sf), Rules().sensitivity_head)
-    return evaluate.union_slices(heads, ["medical", "legal"]).select("slice", *fx.ROW_ID)
+    return evaluate.union_slices(slices.assign_slices(fx.test_split(spark, sf)), ["medical", "legal"]).select("slice", *fx.ROW_ID)
 
 
 @query(
@@ -936,10 +935,8 @@ def approval_gate(spark, sf):
         case when b.slice = 'overall' then round_even(bleu, 2) >= 0.0
           else round_even(abs(l.mean - o.mean) / greatest(o.mean, 1.0), 3)
             < case when b.slice in ('short_sents', 'long_sents') then 2.0 else 0.5 end end passed
-        from bleu b join (select slice, avg(n_in) mean from head where hn <= case when slice = 'overall' then 500 else 200 end
-          group by slice) l on l.slice = b.slice,
-          (select avg(n_in) mean from head where slice = 'overall' and hn <= 500) o""",
-        "hn <= case when slice = 'overall' then 500 else 200 end"),
+        from bleu b join (select slice, avg(n_in) mean from head group by slice) l on l.slice = b.slice,
+          (select avg(n_in) mean from head where slice = 'overall') o"""),
 )
 def eval_gate(spark, sf):
     return rounded(evaluate.eval_report(fx.test_split(spark, sf)))
@@ -1027,8 +1024,8 @@ def _in_steps(df, spark, name, position, steps=(2, 4)):
 def stream_final_lines(spark, sf):
     out = fresh_path(spark, "lines")
     stream = _in_steps(fx.transcripts(spark, sf), spark, "transcripts", "turn")
-    jobs.stream_final_lines(stream, out, "session", "turn").awaitTermination()
-    return jobs.read_lines_table(spark, out).select("session", "turn", "idx")
+    jobs.stream_final_lines(stream, out).awaitTermination()
+    return jobs.read_lines_table(spark, out, "session", "turn").select("session", "turn", "idx")
 
 
 _LINES_SQL = """
@@ -1086,15 +1083,19 @@ def _stub_model():
     "batch_translate",
     sql("""select doc_id, pair_no, direction, '[### Instruction:' || chr(10) || instruction || chr(10) || chr(10)
         || '### Input:' || chr(10) || "input" || chr(10) || chr(10) || '### Response:' || chr(10) || ']' translated
-        from test"""),
+        from records"""),
 )
 def batch_translate(spark, sf):
     """A stand-in model that answers with the prompt in brackets."""
-    test = fx.test_split(spark, sf)
-    prompts = test.select(*fx.ROW_ID, rec.render_prompt(F.col("instruction"), F.col("input")).alias("prompt"))
+    prompts = fx.records(spark, sf).select(*fx.ROW_ID, rec.render_prompt(F.col("instruction"), F.col("input")).alias("prompt"))
     return translate.batch_translate(prompts, _stub_model).select(*fx.ROW_ID, "translated")
 
 
-@query("nfc", """select doc_id, nfc_normalize(text) "text" from documents""")
-def nfc(spark, sf):
-    return fx.table(spark, sf, "documents").select("doc_id", translate.nfc(F.col("text")).alias("text"))
+@query(
+    "training_prompts",
+    sql("""select split, doc_id, pair_no, direction, '### Instruction:' || chr(10) || instruction || chr(10) || chr(10)
+        || '### Input:' || chr(10) || "input" || chr(10) || chr(10) || '### Response:' || chr(10) || "output" "text"
+        from splits where split in ('train', 'val')"""),
+)
+def training_prompts(spark, sf):
+    return sampling.training_prompts(fx.splits(spark, sf), keep=fx.ROW_ID).drop("shuffle_key")

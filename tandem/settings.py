@@ -40,15 +40,16 @@ class Rules:
     anomaly_drop_threshold: int = 1000
     min_train_records: int = 10_000
     bias_threshold: float = 0.20
-    eval_head: int = 500
-    eval_slice_head: int = 200
+    # Heads judge only the first so many records of a slice; None judges all.
+    eval_head: int | None = None
+    eval_slice_head: int | None = None
     bleu_threshold: float = 0.0
     slice_cap: float = 0.50
     length_slice_cap: float = 2.0
-    sensitivity_head: int = 300
+    sensitivity_head: int | None = None
     sensitivity_bounds: tuple[int, int] = (10, 25)
-    train_head: int = 50_000
-    val_head: int = 5_000
+    train_head: int | None = None
+    val_head: int | None = None
     window_tokens: int = 128
-    prompt_tokens: int = 512
+    prompt_tokens: int | None = None
     version: str = "v2_approved"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.settings import RECORD_FIELDS, SLICES
-from tandem.sources.files import list_files
+from tandem.sources.files import list_files, plain_path
 
 
 def sink_records(records: DataFrame, path: str) -> None:
@@ -30,6 +32,16 @@ def sink_report(report: DataFrame, path: str) -> None:
     report.select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def append_log(rows: DataFrame, path: str) -> bool:
+    """Appends log rows in one committed write. A failure is logged and told, not raised: the caller's answers go on."""
+    try:
+        rows.write.mode("append").parquet(path)
+    except Exception:
+        logging.getLogger(__name__).exception("no log rows were added to %s", path)
+        return False
+    return True
+
+
 # Reports that belong to an approved version.
 APPROVED_REPORTS = ("schema", "tfdv_stats_summary", "anomalies", "dataset_approval")
 
@@ -45,10 +57,9 @@ def publish_plan(spark: SparkSession, base: str, version: str) -> DataFrame:
         *(("report", f"reports/{name}") for name in APPROVED_REPORTS),
     ]
     wanted = spark.createDataFrame(wanted, "kind string, dataset string")
-    root = base.rstrip("/") + "/"
-    files = list_files(spark, base).select(
-        F.expr(f"substring(path, {len(root) + 1})").alias("relative"), "length"
-    )
+    # Listed paths come without the `file:` scheme, the base may have it.
+    root = F.concat(F.regexp_replace(plain_path(F.lit(base)), "/+$", ""), F.lit("/"))
+    files = list_files(spark, base).select(F.substring(F.col("path"), F.length(root) + 1, F.length("path")).alias("relative"), "length")
     name = F.element_at(F.split("relative", "/"), -1)
     files = files.where(~name.startswith("_") & ~name.startswith(".")).select(
         F.regexp_replace("relative", "/[^/]*$", "").alias("dataset"), "length"
@@ -72,7 +83,9 @@ def publish_plan(spark: SparkSession, base: str, version: str) -> DataFrame:
 
 
 def publish(spark: SparkSession, plan: DataFrame, base: str, target: str) -> None:
-    """Copy the found datasets of a plan; missing ones are skipped. At most 13 datasets per version."""
+    """Copy the found datasets of a plan, at most 13 per version. A missing split is an error, other gaps are skipped."""
+    if lost := [row["dataset"] for row in plan.where("kind = 'split' and not found").orderBy("dataset").collect()]:
+        raise FileNotFoundError(f"nothing published: {', '.join(lost)} not found under {base}")
     for row in plan.where("found").orderBy("dataset").collect():
         source, destination = f"{base}/{row['dataset']}", f"{target}/{row['target']}"
         spark.read.text(source).write.mode("overwrite").text(destination)

@@ -33,8 +33,9 @@ def _side(document: Column, name: str) -> tuple[Column, Column]:
 
 def parse_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
     """Adds en and es; lines that are no JSON object, or hold other than text there, vanish."""
-    document = F.try_parse_json(F.col(value))
-    parsed = lines.withColumn("_json", document).where(F.col("_json").isNotNull())
+    # The one-element `inline` keeps the optimizer from parsing anew in each filter and projection.
+    document = F.struct(F.try_parse_json(F.col(value)).alias("_json"))
+    parsed = lines.select("*", F.inline(F.array(document))).where(F.col("_json").isNotNull())
     inner = F.schema_of_variant(F.try_variant_get("_json", "$.translation", "variant"))
     usable = F.schema_of_variant("_json").startswith("OBJECT") & F.coalesce(inner.startswith("OBJECT"), F.lit(True))
     (en, en_ok), (es, es_ok) = _side(F.col("_json"), "en"), _side(F.col("_json"), "es")

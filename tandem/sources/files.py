@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 # Files up to this size are hashed as one value; larger ones line by line, in parallel.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
@@ -22,6 +23,18 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return listing.select(plain_path(F.col("path")).alias("path"), "length")
 
 
+def list_present(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """As `list_files`; paths that do not exist have no files. The paths are those of a manifest, a few."""
+    listing = spark.createDataFrame([], "path string, length bigint")
+    for path in paths:
+        try:
+            listing = listing.unionByName(list_files(spark, path))
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return listing
+
+
 def file_checksums(spark: SparkSession, path: str | list[str], whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """(path, length, algorithm, checksum): md5 of the bytes, or a mergeable line digest for large files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -97,9 +110,11 @@ def with_directories(files: DataFrame) -> DataFrame:
 
 
 def manifest_missing(manifest: DataFrame, files: DataFrame) -> DataFrame:
-    """Sources whose path is neither a listed file nor a directory of listed files; empty = complete."""
-    present = with_directories(files).select(F.explode(F.array("path", "directory")).alias("path")).distinct()
-    wanted = manifest.withColumn("_path", plain_path(F.col("path")))
+    """Sources whose path is neither a listed file nor a folder above listed files; empty = complete."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    present = files.select(F.explode(above).alias("path")).distinct()
+    wanted = manifest.withColumn("_path", F.regexp_replace(plain_path(F.col("path")), "/+$", ""))
     return wanted.join(present.withColumnRenamed("path", "_path"), "_path", "left_anti").drop("_path")
 
 

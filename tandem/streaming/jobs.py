@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tandem.operators.monitor import LOG_KEYS, inference_log, window_measures
-from tandem.operators.sessions import final_transcripts, latest_lines, line_index
+from tandem.operators.monitor import inference_log, value_counts, window_keys, window_report
+from tandem.operators.ranking import running_total
+from tandem.operators.sessions import final_transcripts, latest_lines
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, pattern: str | None = None, files: int | None = None) -> DataFrame:
@@ -52,26 +53,16 @@ def stream_inference_log(requests: DataFrame, out: str, trigger: dict = NOW) ->
 
 
 def windowed_log(log: DataFrame, width: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:
-    """Window statistics of a log stream; rows later than the watermark are dropped.
+    """Counts per window, keys and latency value of a log stream; rows later than the watermark are dropped.
 
-    The 95th percentile is a mergeable sketch here: exact for windows below its 10,000 entries,
-    within a ten-thousandth of the rank beyond.
+    The state holds one row per distinct value of a window, and the percentile is looked up on reading, as in batch.
     """
     timed = log.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", late)
-    window = F.window("timestamp", width, slide)
-    return (
-        timed.groupBy(window.alias("window"), "direction", "domain")
-        .agg(
-            *window_measures(F.count("*"), F.sum("latency_ms"), F.sum("input_len"), F.sum("output_len")),
-            F.percentile_approx("latency_ms", 0.95, 10_000).alias("latency_p95"),
-        )
-        .select(F.col("window.start").alias("window_start"), "*")
-        .drop("window")
-    )
+    return timed.groupBy(*window_keys(F.col("timestamp"), width, slide), "latency_ms").agg(*value_counts())
 
 
 def stream_monitor(log: DataFrame, out: str, trigger: dict = NOW, **window) -> StreamingQuery:
-    """Changed windows of each micro-batch; read them with `read_monitor`."""
+    """Changed counts of each micro-batch; read the report with `read_monitor`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/windows/batch={batch_id}")
@@ -80,42 +71,33 @@ def stream_monitor(log: DataFrame, out: str, trigger: dict = NOW, **window) -> S
 
 
 def read_monitor(spark: SparkSession, out: str) -> DataFrame:
-    """Latest state of each window."""
-    changes = spark.read.parquet(f"{out}/windows")
-    values = [name for name in changes.columns if name not in (*LOG_KEYS, "batch")]
-    state = F.max_by(F.struct(*values), "batch").alias("state")
-    return changes.groupBy(*LOG_KEYS).agg(state).select(*LOG_KEYS, "state.*")
-
+    """The report from the latest counts of each window and value."""
+    keys = ["window", "direction", "domain", "latency_ms"]
+    state = F.max_by(F.struct("n", "n_in", "n_out"), "batch").alias("state")
+    latest = spark.read.parquet(f"{out}/windows").groupBy(*keys).agg(state)
+    return window_report(latest.select(*keys, "state.*"))
 
-def stream_final_lines(events: DataFrame, out: str, session: str, position: str, trigger: dict = NOW) -> StreamingQuery:
-    """Numbers the final lines of each session 0, 1, 2, ... over all micro-batches.
 
-    The state is a table of line counts per session, one version per micro-batch. Numbering is a
-    distributed join and window, so one busy session does not hold up the batch.
-    """
+def stream_final_lines(events: DataFrame, out: str, trigger: dict = NOW) -> StreamingQuery:
+    """Appends the final lines of each micro-batch under the batch's number; `read_lines_table` numbers them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        finals = final_transcripts(batch)
-        numbered = line_index(finals, session, position)
-        counts = finals.groupBy(session).agg(F.count("*").alias("new"))
-        if batch_id > 0:
-            before = spark.read.parquet(f"{out}/counts/batch={batch_id - 1}")
-        else:
-            before = counts.select(session, F.col("new").alias("lines")).limit(0)
-        placed = numbered.join(before, session, "left")
-        placed = placed.withColumn("idx", F.col("idx") + F.coalesce("lines", F.lit(0))).drop("lines")
-        placed.write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
-        after = before.join(counts, session, "full_outer").select(
-            session, (F.coalesce("lines", F.lit(0)) + F.coalesce("new", F.lit(0))).alias("lines")
-        )
-        after.write.mode("overwrite").parquet(f"{out}/counts/batch={batch_id}")
+        final_transcripts(batch).write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
 
     return _each_batch(events, out, write, "append", trigger)
 
 
-def read_lines_table(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/lines").drop("batch")
+def read_lines_table(spark: SparkSession, out: str, session: str, position: str, step: int = 65_536) -> DataFrame:
+    """The final lines with `idx`: 0, 1, 2, ... per session, by micro-batch and then position.
+
+    Numbers come from counts per batch and step of the position, so a line keeps its number as batches are added, and
+    neither a session nor a batch has to fit into one task.
+    """
+    lines = spark.read.parquet(f"{out}/lines")
+    batch = F.col("batch").cast("bigint")
+    cell = F.array(batch, F.floor(F.col(position) / step).cast("bigint"))
+    numbered = running_total(lines, [session], [batch, F.col(position)], cell, "_n")
+    return numbered.withColumn("idx", F.col("_n") - 1).drop("_n", "batch")
 
 
 def stream_line_updates(updates: DataFrame, out: str, trigger: dict = NOW) -> StreamingQuery:

@@ -269,7 +269,7 @@ def test_eval_gate(records):
     assert report["short_sents"]["cap"] == 2.0
     with pytest.raises(quality.DatasetRejected, match="BLEU"):
         evaluate.eval_gate(df, Rules(bleu_threshold=90.0))
-    with pytest.raises(quality.DatasetRejected, match="Bias"):
+    with pytest.raises(quality.DatasetRejected, match="slice"):
         evaluate.eval_gate(df, Rules(slice_cap=0.154))
 
 
@@ -291,3 +291,11 @@ def test_run_metrics(spark):
     unknown = results.withColumn("train_loss_start", F.lit(-1.0))
     got = {r["key"] for r in evaluate.loss_delta(evaluate.run_metrics(unknown, "r1")).collect()}
     assert got == {"train_loss_final"}
+
+
+def test_evaluation_covers_all_rows_unless_heads_are_asked_for(records):
+    df = records(HAND * 200)
+    report = {r["slice"]: r["count"] for r in evaluate.eval_report(df).collect()}
+    assert report["overall"] == 200 * len(HAND) > 500
+    heads = {r["slice"]: r["count"] for r in evaluate.eval_report(df, Rules(eval_head=500, eval_slice_head=200)).collect()}
+    assert heads["overall"] == 500 and heads["medical"] == 200

@@ -114,8 +114,26 @@ def test_batch_translate_keeps_failed_rows(spark):
     assert [(r["prompt"], r["translated"]) for r in got] == [("a", "A"), ("b", "B"), ("zzz", "")]
     assert got[0]["error"] is None and "zzz" in got[2]["error"]
     assert all(r["latency_ms"] >= 0 for r in got)
+    # A batch of the wrong length is tried row by row, and a null prompt fails alone.
     short = translate.batch_translate(df, lambda: lambda prompts: ["x"], batch=2).collect()
-    assert [r["translated"] for r in short] == ["", "", "x"]
+    assert [r["translated"] for r in short] == ["x", "x", "x"]
+    mixed = spark.createDataFrame([("a",), ("zzz",), (None,), ("b",)], "prompt string").coalesce(1)
+    rows = translate.batch_translate(mixed, load, batch=64).collect()
+    assert [r["translated"] for r in rows] == ["A", "", "", "B"]
+    assert [r["error"] is None for r in rows] == [True, False, False, True]
+
+
+def test_missing_domain_is_not_oversampled(spark, records):
+    df = records([{}] * 3)
+    assert sampling.oversample_domain(df, "legal", 0.9).count() == 3
+    with pytest.raises(ValueError, match="share"):
+        sampling.oversample_domain(df, "medical", 1.0)
+
+
+def test_line_index_keeps_null_sessions_and_positions(spark):
+    rows = [("a", 5), ("a", None), (None, 1), (None, 2), ("a", 7)]
+    got = sessions.line_index(spark.createDataFrame(rows, "s string, p bigint"), "s", "p").collect()
+    assert {(r["s"], r["p"], r["idx"]) for r in got} == {("a", None, 0), ("a", 5, 1), ("a", 7, 2), (None, 1, 0), (None, 2, 1)}
 
 
 def log_rows(spark, minutes, name, path):
@@ -150,6 +168,15 @@ def test_stream_drops_rows_behind_the_watermark(spark, tmp_path):
     assert got == {T0: (1, 10.0), T0 + dt.timedelta(hours=3): (2, 40.0)}
 
 
+def test_stream_percentile_is_exact_in_large_windows(spark, tmp_path):
+    rng = random.Random(7)
+    values = [(i % 60, rng.randint(1, 10**6) / 100) for i in range(24_000)]
+    schema = log_rows(spark, values, "a", f"{tmp_path}/log")
+    jobs.stream_monitor(jobs.read_files(spark, f"{tmp_path}/log", schema), f"{tmp_path}/out").awaitTermination()
+    row = jobs.read_monitor(spark, f"{tmp_path}/out").first()
+    assert (row["n"], row["latency_p95"]) == (24_000, sorted(v for _, v in values)[24_000 * 95 // 100 - 1])
+
+
 def test_stream_numbers_lines_across_batches_and_replays(spark, tmp_path):
     path, out = f"{tmp_path}/in", f"{tmp_path}/out"
     schema = "session string, turn bigint, is_final boolean, text string"
@@ -157,8 +184,8 @@ def test_stream_numbers_lines_across_batches_and_replays(spark, tmp_path):
     for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
         stream = jobs.read_files(spark, path, spark.read.parquet(path).schema, files=1)
-        jobs.stream_final_lines(stream, out, "session", "turn").awaitTermination()
-    got = sorted((r["session"], r["turn"], r["idx"]) for r in jobs.read_lines_table(spark, out).collect())
+        jobs.stream_final_lines(stream, out).awaitTermination()
+    got = sorted((r["session"], r["turn"], r["idx"]) for r in jobs.read_lines_table(spark, out, "session", "turn").collect())
     assert got == [("a", 1, 0), ("a", 3, 1), ("b", 1, 0), ("b", 9, 1), ("c", 1, 0)]
 
 

@@ -129,6 +129,27 @@ def test_uri_split(column, uri, bucket, prefix):
     assert column(F.array(first, second), [uri]) == [[bucket, prefix]]
 
 
+def test_log_append_does_not_raise(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    assert writers.append_log(spark.range(2), f"{tmp_path}/log") and writers.append_log(spark.range(1), f"{tmp_path}/log")
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 3
+    assert not writers.append_log(spark.range(1), f"{tmp_path}/file/log")
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"translation": {"en": "a", "es": "b"}}\n')
+    plan = bitext.scan_bitext(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1
+
+
+def test_nested_folders_and_a_closing_slash_are_present(spark, tmp_path):
+    (tmp_path / "s/deep").mkdir(parents=True)
+    (tmp_path / "s/deep/a.txt").write_text("x")
+    manifest = spark.createDataFrame([("s", f"{tmp_path}/s/"), ("t", f"{tmp_path}/t")], "name string, path string")
+    listing = files.list_present(spark, [f"{tmp_path}/s/", f"{tmp_path}/t"])
+    assert [r["name"] for r in files.manifest_missing(manifest, listing).collect()] == ["t"]
+
+
 def test_publish_plan_counts_what_is_there(spark, records, tmp_path):
     splits = records([{}] * 3).withColumn("split", F.element_at(F.array(*map(F.lit, ("train", "val", "test"))), F.col("row_no").cast("int") + 1))
     writers.sink_splits(splits, f"{tmp_path}/splits")
@@ -136,7 +157,8 @@ def test_publish_plan_counts_what_is_there(spark, records, tmp_path):
     writers.sink_slices(slices, f"{tmp_path}/slices")
     for name in writers.APPROVED_REPORTS[:3]:
         writers.sink_report(spark.range(1), f"{tmp_path}/reports/{name}")
-    plan = writers.publish_plan(spark, str(tmp_path), "v9").collect()
+    plan = writers.publish_plan(spark, f"file://{tmp_path}", "v9").collect()
+    assert plan == writers.publish_plan(spark, f"{tmp_path}/", "v9").collect()
     assert len(plan) == 9 and sum(r["found"] for r in plan) == 8
     missing = next(r for r in plan if not r["found"])
     assert (missing["target"], missing["size_mb"]) == ("version=v9/reports/dataset_approval", 0.0)
@@ -164,5 +186,12 @@ def test_whole_run(spark, tmp_path):
     with pytest.raises(DatasetRejected, match="Train set too small"):
         run_corpus(spark, f"{tmp_path}/manifest", f"{tmp_path}/out2", f"{tmp_path}/pub2", Rules())
     (tmp_path / "law.jsonl").rename(tmp_path / "gone.jsonl")
-    with pytest.raises(Exception, match="law"):
+    with pytest.raises(DatasetRejected, match="Missing sources.*law"):
         run_corpus(spark, f"{tmp_path}/manifest", f"{tmp_path}/out3", f"{tmp_path}/pub3", rules)
+    asked = []
+    bring = lambda names: (asked.extend(names), (tmp_path / "gone.jsonl").rename(tmp_path / "law.jsonl"))
+    again = run_corpus(spark, f"{tmp_path}/manifest", f"{tmp_path}/out4", f"{tmp_path}/pub4", rules, fetch=bring).first()
+    assert len(asked) == 1 and again["train_records"] == 1120
+    # The order key is the same for another folder and other blocks.
+    keys = {r["shuffle_key"] for r in spark.read.parquet(f"{tmp_path}/out/stage/splits").collect()}
+    assert keys == {r["shuffle_key"] for r in spark.read.parquet(f"{tmp_path}/out4/stage/splits").collect()}

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tandem.functions import text as txt
-from tandem.operators.translate import nfc, truncate_tokens
+from tandem.operators.translate import truncate_tokens
 
 SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
@@ -89,5 +89,6 @@ def test_truncate(column):
     assert column(truncate_tokens(F.col("x"), 2), texts) == ["a  b", "a b", " a b", ""]
 
 
-def test_nfc(column):
-    assert column(nfc(F.col("x")), ["café", "x", None]) == ["café", "x", None]
+def test_repair_takes_any_reference(column):
+    texts = ["don&apos;t", "&#00000065;&#x0000000042;", "&rarr;&nosuch;", "&#99999999999;"]
+    assert column(txt.repair_text(F.col("x")), texts) == ["don't", "AB", "\u2192&nosuch;", "&#99999999999;"]
