@@ -15,7 +15,7 @@ from tandem.functions import records as rec
 from tandem.functions import text as txt
 from tandem.operators import bleu, evaluate, monitor, pairs, profile, quality, sampling, sessions, slices, split, translate
 from tandem.plans import fixtures as fx
-from tandem.plans.oracle import bleu_sql, sql
+from tandem.plans.oracle import bleu_sql, over_all_records, sql
 from tandem.settings import RECORD_FIELDS, STAT_METRICS, Rules
 from tandem.sinks import writers
 from tandem.sources import bitext, files
@@ -451,12 +451,12 @@ def messages(spark, sf):
 
 @query(
     "tokenize_13a",
-    bleu_sql("""select doc_id, pair_no, direction, array_to_string(toks, ' ') tokens from bleu_in
-        where slice = 'overall' and side = 'h'""", "slice = 'overall'"),
+    over_all_records(bleu_sql("""select doc_id, pair_no, direction, array_to_string(toks, ' ') tokens from bleu_in
+        where slice = 'overall' and side = 'h'""", "slice = 'overall'")),
 )
 def tokenize_13a(spark, sf):
     tokens = F.array_join(txt.tokenize_13a(F.col("output")), " ")
-    return fx.split_of(spark, sf, "test").select(*fx.ROW_ID, tokens.alias("tokens"))
+    return fx.records(spark, sf).select(*fx.ROW_ID, tokens.alias("tokens"))
 
 
 @query("latency_ms", """select event_id, round_even(round("value" * 1000) / 1000.0, 2) latency_ms from events""")
@@ -538,18 +538,18 @@ def assign_slices(spark, sf):
     return slices.assign_slices(fx.test_split(spark, sf)).select("slice", *fx.ROW_ID)
 
 
-@query("explode_words", sql("select side, word, count(*) n from word_rows where slice = 'overall' group by all"))
+@query("explode_words", over_all_records(sql("select side, word, count(*) n from word_rows where slice = 'overall' group by all")))
 def explode_words(spark, sf):
-    return slices.explode_words(fx.test_split(spark, sf)).groupBy("side", "word").agg(F.count("*").alias("n"))
+    return slices.explode_words(fx.records(spark, sf)).groupBy("side", "word").agg(F.count("*").alias("n"))
 
 
 @query(
     "explode_ngrams",
-    bleu_sql("""select n, count(*) ngrams, count(distinct gram) distinct_ngrams
-        from bleu_grams where slice = 'overall' and side = 'h' group by n"""),
+    over_all_records(bleu_sql("""select n, count(*) ngrams, count(distinct gram) distinct_ngrams
+        from bleu_grams where slice = 'overall' and side = 'h' group by n""")),
 )
 def explode_ngrams(spark, sf):
-    counts = bleu.explode_ngrams(fx.test_split(spark, sf)).groupBy("n", "ngram").count()
+    counts = bleu.explode_ngrams(fx.records(spark, sf)).groupBy("n", "ngram").count()
     return rounded(counts.groupBy("n").agg(F.sum("count").alias("ngrams"), F.count("*").alias("distinct_ngrams")))
 
 
