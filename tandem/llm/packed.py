@@ -58,17 +58,26 @@ class Outbox:
             i, j = edges[b], edges[b + 1]
             if i < j:
                 numbers.append(b)
-                blocks.append(b"".join(c[i:j].tobytes() for c in columns))
+                blocks.append(block_of([c[i:j] for c in columns]))
         yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
 
+def block_of(columns: list[np.ndarray]) -> bytes:
+    """Columns of equal length, the first ascending, as bytes that compress well: differences of the first, and of each
+    column all first bytes, then all second ones, and so on."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in (first, *columns[1:]))
+
+
 def unpack(block: bytes, dtypes: tuple[str, ...]) -> list[np.ndarray]:
     types = [np.dtype(d) for d in dtypes]
     n = len(block) // sum(d.itemsize for d in types)
     out, at = [], 0
     for d in types:
-        out.append(np.frombuffer(block, d, n, at))
+        planes = np.frombuffer(block, np.uint8, n * d.itemsize, at).reshape(d.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(d).ravel())
         at += n * d.itemsize
+    out[0] = np.cumsum(out[0], dtype=types[0])
     return out
 
 

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.packed import bucket_count, exchange, rows, runs, text_size
-from tandem.llm.words import WordHashes, covered, split_words, text_bytes, window_hashes
+from tandem.llm.packed import bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
+from tandem.llm.words import WordHashes, covered, mix, split_words, text_bytes, window_hashes
 
 WINDOW = 20
 #: A perfect difference set: every residue modulo 13 is a difference of two members.
@@ -32,16 +32,24 @@ def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return at, found[at]
 
 
-def _per_document(kept: np.ndarray, doc: np.ndarray, keys: np.ndarray):
-    """Rows (doc, packed keys) of the kept entries of a bucket."""
-    doc, keys = doc[kept], keys[kept]
-    order = np.argsort(doc, kind="stable")
-    doc, keys = doc[order], keys[order]
-    edges = runs(doc)
-    if len(doc):
+def _per_document(blocks: DataFrame, turn, dtypes: tuple[str, ...], buckets: int) -> DataFrame:
+    """`doc`, `keys`: one row per document with the packed keys that `turn` finds for it, as arrays (keys, documents)."""
+    onward = ("u8", "i8", "u8")
+
+    def send(columns):
+        keys, doc = turn(columns)
+        yield mix(doc.astype(np.uint64)), doc, keys
+
+    def receive(columns):
+        spread, doc, keys = columns
+        order = np.lexsort((doc, spread))
+        doc, keys = doc[order], keys[order]
+        edges = runs(doc)
         packed = [keys[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]
         yield from rows([doc[edges[:-1]], packed], [("doc", pa.int64()), ("keys", pa.binary())])
 
+    return receive_blocks(forward_blocks(blocks, send, dtypes, onward, buckets), receive, onward, buckets, "doc bigint, keys binary")
+
 
 def _shared_anchors(texts: DataFrame, window: int, buckets: int) -> DataFrame:
     """`doc`, `keys`: hashes of a document's anchors that another document has too."""
@@ -55,15 +63,14 @@ def _shared_anchors(texts: DataFrame, window: int, buckets: int) -> DataFrame:
                 found = np.unique(found)
                 yield from box.add(found, np.full(len(found), doc, np.int64))
 
-    def receive(columns):
+    def turn(columns):
         keys, doc = columns
         edges = runs(keys)
-        size = np.diff(edges)
-        if len(size):
-            differ = np.minimum.reduceat(doc, edges[:-1]) != np.maximum.reduceat(doc, edges[:-1])
-            yield from _per_document(np.repeat(differ, size), doc, keys)
+        differ = np.minimum.reduceat(doc, edges[:-1]) != np.maximum.reduceat(doc, edges[:-1])
+        kept = np.repeat(differ, np.diff(edges))
+        return keys[kept], doc[kept]
 
-    return exchange(texts, send, receive, kinds, buckets, "doc bigint, keys binary")
+    return _per_document(send_blocks(texts, send, kinds, buckets), turn, kinds, buckets)
 
 
 def _earlier_windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -78,7 +85,7 @@ def _earlier_windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
                 if len(words) < window:
                     continue
                 at, found = anchors(words, window)
-                at = at[np.isin(found, np.concatenate([np.frombuffer(k, np.uint64) for k in keys]))]
+                at = at[np.isin(found, np.frombuffer(keys, np.uint64))]
                 # A window that holds the anchor begins at most PERIOD - 1 words before it.
                 first = np.maximum(at - PERIOD + 1, 0)
                 start = np.flatnonzero(_spans(first, at + 1, len(words) - window + 1))
@@ -86,19 +93,18 @@ def _earlier_windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
                 one, pick = np.unique(one, return_index=True)
                 yield from box.add(one, two[pick], np.full(len(one), doc, np.int64))
 
-    def receive(columns):
+    def turn(columns):
         one, two, doc = columns
         several = np.repeat(np.diff(runs(one)) > 1, np.diff(runs(one)))
         one, two, doc = one[several], two[several], doc[several]
         order = np.lexsort((doc, two, one))
         one, two, doc = one[order], two[order], doc[order]
-        if len(one):
-            new = np.ones(len(one), bool)
-            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            yield from _per_document(doc > least, doc, one)
+        new = np.ones(len(one), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(one) else new
+        return one[later], doc[later]
 
-    return exchange(texts, send, receive, kinds, buckets, "doc bigint, keys binary")
+    return _per_document(send_blocks(texts, send, kinds, buckets), turn, kinds, buckets)
 
 
 def _spans(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
@@ -110,8 +116,7 @@ def _spans(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
 
 def _attach(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """The texts, each with the packed keys that belong to it, if any. Both uses shuffle the texts alike: once."""
-    grouped = keys.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("keys").alias("keys"))
-    return texts.join(grouped.hint("shuffle_hash"), F.col("doc") == F.col("_doc"), "left")
+    return texts.join(keys.withColumnRenamed("doc", "_doc").hint("shuffle_hash"), F.col("doc") == F.col("_doc"), "left")
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -142,7 +147,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                     again[:] = len(first) < len(found)
                     again[first] = False
                     if keys:
-                        again |= np.isin(found, np.concatenate([np.frombuffer(k, np.uint64) for k in keys]))
+                        again |= np.isin(found, np.frombuffer(keys, np.uint64))
                 if again.any():
                     gone = covered(np.flatnonzero(again), window, len(words))
                     removed.append(int(gone.sum()))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tandem.llm import jaccard, substrings
 from tandem.llm.components import components
+from tandem.llm.packed import Outbox, block_of, unpack
 from tandem.llm.queries import QUERIES
 from tandem.llm.words import WordHashes, covered, split_words, window_hashes
 
@@ -126,3 +127,19 @@ def test_word_helpers():
     assert len(found) == 4 and found[0] == found[2] != found[1] == found[3]
     assert not len(window_hashes(hashes, 6))
     assert covered(np.array([0, 3]), 2, 6).tolist() == [True, True, False, True, True, False]
+
+
+def test_blocks_round_trip():
+    rng = np.random.default_rng(0)
+    kinds = ("u8", "i8", "u4", "u1", "f8")
+    for n in (1, 2, 1000):
+        columns = [np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)), rng.integers(-9, 9, n), rng.integers(0, 2**32, n, dtype=np.uint32), rng.integers(0, 2, n).astype(np.uint8), rng.normal(size=n)]
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(unpack(block_of(columns), kinds), columns, strict=True))
+    box = Outbox(7, ("u8", "i8"), flush=100)
+    keys = rng.integers(0, 2**64, 950, dtype=np.uint64)
+    batches = [b for i in range(0, 950, 50) for b in box.add(keys[i : i + 50], np.arange(i, i + 50))] + list(box.drain())
+    back = [(int(k), int(v)) for b in batches for x in b.column("block").to_pylist() for k, v in zip(*unpack(x, ("u8", "i8")), strict=True)]
+    assert sorted(back) == sorted(zip(keys.tolist(), range(950), strict=True))
+    for b in batches:
+        for bucket, x in zip(b.column("bucket").to_pylist(), b.column("block").to_pylist(), strict=True):
+            assert {int(k) * 7 >> 64 for k in unpack(x, ("u8", "i8"))[0]} == {bucket}
