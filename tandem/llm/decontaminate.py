@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tandem.llm.words import small
+
 
 Q = 10
 TABLE_BITS = 22
@@ -172,7 +174,7 @@ def find_passages(
     def search_in(items):
         def run(batches):
             index = Index(items, search)
-            for batch in batches:
+            for batch in small(batches):
                 texts, old = batch.column("_text").to_pylist(), batch.column("_regions").to_pylist()
                 new = [[dict(zip(("item_id", "start", "end", "edits"), r, strict=True)) for r in index.regions(normal(t))] for t in texts]
                 both = pa.array([(a or []) + b for a, b in zip(old, new, strict=True)], REGION_ARROW)

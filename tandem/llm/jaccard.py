@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tandem.llm.components import components
 from tandem.llm.packed import bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
-from tandem.llm.words import WordHashes, mix, split_words, text_bytes, window_hashes
+from tandem.llm.words import WordHashes, mix, small, split_words, text_bytes, window_hashes
 from tandem.workspace import settle
 
 #: Min-hash keys per set in step 3; more keys find more links early, none is needed for the result.
@@ -77,7 +77,7 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
 
     def measure(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for text in batch.column("_text").to_pylist():
                 tokens = token_set(text, hashes, join.size)
@@ -99,7 +99,7 @@ def _screen(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
 
     def send(batches, box):
         hashes, seen = WordHashes(), set()
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column("_text").to_pylist():
                 tokens = token_set(text, hashes, join.size)
                 if join.alone(len(tokens)) or (sid := set_hash(tokens)) in seen:
@@ -157,7 +157,7 @@ def _shared_tokens(docs: DataFrame, left: DataFrame, join: Join, buckets: int) -
 
     def send(batches, box):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             for text, sid in zip(batch.column("_text").to_pylist(), batch.column("sid").to_pylist(), strict=True):
                 tokens = token_set(text, hashes, join.size)
                 if set_hash(tokens) == sid:
@@ -197,7 +197,7 @@ def _check(pairs: DataFrame, join: Join) -> DataFrame:
     """Rows of (a, b, n_a, n_b, tokens_a, tokens_b) whose common tokens reach the bound for these sizes."""
 
     def verify(batches):
-        for batch in batches:
+        for batch in small(batches):
             n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
             need = join.overlap(n, m)
             keep = [
@@ -220,7 +220,7 @@ def _group(table: DataFrame, join: Join) -> DataFrame:
     """Links (a, b) between sets with an equal min-hash and the leader of that hash."""
 
     def sign(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for t in batch.column("tokens").to_pylist():
                 tokens = np.frombuffer(t, np.uint64)
@@ -251,7 +251,7 @@ def _across(table: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
 
     def rarest(batches):
         """One row for each token among the rarest of a set that any partner must share one of."""
-        for batch in batches:
+        for batch in small(batches):
             tokens, source = [], []
             n = batch.column("n").to_pylist()
             for k, (t, d) in enumerate(zip(batch.column("tokens").to_pylist(), batch.column("df").to_pylist(), strict=True)):
@@ -279,7 +279,7 @@ def _across(table: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
     meets = meets.select(F.col("sid").alias("a"), "b").distinct()
 
     def unite(batches):
-        for batch in batches:
+        for batch in small(batches):
             unions = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in ts])).tobytes() for ts in batch.column("all").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("n_b"), pa.array(unions, pa.binary())], ["b", "n_b", "tokens_b"])
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.llm.packed import Outbox, bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
-from tandem.llm.words import WordHashes, mix, split_words, text_bytes
+from tandem.llm.words import WordHashes, mix, small, split_words, text_bytes
 from tandem.workspace import settle
 
 CLASSES = INNER = 16
@@ -91,7 +91,7 @@ def count_words(texts: DataFrame, options: Options, buckets: int) -> Counts:
 
     def send(batches, box: Outbox):
         hashes, held, size = WordHashes(), [], 0
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column("_text").to_pylist():
                 held.append(token_hashes(text, hashes))
                 size += len(held[-1])
@@ -132,7 +132,7 @@ def rare_words(texts: DataFrame, shared, options: Options, buckets: int) -> Data
 
     def send(batches, box):
         hashes, counts = WordHashes(), shared.value
-        for batch in batches:
+        for batch in small(batches):
             for key, text, train in zip(*(batch.column(c).to_pylist() for c in ("key", "_text", "train")), strict=True):
                 words, number = np.unique(token_hashes(text, hashes), return_counts=True)
                 rest = counts.places(words) < 0
@@ -230,7 +230,7 @@ def _improve(weights: Weights, squares: dict[int, np.ndarray], tokens: np.ndarra
 def _batches(batches, column: str, size: int):
     """Token arrays of about `size`, with the places where texts begin."""
     hashes, held, n = WordHashes(), [], 0
-    for batch in batches:
+    for batch in small(batches):
         for text in batch.column(column).to_pylist():
             held.append(token_hashes(text, hashes))
             n += len(held[-1])
@@ -264,7 +264,7 @@ def train(texts: DataFrame, options: Options) -> Weights:
 
         def average(batches):
             sums: dict[int, list] = {}
-            for batch in batches:
+            for batch in small(batches):
                 for chunk, n, part in zip(*(batch.column(c).to_pylist() for c in ("chunk", "n", "part")), strict=True):
                     held = sums.setdefault(chunk, [0.0, 0])
                     held[0] = held[0] + n * np.frombuffer(part, np.float32).astype(np.float64)
@@ -306,7 +306,7 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
         hashes, counts, weights = WordHashes(), shared.value, Weights(options, model.value)
         logs = np.append(np.log10(counts.counts + options.smooth), 0.0)
         share = np.log10(counts.bin_tokens + options.smooth * (counts.bin_words + 1))
-        for batch in batches:
+        for batch in small(batches):
             tokens = [token_hashes(t, hashes) for t in batch.column("_text").to_pylist()]
             out = np.zeros((4, len(tokens)))
             k = 0

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PER_BUCKET = 3_000_000
-FLUSH = 1_500_000
+FLUSH = 750_000
 BLOCKS = "bucket int, block binary"
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tandem.llm.words import small
+
 #: The kinds in the order of reports, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -313,7 +315,7 @@ def find(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text
     schema = T.StructType([chosen.schema["_kept"], T.StructField("spans", SPAN)])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             out, held = [[] for _ in range(batch.num_rows)], []
             for k, raw in enumerate(batch.column("_text").to_pylist()):
                 data = np.frombuffer(raw, np.uint8)
@@ -347,7 +349,7 @@ def redacted(found: DataFrame, text: str = "text") -> DataFrame:
     schema = found.drop("spans").schema
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             new = [t if not s else redact(t, s) for t, s in zip(batch.column(text).to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == text else batch.column(n) for n in schema.names], schema.names)
 

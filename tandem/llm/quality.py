@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.words import WordHashes, covered, split_words, text_bytes, window_hashes
+from tandem.llm.words import WordHashes, covered, small, split_words, text_bytes, window_hashes
 from tandem.workspace import settle
 
 SYMBOLS = b"#*$%&|<>"
@@ -50,7 +50,7 @@ def text_counts(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> D
 
     def count(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             found = [counts_of(x, hashes) for x in batch.column("_text").to_pylist()]
             columns = [batch.column(n) for n in keep] + [pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * len(COUNTS))]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *COUNTS])

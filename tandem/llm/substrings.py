@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandem.llm.packed import bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
-from tandem.llm.words import WordHashes, covered, mix, split_words, text_bytes, window_hashes
+from tandem.llm.words import WordHashes, covered, mix, small, split_words, text_bytes, window_hashes
 
 WINDOW = 20
 #: A perfect difference set: every residue modulo 13 is a difference of two members.
@@ -57,7 +57,7 @@ def _shared_anchors(texts: DataFrame, window: int, buckets: int) -> DataFrame:
 
     def send(batches, box):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("_text").to_pylist(), strict=True):
                 _, found = anchors(hashes.of(split_words(text)), window)
                 found = np.unique(found)
@@ -79,7 +79,7 @@ def _earlier_windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
 
     def send(batches, box):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             for doc, text, keys in zip(*(batch.column(c).to_pylist() for c in ("doc", "_text", "keys")), strict=True):
                 words = hashes.of(split_words(text)) if keys else ()
                 if len(words) < window:
@@ -135,7 +135,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
     def strip(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in small(batches):
             n, removed, kept = [], [], []
             for text, keys in zip(batch.column("_text").to_pylist(), batch.column("keys").to_pylist(), strict=True):
                 words = split_words(text)

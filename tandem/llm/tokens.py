@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tandem.llm.words import small
+
 CACHE = "digest binary, tokenizer string, n_tokens bigint"
 ENCODE_BYTES = 4_000_000
 
@@ -61,7 +63,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id: str = "doc_id"
     def encode(batches):
         # Rows that repeat an id and text meet in one task.
         count, seen = counter(tokenizer, model), set()
-        for batch in batches:
+        for batch in small(batches):
             digests = batch.column("digest").to_pylist()
             fresh = [k for k, d in enumerate(digests) if not (d in seen or seen.add(d))]
             batch = batch.take(pa.array(fresh, pa.int64()))

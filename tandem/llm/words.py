@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
+ROWS = 512
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 ODD = np.array(
     [(0x9E3779B97F4A7C15 * (2 * i + 1) + 0xD1B54A32D192ED03 * i * i * 2) % 2**64 | 1 for i in range(128)], dtype=np.uint64
@@ -19,6 +23,13 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit("")).cast("binary")
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ROWS rows, so that few texts at a time become Python values."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
 class WordHashes(dict):
     """64-bit hash per word, remembered for up to MEMO_WORDS words."""
 
