@@ -278,7 +278,11 @@ def label_sample(docs: DataFrame, options: Training = Training(), id: str = "doc
     short = docs.where(F.length(text).between(1, options.max_chars)).select(F.col(text).alias("t"), F.xxhash64(F.col(id)).alias("h"))
     rows = []
     for part in (short.where(F.contains("t", F.lit("@"))), short.where(~F.contains("t", F.lit("@")))):
-        for row in part.orderBy("h", "t").limit(options.rows).collect():
+        # The hashes first, so that no task sends more texts than are wanted in all.
+        last = part.select("h").orderBy("h").limit(options.rows).agg(F.max("h")).first()[0]
+        if last is None:
+            continue
+        for row in part.where(F.col("h") <= last).orderBy("h", "t").limit(options.rows).collect():
             spans = base_spans(row["t"])
             rows.append((row["t"], spans))
             if any(k == "phone" for k, _, _ in spans):
