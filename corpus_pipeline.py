@@ -59,8 +59,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each span of personal data is replaced by its kind; n_chars follows the new text."""
     model = pii.train(pii.label_sample(docs))
-    found = pii.find(docs.select(packed(docs), F.col("text").alias("_text")), model, ("_row", "_text"), text="_text")
-    clean = pii.redacted(found, "_text")
+    found = pii.find(docs.select(packed(docs), F.col("text").alias("_text")), model, ("_row",), text="_text")
+    clean = pii.redacted(found.select("_row", F.col("_row").getField("text").alias("_text"), "spans"), "_text")
     length = F.when(F.col("_row").getField("n_chars").isNotNull(), F.length("_text").cast("bigint"))
     return unpacked(clean, docs, text=F.col("_text"), **({"n_chars": length} if "n_chars" in docs.columns else {}))
 

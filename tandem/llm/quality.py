@@ -44,19 +44,20 @@ def measures(limits: Limits) -> dict[str, Column]:
     }
 
 
-def text_counts(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Counts of every whole text beside the columns `keep`."""
+def text_counts(docs: DataFrame, keep: tuple[str, ...], text: str = "text", row: str | None = None) -> DataFrame:
+    """Counts of every whole text beside the columns `keep`; the text is a field of the kept column `row`, if given."""
     kinds = list(docs.select(*keep).schema)
 
     def count(batches):
         hashes = WordHashes()
         for batch in small(batches):
-            found = [counts_of(x, hashes) for x in batch.column("_text").to_pylist()]
+            texts = batch.column("_text").to_pylist() if row is None else [(x or "").encode() for x in batch.column(row).field(text).to_pylist()]
+            found = [counts_of(x, hashes) for x in texts]
             columns = [batch.column(n) for n in keep] + [pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * len(COUNTS))]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *COUNTS])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), *(f"{n} bigint" for n in COUNTS)])
-    return docs.select(*keep, text_bytes(text).alias("_text")).mapInArrow(count, schema)
+    return docs.select(*keep, *([text_bytes(text).alias("_text")] if row is None else [])).mapInArrow(count, schema)
 
 
 def counts_of(text: bytes, hashes: WordHashes) -> tuple[int, ...]:
@@ -145,7 +146,7 @@ def reject(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     shuffled for the limits, which are a small table."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     limit = settle(fences(sketches(text_counts(docs, ("lang", "source")), limits), limits), "fences")
-    counted = text_counts(docs.select(row, "lang", "source", "text"), ("_row", "lang", "source"))
+    counted = text_counts(docs.select(row, "lang", "source"), ("_row", "lang", "source"), row="_row")
     kept = _verdicts(counted, limit, limits).where("kept")
     return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
