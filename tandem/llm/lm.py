@@ -1,10 +1,14 @@
-"""A hashed maximum-entropy language model with a class-factored softmax.
+"""A hashed maximum-entropy language model with a class-factored softmax, and a table of word pairs that grows with the corpus.
 
-Words fall into 256 bins by their hash: 16 classes of 16. The model gives
-P(word | history) = P(class | history) * P(bin | class, history) * P(word | bin). The first two are softmaxes over hashed
+Words fall into 256 bins by their hash: 16 classes of 16. The softmax part gives
+Q(word | history) = P(class | history) * P(bin | class, history) * P(word | bin). The first two are softmaxes over hashed
 features of the history: the last word, the one before it (skip) and both together. The last is the word's smoothed share
 of its bin's tokens. It learns from all training documents: each task improves the weights over its own texts in small
-batches, Spark averages what the tasks learned, and the next round starts from there.
+batches, Spark averages what the tasks learned, and the next round starts from there. These weights have a fixed size.
+
+What follows each word is learned from exact counts of all pairs: P(word | history) =
+(count(last word, word) + weight * Q(word | history)) / (count(last word) + weight), where `weight` is the mean number of
+different words after a word. It adds up to 1, since every word of a training text is followed by a word or its end.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.packed import Outbox, bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
+from tandem.llm.packed import Outbox, block_of, bucket_count, receive_blocks, rows, runs, send_blocks, text_size, unpack
 from tandem.llm.words import WordHashes, mix, small, split_words, text_bytes
 from tandem.workspace import settle
 
@@ -25,6 +29,9 @@ BINS = CLASSES * INNER
 END, START = np.uint64(0x1D8AF066E1C3B5A7), np.uint64(0x6C62272E07BB0142)
 BYTES_PER_WORD = 6
 CHUNK = 8192
+# Keys a task holds before it merges them; bytes of text in a group.
+FEATURES = 2_000_000
+GROUP_BYTES = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -38,7 +45,7 @@ class Options:
     word_bits: int = 13
     pair_bits: int = 14
     inner_bits: int = 11
-    rounds: int = 1
+    rounds: int = 2
     batch: int = 32768
     rate: float = 0.1
 
@@ -122,46 +129,74 @@ def count_words(texts: DataFrame, options: Options, buckets: int) -> Counts:
     return Counts(int(n.sum()), int(v.sum()), n, v, words[order], np.array([r["n"] for r in top], np.int64)[order])
 
 
-def rare_words(texts: DataFrame, shared, options: Options, buckets: int) -> DataFrame:
-    """`key`, `rare_sum` (log10 of count plus `smooth`) and `rare_known` over each text's words that are not frequent.
+def before(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The token before each; START where texts begin."""
+    one = np.empty_like(tokens)
+    one[1:] = tokens[:-1]
+    one[first] = START
+    return one
+
+
+def pair_keys(one: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return mix(mix(one) * np.uint64(3) + tokens)
+
+
+def _totals(keys: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with the sums of their numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys, number = keys[order], number[order]
+    edges = runs(keys)[:-1]
+    return (keys[edges], np.add.reduceat(number, edges)) if len(keys) else (keys, number)
+
+
+def count_features(texts: DataFrame, shared, options: Options, groups: int, buckets: int) -> DataFrame:
+    """`place`, `kind` 0, `block`: for each group of texts its words that are not frequent and its pairs of successive
+    words, by hash, with their counts in all training texts. Rows of place -1 hold in `n` the keys counted in a bucket.
 
-    Words and texts meet by the word's hash; the training tokens among them are its count, so the vocabulary itself is
-    never joined or sent around.
+    Groups and counts meet by the hash, so the table of counts, which grows with the corpus, is never in one place. A
+    group asks for a key once, however often it holds it.
     """
-    kinds = ("u8", "i8", "i4", "u1")
+    kinds = ("u8", "i4", "i4")
 
     def send(batches, box):
         hashes, counts = WordHashes(), shared.value
+        keys, number, parts, held, place = np.empty(0, np.uint64), np.empty(0, np.int32), [], 0, -1
+
+        def merged():
+            found = [np.concatenate(x) for x in zip((keys, number), *parts, strict=True)]
+            return _totals(*found)
+
         for batch in small(batches):
-            for key, text, train in zip(*(batch.column(c).to_pylist() for c in ("key", "_text", "train")), strict=True):
-                words, number = np.unique(token_hashes(text, hashes), return_counts=True)
-                rest = counts.places(words) < 0
-                words, number = words[rest], number[rest]
-                yield from box.add(words, np.full(len(words), key, np.int64), number, np.full(len(words), train))
-
-    def turn(columns):
-        words, key, number, train = columns
-        edges = runs(words)
-        count = np.repeat(np.add.reduceat(number.astype(np.int64) * train, edges[:-1]), np.diff(edges))
-        # Rows of one id and text have one key, and the same sums.
-        order = np.lexsort((key, words))
-        words, key, number, count = words[order], key[order], number[order], count[order]
-        new = np.ones(len(words), bool)
-        new[1:] = (words[1:] != words[:-1]) | (key[1:] != key[:-1])
-        key, number, count = key[new], number[new], count[new]
-        found, at = np.unique(key, return_inverse=True)
-        total, known = np.bincount(at, number * np.log10(count + options.smooth)), np.bincount(at, number * (count > 0)).astype(np.int64)
-        yield found.view(np.uint64), total, known
+            for group, text, train in zip(*(batch.column(c).to_pylist() for c in ("place", "_text", "train")), strict=True):
+                tokens = token_hashes(text, hashes)
+                words = tokens[counts.places(tokens) < 0]
+                wanted = np.concatenate([words, pair_keys(before(tokens, np.zeros(1, np.int64)), tokens)])
+                parts.append((wanted, np.full(len(wanted), train, np.int32)))
+                held, place = held + len(wanted), group
+                if held >= FEATURES:
+                    keys, number = merged()
+                    parts, held = [], 0
+        if place >= 0:
+            keys, number = merged()
+            for i in range(0, len(keys), box.flush):
+                yield from box.add(keys[i : i + box.flush], np.full(len(keys[i : i + box.flush]), place, np.int32), number[i : i + box.flush])
 
     def receive(columns):
-        key, total, known = columns
-        edges = runs(key)[:-1]
-        found = [key[edges].view(np.int64), np.add.reduceat(total, edges), np.add.reduceat(known.astype(np.int64), edges)]
-        yield from rows(found, [("key", pa.int64()), ("rare_sum", pa.float64()), ("rare_known", pa.int64())])
-
-    blocks = send_blocks(texts.select("key", "_text", "train"), send, kinds, buckets)
-    onward = ("u8", "f8", "u4")
-    return receive_blocks(forward_blocks(blocks, turn, kinds, onward, buckets), receive, onward, buckets, "key bigint, rare_sum double, rare_known bigint")
+        keys, place, number = columns
+        edges = runs(keys)
+        sums = np.add.reduceat(number.astype(np.int64), edges[:-1])
+        total = np.repeat(sums, np.diff(edges))
+        known = np.flatnonzero(total)
+        known = known[np.argsort(place[known], kind="stable")]
+        keys, place, total = keys[known], place[known], total[known]
+        edges = runs(place)
+        blocks = [block_of([keys[i:j], total[i:j]]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        at = [int(place[i]) for i in edges[:-1]]
+        schema = [("place", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("block", pa.binary())]
+        yield from rows([[*at, -1], [0] * (len(at) + 1), [0] * len(at) + [int((sums > 0).sum())], [*blocks, None]], schema, 64)
+
+    asked = send_blocks(texts.select("place", "_text", "train").repartitionById(groups, "place"), send, kinds, buckets)
+    return receive_blocks(asked, receive, kinds, buckets, "place int, kind int, n bigint, block binary")
 
 
 # ---------------------------------------------------------------- weights
@@ -180,12 +215,8 @@ class Weights:
     def features(self, tokens: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Rows of the outer table and, given each token's class, of the inner one. `first` marks where texts begin."""
         o = self.options
-        one = np.empty_like(tokens)
-        one[1:] = tokens[:-1]
-        one[first] = START
-        two = np.empty_like(tokens)
-        two[1:] = one[:-1]
-        two[first] = START
+        one = before(tokens, first)
+        two = before(one, first)
         cut = lambda x, bits: (x >> np.uint64(64 - bits)).astype(np.int64)
         a, b, both = mix(one), mix(two ^ np.uint64(0x5555)), mix(one * np.uint64(3) + mix(two))
         words = 1 << o.word_bits
@@ -199,8 +230,8 @@ class Weights:
         bins, at = bin_of(tokens), np.arange(len(tokens))
         total = np.zeros(len(tokens), np.float32)
         for table, parts, gold in ((self.outer, outer, bins // INNER), (self.inner, inner, bins % INNER)):
-            score = sum(table[f] for f in parts)
-            score -= score.max(axis=1, keepdims=True)
+            score = sum(np.take(table, f, axis=0) for f in parts)
+            score -= np.maximum.reduce(score.T.copy())[:, None]
             chance = np.exp(score)
             norm = chance.sum(axis=1)
             total += score[at, gold] - np.log(norm)
@@ -215,14 +246,16 @@ def _improve(weights: Weights, squares: dict[int, np.ndarray], tokens: np.ndarra
     """One AdaGrad step on a batch."""
 
     def learn(table, parts, rest):
-        size, width = table.size, table.shape[1]
-        flat = rest.ravel()
-        grad = np.zeros(size)
+        grad = np.zeros(table.shape, np.float32)
         for f in parts:
-            grad += np.bincount((f[:, None] * width + np.arange(width)).ravel(), flat, size)
-        square = squares.setdefault(id(table), np.full(size, 1.0))
+            order = np.argsort(f.astype(np.uint16) if len(table) <= 1 << 16 else f, kind="stable")
+            edges = runs(f[order])[:-1]
+            grad[f[order[edges]]] += np.add.reduceat(rest[order], edges)
+        square = squares.setdefault(id(table), np.full(table.shape, 1.0, np.float32))
         square += grad * grad
-        table += (weights.options.rate * grad / np.sqrt(square)).astype(np.float32).reshape(table.shape)
+        grad *= weights.options.rate
+        grad /= np.sqrt(square)
+        table += grad
 
     weights.log_chances(tokens, first, learn)
 
@@ -294,21 +327,56 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
     """
     spark = docs.sparkSession
     held = is_held_out(F.col(id), options)
-    # `key` stands for id and text in the join of the rare words' sums.
     texts = docs.select(F.col(id).alias("_id"), text_bytes(text).alias("_text"), (~held).alias("train"), F.xxhash64(F.col(id), F.col(text)).alias("key"))
-    words = text_size(docs, text) / BYTES_PER_WORD
+    size = text_size(docs, text)
+    words = size / BYTES_PER_WORD
     training = texts.where("train")
     shared = spark.sparkContext.broadcast(count_words(training, options, bucket_count(docs, words / 4)))
-    rare = rare_words(texts, shared, options, bucket_count(docs, words / 8))
+    total = shared.value
+    # A group's texts are scored where the counts of their words and pairs arrive.
+    groups = max(2 * spark.sparkContext.defaultParallelism, size // GROUP_BYTES + 1)
+    texts = texts.withColumn("place", F.pmod("key", F.lit(groups)).cast("int"))
+    features = settle(count_features(texts, shared, options, groups, bucket_count(docs, words / 2)), "features")
+    pairs = features.where("place < 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] - (total.words - len(total.frequent))
+    # The model counts as many tokens beside those that followed a word as words follow one on average.
+    weight = max(1.0, pairs / max(1, total.words))
     model = spark.sparkContext.broadcast(train(training, options).values)
 
     def score(batches):
         hashes, counts, weights = WordHashes(), shared.value, Weights(options, model.value)
-        logs = np.append(np.log10(counts.counts + options.smooth), 0.0)
         share = np.log10(counts.bin_tokens + options.smooth * (counts.bin_words + 1))
+        parts, keys, found = [], np.empty(0, np.uint64), np.empty(0, np.int64)
+
+        def looked_up(wanted):
+            if not len(keys):
+                return np.zeros(len(wanted), np.int64)
+            # Ascending searches are quicker.
+            wanted, back = np.unique(wanted, return_inverse=True)
+            at = np.searchsorted(keys, wanted)
+            at[at == len(keys)] = 0
+            return np.where(keys[at] == wanted, found[at], 0)[back]
+
+        def counted(tokens):
+            tokens, back = np.unique(tokens, return_inverse=True)
+            places, out = counts.places(tokens), np.zeros(len(tokens), np.int64)
+            often = places >= 0
+            out[often], out[~often] = counts.counts[places[often]], looked_up(tokens[~often])
+            return out[back]
+
         for batch in small(batches):
+            # The group's counts come before its texts.
+            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            parts += [unpack(x, ("u8", "i8")) for x in batch.column("block").slice(0, int((kind == 0).sum())).to_pylist()]
+            batch = batch.slice(int((kind == 0).sum()))
+            if not batch.num_rows:
+                continue
+            if parts:
+                # Buckets are ranges of hashes.
+                parts.sort(key=lambda x: x[0][0])
+                keys, found = (np.concatenate(c) for c in zip(*parts, strict=True))
+                parts = []
             tokens = [token_hashes(t, hashes) for t in batch.column("_text").to_pylist()]
-            out = np.zeros((4, len(tokens)))
+            out = np.zeros((3, len(tokens)))
             k = 0
             while k < len(tokens):
                 # As many texts as make a batch; one at least.
@@ -318,29 +386,38 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
                     end += 1
                 every = np.concatenate(tokens[k:end])
                 first = np.cumsum([0, *map(len, tokens[k : end - 1])])
-                places = counts.places(every)
                 context = np.concatenate([
                     weights.log_chances(every[i : i + options.batch], np.append(0, first[(first > i) & (first < i + options.batch)] - i))
                     for i in range(0, len(every), options.batch)
                 ]).astype(np.float64)
-                for row, value in enumerate((logs[places], places >= 0, context / np.log(10) - share[bin_of(every)])):
+                one = before(every, first)
+                number = counted(every)
+                alone = np.log10(number + options.smooth)
+                # Texts begin as often as they end.
+                history = np.empty_like(number)
+                history[1:] = number[:-1]
+                history[first] = counted(np.array([END]))[0]
+                chance = 10 ** (context / np.log(10) - share[bin_of(every)] + alone)
+                chance = np.log10((looked_up(pair_keys(one, every)) + weight * chance) / (history + weight))
+                for row, value in enumerate((alone, number > 0, chance)):
                     out[row, k:end] = np.add.reduceat(value.astype(np.float64), first)
                 k = end
             n = np.array(list(map(len, tokens)), np.int64)
-            columns = [batch.column("_id"), batch.column("key"), batch.column("train"), pa.array(n), pa.array(out[0]), pa.array(out[1].astype(np.int64)), pa.array(out[2])]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "key", "train", "n", "s", "k", "c"])
+            columns = [batch.column("_id"), batch.column("train"), pa.array(n), pa.array(out[0]), pa.array(out[1].astype(np.int64)), pa.array(out[2])]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "train", "n", "s", "k", "c"])
 
     kind = texts.schema["_id"].dataType.simpleString()
-    scored = texts.mapInArrow(score, f"_id {kind}, key bigint, train boolean, n bigint, s double, k bigint, c double")
-    total = shared.value
+    sent = features.where("place >= 0").select("place", "kind", "block", F.lit(None).cast(kind).alias("_id"), F.lit(None).cast("binary").alias("_text"), F.lit(None).cast("boolean").alias("train"))
+    sent = sent.unionByName(texts.select("place", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("block"), "_id", "_text", "train"))
+    sent = sent.repartitionById(groups, "place").sortWithinPartitions("kind")
+    scored = sent.mapInArrow(score, f"_id {kind}, train boolean, n bigint, s double, k bigint, c double")
     base = float(np.log10(total.tokens + options.smooth * (total.words + 1)))
-    sums = F.col("s") + F.coalesce("rare_sum", F.lit(0.0))
-    return scored.join(rare, "key", "left").select(
+    return scored.select(
         F.col("_id").alias(id),
         (~F.col("train")).alias("held_out"),
         F.col("n").alias("n_tokens"),
-        (F.col("k") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        F.col("k").alias("n_known"),
         F.lit(total.tokens).cast("bigint").alias("train_tokens"),
-        (sums - F.col("n") * base).alias("base_score"),
-        (sums + F.col("c")).alias("score"),
+        (F.col("s") - F.col("n") * base).alias("base_score"),
+        F.col("c").alias("score"),
     )

@@ -183,3 +183,44 @@ def test_mix(spark, edges, clashing, nothing):
     assert mixing.mix(clashing).columns.count("topic") == 1
     assert not mixing.mix(nothing).collect()
     assert len(QUERIES["op2_source_mixing"](spark, SF).collect()) > 20
+
+
+def test_learning_grows_with_the_vocabulary(spark):
+    """By the registered options, on held-out text: 4,000 words, each of which mostly fixes the next one. 256 bins cannot
+    tell apart the 16 words in each."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(500):
+        at, text = rnd.randrange(4000), []
+        for _ in range(200):
+            text.append(f"w{at}")
+            at = (at * 7 + 3) % 4000 if rnd.random() < 0.95 else rnd.randrange(4000)
+        rows.append((i, " ".join(text)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lm.score_documents(table.repartition(3)).collect()
+    check_scores(found, rows)
+    held_out = [r for r in found if r["held_out"]]
+    assert len(held_out) > 30
+    assert sum(r["score"] for r in held_out) > 0.4 * sum(r["base_score"] for r in held_out)
+
+
+def test_pairs_are_counted_exactly_and_once(spark):
+    """Counts that reach the groups: of all training texts, whatever the number of groups."""
+    rows = [(i, t) for i, t in enumerate(["a b a b", "b a", "a a c", "", "a b"] * 8)]
+    tokens = {d: [lm.START, *lm.token_hashes(t.encode(), lm.WordHashes())] for d, t in rows}
+    want = collections.Counter(p for d, ts in tokens.items() if not held(d) for p in zip(ts, ts[1:]))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    options = lm.Options()
+    texts = table.selectExpr("cast(text as binary) _text", "crc32(cast(cast(doc_id as string) as binary)) % 10 <> 0 train", "cast(doc_id % 4 as int) place")
+    shared = spark.sparkContext.broadcast(lm.count_words(texts.where("train"), options, 2))
+    out = lm.count_features(texts, shared, options, 4, 3).collect()
+    assert sum(r["n"] for r in out) == len(want)
+    for place in range(4):
+        got = {}
+        for r in out:
+            if r["place"] == place:
+                keys, number = lm.unpack(bytes(r["block"]), ("u8", "i8"))
+                got |= dict(zip(keys.tolist(), number.tolist()))
+        inside = {p for d, ts in tokens.items() if d % 4 == place for p in zip(ts, ts[1:])} & set(want)
+        key = lambda p: int(lm.pair_keys(np.array([p[0]], np.uint64), np.array([p[1]], np.uint64))[0])
+        assert got == {key(p): want[p] for p in inside}
