@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-# Files up to this size are hashed as one value; larger ones line by line, in parallel.
+# Files up to this size are hashed as one value; larger ones line by line, in parallel. Both see every byte and its place.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
@@ -36,27 +36,48 @@ def list_present(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def file_checksums(spark: SparkSession, path: str | list[str], whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, length, algorithm, checksum): md5 of the bytes, or a mergeable line digest for large files."""
+    """(path, length, algorithm, checksum): md5 of the bytes, or a mergeable digest of large files by line number and line.
+
+    Lines end at a line feed only, so a return before it belongs to its line; with the length, that leaves no byte out.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     small = files.where(F.col("length") <= whole_bytes).select(
         plain_path(F.col("path")).alias("path"), "length", F.lit("md5").alias("algorithm"), F.md5("content").alias("checksum")
     )
     large = files.where(F.col("length") > whole_bytes).select(plain_path(F.col("path")).alias("path"), "length")
+    digests = numbered_lines(spark, path, whole_bytes).groupBy("path").agg(*digest_sums(F.xxhash64("number", "value")))
+    checksum = F.md5(F.concat_ws("|", digest_text(), "length"))
+    large = large.join(digests, "path", "left").select(
+        "path", "length", F.lit("xxhash64-lines").alias("algorithm"), checksum.alias("checksum")
+    )
+    return small.unionByName(large)
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], over: int) -> DataFrame:
+    """(path, number, value) of all lines in files of more than `over` bytes, numbered from 0 in the file.
+
+    Rows of a block of a file have successive ids, so their numbers follow from the counts of the blocks before it, and do
+    not depend on how the file was cut into blocks.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
+        .option("lineSep", "\n")
         .text(path)
+        .where(F.col("_metadata.file_size") > over)
         .select(
             plain_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("_metadata.file_size").alias("size"),
-            F.xxhash64("value").alias("hash"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("id"),
+            "value",
         )
-        .where(F.col("size") > whole_bytes)
     )
-    digests = lines.groupBy("path").agg(*digest_sums(F.col("hash")))
-    large = large.join(digests, "path", "left").select(
-        "path", "length", F.lit("xxhash64-lines").alias("algorithm"), digest_text().alias("checksum")
+    blocks = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("lines"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("offset", F.coalesce(F.sum("lines").over(earlier), F.lit(0)) - F.col("first"))
+    # A row per task of the scan, which the driver has planned already.
+    return lines.join(F.broadcast(blocks.select("path", "block", "offset")), ["path", "block"]).select(
+        "path", (F.col("id") + F.col("offset")).alias("number"), "value"
     )
-    return small.unionByName(large)
 
 
 def digest_sums(hashed: Column) -> list[Column]:

@@ -98,6 +98,43 @@ def test_large_files_are_hashed_by_line(spark, tmp_path):
     assert after["checksum"] != before
 
 
+def test_large_files_keep_order_and_line_ends(spark, tmp_path):
+    """Every edit changes the checksum, also of the manifest and the snapshot; how files are cut into blocks does not."""
+    lines = [f"line {i % 700} \u00e9" for i in range(5000)]
+    swapped = [lines[1], lines[0], *lines[2:]]
+    variants = {
+        "plain": "\n".join(lines) + "\n",
+        "swapped": "\n".join(swapped) + "\n",
+        "rotated": "\n".join(lines[2500:] + lines[:2500]) + "\n",
+        "crlf": "\r\n".join(lines) + "\r\n",
+        "one_return": "\n".join(lines).replace("0 \u00e9\n", "0 \u00e9\r", 1) + "\n",
+        "no_end": "\n".join(lines),
+        "blank_end": "\n".join(lines) + "\n\n",
+    }
+    path = tmp_path / "d" / "a.txt"
+    path.parent.mkdir()
+
+    def checksums():
+        listing = files.file_checksums(spark, str(path.parent), whole_bytes=50)
+        manifest = files.source_manifest(spark, [("a", str(path.parent), "x")], whole_bytes=50)
+        return listing.first()["checksum"], files.snapshot_manifest(listing).first()["hash"], manifest.first()["checksum"]
+
+    found = {}
+    for name, text in variants.items():
+        path.write_bytes(text.encode())
+        found[name] = checksums()
+    assert [len(set(x)) for x in zip(*found.values(), strict=True)] == [len(variants)] * 3
+    path.write_bytes(variants["plain"].encode())
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for size in (3000, 20_000):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 100)
+        assert files.numbered_lines(spark, str(path), 50).orderBy("number").select("number", "value").collect() == list(enumerate(lines))
+        assert checksums() == found["plain"]
+    for c, v in before.items():
+        spark.conf.set(c, v)
+
+
 def test_snapshot_and_status(spark, tmp_path):
     for name, text in (("d/a", "1"), ("d/b", "2"), ("e/c", "3")):
         (tmp_path / name).parent.mkdir(exist_ok=True)
