@@ -159,7 +159,7 @@ def count_features(texts: DataFrame, shared, options: Options, groups: int, buck
     kinds = ("u8", "i4", "i4")
 
     def send(batches, box):
-        hashes, counts = WordHashes(), shared.value
+        hashes, counts = WordHashes(), Counts(*shared.value)
         keys, number, parts, held, place = np.empty(0, np.uint64), np.empty(0, np.int32), [], 0, -1
 
         def merged():
@@ -331,8 +331,9 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
     size = text_size(docs, text)
     words = size / BYTES_PER_WORD
     training = texts.where("train")
-    shared = spark.sparkContext.broadcast(count_words(training, options, bucket_count(docs, words / 4)))
-    total = shared.value
+    total = count_words(training, options, bucket_count(docs, words / 4))
+    # Plain values: a class of this package would travel by name, and executors need no copy of it.
+    shared = spark.sparkContext.broadcast(tuple(vars(total).values()))
     # A group's texts are scored where the counts of their words and pairs arrive.
     groups = max(2 * spark.sparkContext.defaultParallelism, size // GROUP_BYTES + 1)
     texts = texts.withColumn("place", F.pmod("key", F.lit(groups)).cast("int"))
@@ -343,7 +344,7 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
     model = spark.sparkContext.broadcast(train(training, options).values)
 
     def score(batches):
-        hashes, counts, weights = WordHashes(), shared.value, Weights(options, model.value)
+        hashes, counts, weights = WordHashes(), Counts(*shared.value), Weights(options, model.value)
         share = np.log10(counts.bin_tokens + options.smooth * (counts.bin_words + 1))
         parts, keys, found = [], np.empty(0, np.uint64), np.empty(0, np.int64)
 
