@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, lm, mixing, pii, quality, substrings, tokens, urls, warc
+from tandem.llm import decontaminate, jaccard, lm, merkle, mixing, pii, quality, substrings, tokens, urls, warc
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,53 @@ def op7_lm_scoring(spark, sf):
 def op2_source_mixing(spark, sf):
     mixed = mixing.mix(documents(spark, sf))
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 9).alias("probability"), F.round("weight", 9).alias("weight"))
+
+
+_LEAF = " || ".join(f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "{n}", "text"))
+# crc32 by bits: a letter is met by exclusive or, a -1 shifts by one bit.
+_CRC = """xor(4294967295, list_reduce(flatten(list_prepend([4294967295], list_transform(string_split(cast(doc_id as varchar), ''),
+    lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, y: case when y >= 0 then xor(x, y) when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))"""
+OP11 = f"""
+with recursive leaves as (
+  select doc_id, lang, sha256({_LEAF.format(n="n_chars")}) leaf,
+         case when {_CRC} % 7 = 0 then sha256({_LEAF.format(n="(n_chars + 1)")}) end tampered from documents
+), placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 pos, count(*) over (partition by lang) c from leaves
+), up as (
+  select lang, 0 lvl, pos, leaf h, c from placed
+  union all
+  select lang, lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (c + 1) // 2 from up where c > 1 group by lang, lvl, pos // 2, c
+), roots as (
+  select lang, h, row_number() over (order by lang nulls first) - 1 pos, count(*) over () c from up where c = 1
+), top as (
+  select 0 lvl, pos, h, c from roots
+  union all
+  select lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (c + 1) // 2 from top where c > 1 group by lvl, pos // 2, c
+), nodes as (
+  select lang, lvl, pos, case when pos % 2 = 1 then lag(h) over w else '' end b, case when pos % 2 = 0 then coalesce(lead(h) over w, '') else '' end a
+  from up where c > 1 window w as (partition by lang, lvl order by pos)
+), high as (
+  select lvl, pos, case when pos % 2 = 1 then lag(h) over w else '' end b, case when pos % 2 = 0 then coalesce(lead(h) over w, '') else '' end a
+  from top where c > 1 window w as (partition by lvl order by pos)
+), steps as (
+  select p.lang, p.pos, n.lvl, n.b, n.a from placed p join nodes n on n.lang is not distinct from p.lang and n.pos = p.pos >> n.lvl
+  union all
+  select p.lang, p.pos, 1000 + t.lvl, t.b, t.a from placed p join roots r on r.lang is not distinct from p.lang join high t on t.pos = r.pos >> t.lvl
+), paths as (
+  select lang, pos, list({{'b': b, 'a': a}} order by lvl) path from steps group by lang, pos
+), folded as (
+  select p.doc_id, p.leaf, r.h subroot, (select h from top where c = 1) root, sha256(list_aggregate(list_transform(path, lambda s: s.b || s.a), 'string_agg', '')) proof,
+         list_reduce(list_prepend({{'b': '', 'a': coalesce(tampered, leaf)}}, path), lambda x, y: {{'b': '', 'a': sha256(y.b || x.a || y.a)}}).a as folded
+  from placed p join roots r on r.lang is not distinct from p.lang
+  join (select lang, pos, path from paths
+        union all select lang, pos, [] from placed p where not exists (select 1 from paths q where q.lang is not distinct from p.lang and q.pos = p.pos)) s
+    on s.lang is not distinct from p.lang and s.pos = p.pos
+)
+select doc_id, leaf, subroot, root, coalesce(proof, sha256('')) proof_sha256, folded folded_root, folded = root verified from folded
+"""
+
+
+@query("op11_merkle_manifest", OP11)
+def op11_merkle_manifest(spark, sf):
+    return merkle.manifest(documents(spark, sf))
