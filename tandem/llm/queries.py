@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, lm, merkle, mixing, pii, quality, substrings, tokens, urls, warc
+from tandem.llm import decontaminate, jaccard, lm, merkle, mixing, pii, quality, secrets, substrings, tokens, urls, warc
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,40 @@ select doc_id, leaf, subroot, root, coalesce(proof, sha256('')) proof_sha256, fo
 @query("op11_merkle_manifest", OP11)
 def op11_merkle_manifest(spark, sf):
     return merkle.manifest(documents(spark, sf))
+
+
+def _oracle13() -> str:
+    """Each kind's matches are placed by the pieces between them."""
+    kinds = []
+    for at, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        kinds.append(f"""
+  select doc_id, row, {at} "at", '{rule.name}' kind, s, s + length(m) e from (
+    select doc_id, row, unnest(found) m, unnest(part) p,
+           unnest(list_transform(range(1, len(found) + 1), lambda i: list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+             + coalesce(list_sum(list_transform(found[1:i - 1], lambda f: length(f))), 0)))::bigint s
+    from (select doc_id, row, regexp_extract_all("text", '{pattern}') found, regexp_extract_all("text", '{pattern}', {rule.group}) part,
+                 string_split_regex("text", '{pattern}') gaps from d where regexp_matches("text", '{pattern}'))
+  ) where length(p) >= {rule.least}""")
+    return f"""
+with d as (select doc_id, coalesce("text", '') "text", row_number() over () as row from documents), spans as ({" union all ".join(kinds)})
+select d.doc_id, {", ".join(f"count(*) filter (kind = '{r.name}') n_{r.name}" for r in secrets.BASE)},
+       sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by s, "at") filter ("at" < {len(secrets.BASE)}), '')) base_sha256,
+       coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by s, "at"), '') spans
+from d left join spans using (row) group by d.doc_id, row
+"""
+
+
+@query("op13_secret_scans", _oracle13())
+def op13_secret_scans(spark, sf):
+    """Two scans of one history, the second with all rules: it finds the first one's ledger and only does what that lacks."""
+    docs, ledger = documents(spark, sf), fresh_path(spark, "secret-ledger")
+    late = F.col("source").isNull() | (F.xxhash64("source") < 0)
+    secrets.scan(docs.where(~late), ledger, secrets.BASE)
+    found = secrets.findings(secrets.scan(docs, ledger), ledger)
+    base = F.filter("spans", lambda s: s["kind"].isin(*(r.name for r in secrets.BASE)))
+    digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        F.col("path").alias("doc_id"), *(count(r.name) for r in secrets.BASE), F.sha2(digest(base).cast("binary"), 256).alias("base_sha256"), digest("spans").alias("spans")
+    )
