@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, jaccard, lm, merkle, mixing, pii, quality, secrets, substrings, tokens, urls, warc
+from tandem.llm import decontaminate, jaccard, lm, merkle, mixing, pii, quality, secrets, substrings, tokens, urls, warc, whitening
 from tandem.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,11 @@ def op11_merkle_manifest(spark, sf):
     return merkle.manifest(documents(spark, sf))
 
 
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark, sf):
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def _oracle13() -> str:
     """Each kind's matches are placed by the pieces between them."""
     kinds = []
