@@ -139,12 +139,21 @@ BAD_LINES = (
 )
 
 
-def raw_sources(spark: SparkSession, sf: str) -> list[tuple[str, str, str]]:
-    """The pairs written as two raw JSON-line sources, bad lines included: (name, path, domain)."""
+def raw_sources(spark: SparkSession, sf: str, ordered: bool = False) -> list[tuple[str, str, str]]:
+    """The pairs written as two raw JSON-line sources, bad lines included: (name, path, domain). In the order of the
+    documents, if asked for, by a sort over all tasks."""
     base = fresh_path(spark, "raw")
     translation = F.to_json(F.struct(F.struct("en", "es").alias("translation")))
     # Every source gets the bad lines once per document that opens it.
     bad = F.when(F.col("pair_no") == 0, F.array(*(F.lit(line) for line in BAD_LINES))).otherwise(F.array())
-    lines = pairs(spark, sf).select("domain", F.explode(F.concat(F.array(translation), bad)).alias("value"))
-    lines.write.partitionBy("domain").text(base)
+    lines = pairs(spark, sf).select("domain", "doc_id", "pair_no", F.posexplode(F.concat(F.array(translation), bad)).alias("at", "value"))
+    lines = lines.orderBy("domain", "doc_id", "pair_no", "at") if ordered else lines
+    lines.select("domain", "value").write.partitionBy("domain").text(base)
     return [(f"{domain}_pairs", f"{base}/domain={domain}", domain) for domain in ("medical", "legal")]
+
+
+def source_files(documents: DataFrame) -> str:
+    """The texts of documents as lines, in a folder per source and in the order of their ids; gives the folder above."""
+    base = fresh_path(documents.sparkSession, "by-source")
+    documents.orderBy("source", "doc_id").select("source", "text").write.partitionBy("source").text(base)
+    return base

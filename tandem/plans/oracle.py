@@ -1,5 +1,7 @@
 """The bitext views in plain SQL, as common table expressions for the comparison queries."""
 
+from tandem.sources.digest import PRIMES
+
 VIEWS = r"""
 with l as (select doc_id, source, lang, unnest(string_split(text, chr(10))) ln,
                   generate_subscripts(string_split(text, chr(10)), 1) - 1 i from documents),
@@ -117,3 +119,19 @@ def bleu_sql(select: str, limit: str = "true") -> str:
 def over_all_records(text: str) -> str:
     """The same SQL with every record in the place of the test split."""
     return text.replace("test as (select * from splits where split = 'test')", "test as (select * from splits)")
+
+
+def checksum_sql(rows: str) -> str:
+    """(key, checksum) of a select of (key, "text"): the text's bytes as one number modulo two primes, seven bytes a step."""
+    residue = lambda p: f"format('{{:016x}}', list_reduce(list_prepend(0::hugeint, digits), lambda a, x: (a * 72057594037927936 + x) % {p})::bigint)"
+    return f"""(select key, {" || ".join(map(residue, PRIMES))} checksum from (
+      select key, list_transform(regexp_extract_all(lpad(h, cast(ceil(length(h) / 14.0) * 14 as int), '0'), '.{{14}}'),
+        lambda x: ('0x' || x)::hugeint) digits from (select key, '01' || hex(encode("text")) h from ({rows}))))"""
+
+
+def fingerprint_sql(columns: str, rows: str) -> str:
+    """("rows", fingerprint) of a select with these columns, whatever its order."""
+    value = lambda c: f"""coalesce(strlen(cast("{c}" as varchar)) || ':' || cast("{c}" as varchar), '-')"""
+    part = lambda at: f"sum(('0x' || substr(h, {at}, 15))::hugeint)"
+    return f"""select count(*) "rows", md5({part(1)} || '|' || {part(16)} || '|' || count(*)) fingerprint
+      from (select sha256({" || ".join(map(value, columns.split()))}) h from ({rows}))"""

@@ -15,7 +15,7 @@ from tandem.functions import records as rec
 from tandem.functions import text as txt
 from tandem.operators import bleu, evaluate, monitor, pairs, profile, quality, sampling, sessions, slices, split, translate
 from tandem.plans import fixtures as fx
-from tandem.plans.oracle import bleu_sql, over_all_records, sql
+from tandem.plans.oracle import bleu_sql, checksum_sql, fingerprint_sql, over_all_records, sql
 from tandem.settings import RECORD_FIELDS, STAT_METRICS, Rules
 from tandem.sinks import writers
 from tandem.sources import bitext, files
@@ -88,9 +88,21 @@ def scan_manifest_sources(spark, sf):
     return rounded(pairs.nonempty_pairs(scan).select("source", "source_rank", "domain", "en", "es"))
 
 
-@query("source_manifest")
+_BAD = ", ".join("'" + line + "'" for line in fx.BAD_LINES)
+_RAW_LINES = f"""select "domain" as key, string_agg(v || chr(10), '' order by doc_id, pair_no, "at") "text" from (
+    select "domain", doc_id, pair_no, 0 "at", cast(to_json({{'translation': {{'en': en, 'es': es}}}}) as varchar) v from pairs
+    union all select "domain", doc_id, pair_no, unnest(range(1, {len(fx.BAD_LINES) + 1})), unnest([{_BAD}]) from pairs where pair_no = 0
+  ) group by 1"""
+
+
+@query(
+    "source_manifest",
+    sql(f"""select case when key = 'medical' then 0 else 1 end "rank", key || '_pairs' as name, key as "domain", checksum
+            from {checksum_sql(_RAW_LINES)}"""),
+)
 def source_manifest(spark, sf):
-    return files.source_manifest(spark, fx.raw_sources(spark, sf)).select("rank", "name", "domain", "checksum")
+    manifest = files.source_manifest(spark, fx.raw_sources(spark, sf, ordered=True))
+    return rounded(manifest.select("rank", "name", "domain", "checksum"))
 
 
 def _partial_sources(spark, sf):
@@ -251,12 +263,18 @@ def append_inference_log(spark, sf):
 # ---------------------------------------------------------------- snapshots
 
 
-@query("snapshot_manifest")
+_SOURCE_TEXT = """select source as key, string_agg(coalesce("text", '') || chr(10), '' order by doc_id) "text" from documents group by source"""
+
+
+@query(
+    "snapshot_manifest",
+    f"""select 'source=' || key as directory, checksum as hash, strlen("text")::bigint as size
+        from {checksum_sql(_SOURCE_TEXT)} join ({_SOURCE_TEXT}) using (key)""",
+)
 def snapshot_manifest(spark, sf):
-    base = fresh_path(spark, "snapshot")
-    writers.sink_records(fx.records(spark, sf), base)
-    manifest = files.snapshot_manifest(files.file_checksums(spark, base, whole_bytes=1024 * 1024))
-    return manifest.select("hash", "size", "nfiles")
+    base = fx.source_files(fx.table(spark, sf, "documents"))
+    listing = files.relative_to(files.file_checksums(spark, base), base)
+    return files.snapshot_manifest(listing).select("directory", "hash", "size")
 
 
 @query(
@@ -268,19 +286,23 @@ def snapshot_manifest(spark, sf):
     where (n >= 15 and not only_fr) or n < 5 or (n between 5 and 14 and fr)""",
 )
 def snapshot_status(spark, sf):
-    """Two versions of the documents, fingerprinted per source."""
+    """Two versions of the documents, written to two folders and compared source by source."""
     documents = fx.table(spark, sf, "documents").withColumn("n", F.substring("source", 4, 10).cast("int"))
 
     def listing(rows):
-        digest = rows.groupBy(F.col("source").alias("path")).agg(*files.digest_sums(F.xxhash64("doc_id", "text")))
-        return digest.select("path", files.digest_text().alias("checksum"))
+        base = fx.source_files(rows)
+        snapshot = files.snapshot_manifest(files.relative_to(files.file_checksums(spark, base), base))
+        return snapshot.select(F.regexp_replace("directory", "^source=", "").alias("path"), F.col("hash").alias("checksum"))
 
     return files.snapshot_status(listing(documents.where("n < 15")), listing(documents.where("n >= 5 and lang <> 'fr'")))
 
 
-@query("table_fingerprint")
+_FINGERPRINT = "doc_id pair_no domain direction instruction input output"
+
+
+@query("table_fingerprint", sql(fingerprint_sql(_FINGERPRINT, "select * from records")))
 def table_fingerprint(spark, sf):
-    return files.table_fingerprint(fx.records(spark, sf)).select("rows", "fingerprint")
+    return files.table_fingerprint(fx.records(spark, sf).select(*_FINGERPRINT.split())).select("rows", "fingerprint")
 
 
 # ---------------------------------------------------------------- scalar functions

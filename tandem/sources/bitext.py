@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.settings import RECORD_FIELDS
+from tandem.sources.files import outermost, owners, source_roots
+from tandem.workspace import settle
 
 RECORD_SCHEMA = ", ".join(f"{name} string" for name in RECORD_FIELDS)
 MANIFEST_SCHEMA = "map<string, struct<path: string, checksum: string, domain: string>>"
@@ -15,7 +17,7 @@ LINE_ORDER = ["file_path", "block_start", "line_no"]
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines with their place of origin, in columns that order them as in the files."""
-    return spark.read.text(path).select(
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -64,22 +66,17 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_manifest_sources(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """All sources of a manifest with their domain and rank. The manifest names one path per source."""
-    scans = [
-        scan_bitext(spark, source["path"]).select(
-            F.lit(source["name"]).alias("source"),
-            F.lit(source["rank"]).alias("source_rank"),
-            F.lit(source["domain"]).alias("domain"),
-            *LINE_ORDER,
-            "en",
-            "es",
-        )
-        for source in manifest.orderBy("rank").toLocalIterator()
-    ]
-    union = scans[0]
-    for scan in scans[1:]:
-        union = union.unionByName(scan)
-    return union
+    """All sources of a manifest with their domain and rank, in one scan however many there are.
+
+    Each file is given to the source whose path is the nearest at or above it, once per file, and its lines follow it.
+    """
+    roots = source_roots(spark, manifest.select("rank", "name", "path", "domain"))
+    paths = outermost(roots)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    listed = reader.format("binaryFile").load(paths).select("path", F.col("_metadata.file_path").alias("file_path"))
+    # A row per file, of which the driver's own listing has as many.
+    owned = settle(owners(listed, roots).select("file_path", F.col("name").alias("source"), F.col("rank").alias("source_rank"), "domain"), "source-files")
+    return scan_bitext(spark, paths).join(owned, "file_path").select("source", "source_rank", "domain", *LINE_ORDER, "en", "es")
 
 
 def uri_split(uri: Column) -> tuple[Column, Column]:

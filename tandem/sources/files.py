@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-# Files up to this size are hashed as one value; larger ones line by line, in parallel. Both see every byte and its place.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+from tandem.sources import digest
 
 
 def plain_path(path: Column) -> Column:
@@ -35,87 +32,101 @@ def list_present(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing
 
 
-def file_checksums(spark: SparkSession, path: str | list[str], whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, length, algorithm, checksum): md5 of the bytes, or a mergeable digest of large files by line number and line.
+def file_checksums(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, length, checksum, value, shift) of all files below a path: one mergeable checksum for files of any size.
 
-    Lines end at a line feed only, so a return before it belongs to its line; with the length, that leaves no byte out.
+    Blocks of files are read by all tasks, as lines that end at a line feed, which leaves every byte as it is; the length
+    tells whether the last line has one. Only a number per block is shuffled. Files whose ending names a compression are
+    read decompressed, as Spark reads them everywhere. Spark's scans pass over empty files, so they are not listed.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    small = files.where(F.col("length") <= whole_bytes).select(
-        plain_path(F.col("path")).alias("path"), "length", F.lit("md5").alias("algorithm"), F.md5("content").alias("checksum")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    listed = reader.format("binaryFile").load(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"), plain_path(F.col("path")).alias("path"), "length"
     )
-    large = files.where(F.col("length") > whole_bytes).select(plain_path(F.col("path")).alias("path"), "length")
-    digests = numbered_lines(spark, path, whole_bytes).groupBy("path").agg(*digest_sums(F.xxhash64("number", "value")))
-    checksum = F.md5(F.concat_ws("|", digest_text(), "length"))
-    large = large.join(digests, "path", "left").select(
-        "path", "length", F.lit("xxhash64-lines").alias("algorithm"), checksum.alias("checksum")
+    lines = reader.option("lineSep", "\n").text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("value"),
     )
-    return small.unionByName(large)
+    blocks = digest.line_pieces(lines).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "value", "shift"))).alias("blocks"), F.sum("bytes").alias("bytes"))
+    whole = digest.together(F.coalesce("blocks", F.array().cast("array<struct<block: bigint, value: array<bigint>, shift: array<bigint>>>")))
+    files = listed.join(blocks, "file", "left").select("path", "length", "bytes", whole.alias("piece"))
+    # Every line was given a line feed.
+    piece = F.when(F.col("bytes") == F.col("length") + 1, digest.without_last_line_feed(F.col("piece"))).otherwise(F.col("piece"))
+    return files.select("path", "length", piece.alias("piece")).select("path", "length", digest.checksum(F.col("piece")).alias("checksum"), "piece.*")
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str], over: int) -> DataFrame:
-    """(path, number, value) of all lines in files of more than `over` bytes, numbered from 0 in the file.
+def dataset_checksum() -> Column:
+    """Aggregate of a group of `file_checksums`: the checksum of their bytes one after the other, in the order of their paths.
 
-    Rows of a block of a file have successive ids, so their numbers follow from the counts of the blocks before it, and do
-    not depend on how the file was cut into blocks.
+    A row per file meets in a group, of which the driver's own listing has as many.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("lineSep", "\n")
-        .text(path)
-        .where(F.col("_metadata.file_size") > over)
-        .select(
-            plain_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"),
-            "value",
-        )
-    )
-    blocks = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("lines"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("lines").over(earlier), F.lit(0)) - F.col("first"))
-    # A row per task of the scan, which the driver has planned already.
-    return lines.join(F.broadcast(blocks.select("path", "block", "offset")), ["path", "block"]).select(
-        "path", (F.col("id") + F.col("offset")).alias("number"), "value"
-    )
+    files = F.array_sort(F.collect_list(F.struct("path", "value", "shift")))
+    return digest.checksum(digest.together(files))
+
+
+def row_hash(*columns: str) -> Column:
+    """SHA-256 of a row's values as text, each after its length in bytes; null differs from every text."""
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    return F.sha2(F.concat(*(F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in text)).cast("binary"), 256)
 
 
 def digest_sums(hashed: Column) -> list[Column]:
-    """Order-free digest of hashed rows; mergeable, so hot groups combine before the shuffle."""
-    return [
-        F.bit_xor(hashed).alias("xor"),
-        F.sum(hashed.cast("decimal(20,0)")).alias("sum"),
-        F.count("*").alias("rows"),
-    ]
+    """Order-free digest of rows hashed to hexadecimal digits: the sums of two parts of 60 bits, and the count. It is
+    mergeable, so hot groups combine before the shuffle, and rows that repeat count each time."""
+    part = lambda at: F.conv(F.substring(hashed, at, 15), 16, 10).cast("decimal(20,0)")
+    return [F.sum(part(1)).alias("sum1"), F.sum(part(16)).alias("sum2"), F.count("*").alias("rows")]
 
 
 def digest_text() -> Column:
-    xor, total = F.coalesce("xor", F.lit(0)), F.coalesce("sum", F.lit(0)).cast("string")
-    return F.md5(F.concat_ws("|", F.hex(xor), total, F.coalesce("rows", F.lit(0))))
+    sums = (F.coalesce(c, F.lit(0)).cast("string") for c in ("sum1", "sum2", "rows"))
+    return F.md5(F.concat_ws("|", *sums).cast("binary"))
+
+
+def source_roots(spark: SparkSession, sources: DataFrame) -> DataFrame:
+    """The sources (rank, name, path, ...) with `root`, their path as listings have it; a pattern gives a row per match.
+
+    Sources are the few rows of a manifest. A path that does not exist is an error.
+    """
+    conf, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    rows = []
+    for row in sources.toLocalIterator():
+        path = hadoop.Path(row["path"])
+        found = path.getFileSystem(conf).globStatus(path)
+        if not found:
+            raise FileNotFoundError(f"source {row['name']}: {row['path']} does not exist")
+        rows += [(*row, status.getPath().toString()) for status in found]
+    return spark.createDataFrame(rows, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in sources.schema)}, root string")
+
+
+def outermost(roots: DataFrame) -> list[str]:
+    """The roots that no other one lies above: what has to be read."""
+    every = {row["root"] for row in roots.select("root").collect()}
+    return sorted(r for r in every if not any(r[:i] in every for i, c in enumerate(r) if c == "/" and i))
+
+
+def owners(paths: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of `paths` (path as listings have it) with those of `roots` that hold it: the path itself or the nearest
+    folder above it. Files meet roots by equal folder names, so neither their number nor that of the sources squares."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    met = paths.withColumn("root", F.explode(above)).join(roots.withColumnsRenamed({"path": "source_path"}), "root")
+    depth = F.length("root")
+    return met.withColumn("_deepest", F.max(depth).over(Window.partitionBy("path"))).where(depth == F.col("_deepest")).drop("_deepest", "root")
 
 
-def source_manifest(spark: SparkSession, sources: list[tuple[str, str, str]], whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def source_manifest(spark: SparkSession, sources: list[tuple[str, str, str]]) -> DataFrame:
     """Manifest of (name, path, domain) sources: adds rank and checksum.
 
-    A source of one file has that file's checksum; one of several files the digest of its files.
+    A source's checksum is that of its files' bytes one after the other, in the order of their paths. All sources are
+    read in one scan; a file that lies in two of them belongs to the nearest.
     """
-    named = [
-        file_checksums(spark, path, whole_bytes)
-        .agg(
-            F.count("*").alias("files"),
-            F.max("checksum").alias("only"),
-            *digest_sums(F.xxhash64("path", "checksum")),
-        )
-        .select(
-            F.lit(rank).alias("rank"),
-            F.lit(name).alias("name"),
-            F.lit(path).alias("path"),
-            F.when(F.col("files") == 1, F.col("only")).otherwise(digest_text()).alias("checksum"),
-            F.lit(domain).alias("domain"),
-        )
-        for rank, (name, path, domain) in enumerate(sources)
-    ]
-    return reduce(DataFrame.unionByName, named)
+    named = spark.createDataFrame([(rank, *source) for rank, source in enumerate(sources)], "rank int, name string, path string, domain string")
+    roots = source_roots(spark, named)
+    files = file_checksums(spark, outermost(roots))
+    plain = roots.withColumn("root", plain_path(F.col("root")))
+    sums = owners(files, plain).groupBy("rank").agg(dataset_checksum().alias("checksum"))
+    return named.join(sums, "rank").select("rank", "name", "path", "checksum", "domain")
 
 
 def manifest_json(manifest: DataFrame) -> DataFrame:
@@ -146,18 +157,23 @@ def source_branch(missing: DataFrame) -> DataFrame:
     )
 
 
+def relative_to(files: DataFrame, base: str) -> DataFrame:
+    """The listing with paths below `base`, so that the same files elsewhere have the same paths."""
+    root = F.concat(F.regexp_replace(plain_path(F.lit(base)), "/+$", ""), F.lit("/"))
+    return files.withColumn("path", F.when(F.col("path").startswith(root), F.substring("path", F.length(root) + 1, F.length("path"))).otherwise(F.col("path")))
+
+
 def snapshot_manifest(files: DataFrame) -> DataFrame:
-    """Per directory: order-free hash over (path, checksum), total bytes, number of files."""
-    per_directory = (
-        with_directories(files)
-        .groupBy("directory")
-        .agg(F.sum("length").alias("size"), *digest_sums(F.xxhash64("path", "checksum")))
-    )
-    return per_directory.select("directory", digest_text().alias("hash"), "size", F.col("rows").alias("nfiles"))
+    """Per directory of a checksum listing: hash of its files' bytes in the order of their names, total bytes, number of files.
+
+    Names count by their order alone, as Spark gives files other names on each writing. The directory itself has no part.
+    """
+    in_directory = with_directories(files).groupBy("directory")
+    return in_directory.agg(dataset_checksum().alias("hash"), F.sum("length").alias("size"), F.count("*").alias("nfiles"))
 
 
 def snapshot_status(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Files added, removed or modified between two checksum listings; empty = clean."""
+    """Paths added, removed or modified between two listings (path, checksum); empty = clean."""
     old = before.select("path", F.col("checksum").alias("old"))
     new = after.select("path", F.col("checksum").alias("new"))
     status = (
@@ -170,4 +186,4 @@ def snapshot_status(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Content hash of a table that does not depend on the order of its rows."""
-    return df.agg(*digest_sums(F.xxhash64(*df.columns))).withColumn("fingerprint", digest_text())
+    return df.agg(*digest_sums(row_hash(*df.columns))).withColumn("fingerprint", digest_text())

@@ -1,4 +1,3 @@
-import hashlib
 import json
 
 import pytest
@@ -8,7 +7,7 @@ from tandem.operators.quality import DatasetRejected
 from tandem.plans.flow import run_corpus
 from tandem.settings import Rules
 from tandem.sinks import writers
-from tandem.sources import bitext, files
+from tandem.sources import bitext, digest, files
 from tandem.workspace import settle
 
 
@@ -73,7 +72,27 @@ def test_manifest(spark, tmp_path):
     write_manifest(spark, tmp_path)
     rows = bitext.read_manifest(spark, f"{tmp_path}/manifest").orderBy("rank").collect()
     assert [(r["name"], r["domain"]) for r in rows] == [("med", "medical"), ("law", "legal")]
-    assert rows[0]["checksum"] == hashlib.md5((tmp_path / "med.jsonl").read_bytes()).hexdigest()
+    assert rows[0]["checksum"] == digest.checksum_of((tmp_path / "med.jsonl").read_bytes())
+
+
+def test_one_scan_for_all_sources(spark, tmp_path):
+    """A hundred sources, one of them inside another's folder, one with a folder of its own inside, one given by a pattern."""
+    names = []
+    for i in range(100):
+        folder = tmp_path / ("s0/inner" if i == 1 else f"s{i}")
+        (folder / "deep" if i == 2 else folder).mkdir(parents=True)
+        file = folder / ("deep/a b%20.jsonl" if i == 2 else "a.jsonl")
+        file.write_text(pair_line(f"text of source {i}", "x") + "\n")
+        names.append((i, f"n{i}", f"{tmp_path}/s3*/a.js*l" if i == 3 else str(folder) + "/" * (i % 2), f"d{i % 2}"))
+    names = [n for n in names if n[0] == 3 or not n[1].startswith("n3")]
+    manifest = spark.createDataFrame(names, "rank int, name string, path string, domain string")
+    scan = bitext.scan_manifest_sources(spark, manifest)
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Union" not in plan
+    got = {(r["source"], r["source_rank"], r["domain"], r["en"]) for r in scan.collect()}
+    assert got == {("n3" if str(i).startswith("3") else f"n{i}", 3 if str(i).startswith("3") else i, "d1" if str(i).startswith("3") else f"d{i % 2}", f"text of source {i}") for i in range(100)}
+    with pytest.raises(FileNotFoundError, match="gone"):
+        bitext.scan_manifest_sources(spark, spark.createDataFrame([(0, "gone", f"{tmp_path}/none", "d")], manifest.schema))
 
 
 def test_missing_sources_and_branch(spark, tmp_path):
@@ -86,16 +105,26 @@ def test_missing_sources_and_branch(spark, tmp_path):
     assert files.source_branch(partial).first()["branch"] == "download"
 
 
-def test_large_files_are_hashed_by_line(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("x\n" * 100)
-    (tmp_path / "b.txt").write_text("y\n")
-    got = {r["path"].rsplit("/", 1)[-1]: r for r in files.file_checksums(spark, str(tmp_path), whole_bytes=50).collect()}
-    assert got["b.txt"]["algorithm"] == "md5" and got["b.txt"]["checksum"] == hashlib.md5(b"y\n").hexdigest()
-    assert got["a.txt"]["algorithm"] == "xxhash64-lines" and got["a.txt"]["length"] == 200
-    before = got["a.txt"]["checksum"]
-    (tmp_path / "a.txt").write_text("x\n" * 99 + "z\n")
-    after = files.file_checksums(spark, str(tmp_path), whole_bytes=50).where(F.col("path").endswith("a.txt")).first()
-    assert after["checksum"] != before
+def test_checksums_are_those_of_the_bytes(spark, tmp_path):
+    """Whatever the bytes: no line end, bytes that are no text, zero bytes in front. Empty files are not listed."""
+    contents = [b"", b"\n", b"x", b"x\n", b"\n\nx\r\n\r", bytes(range(256)) * 40, b"\0x", b"\0\0x", "caf\u00e9 \U0001F600".encode() * 999, b"a" * 100_000]
+    for i, content in enumerate(contents):
+        (tmp_path / f"f{i}.bin").write_bytes(content)
+    got = {r["path"].rsplit("/", 1)[-1]: r for r in files.file_checksums(spark, str(tmp_path)).collect()}
+    assert {k: r["checksum"] for k, r in got.items()} == {f"f{i}.bin": digest.checksum_of(c) for i, c in enumerate(contents) if c}
+    assert len({r["checksum"] for r in got.values()}) == len(contents) - 1
+    manifest = files.source_manifest(spark, [("all", str(tmp_path), "x"), ("one", f"{tmp_path}/f3.bin", "x")]).orderBy("rank").collect()
+    assert manifest[0]["checksum"] == digest.checksum_of(b"".join(c for i, c in enumerate(contents) if i != 3))
+    assert manifest[1]["checksum"] == digest.checksum_of(contents[3])
+
+
+def test_the_cut_into_files_has_no_part(spark, tmp_path):
+    lines = [f"line {i}" for i in range(3000)]
+    for parts in (1, 7):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).orderBy(F.lit(1)).write.text(f"{tmp_path}/{parts}")
+        spark.range(3000, numPartitions=parts).selectExpr("concat('line ', id) value").write.mode("overwrite").text(f"{tmp_path}/{parts}")
+    one, seven = (files.source_manifest(spark, [("s", f"{tmp_path}/{p}", "x")]).first()["checksum"] for p in (1, 7))
+    assert one == seven == digest.checksum_of(("\n".join(lines) + "\n").encode())
 
 
 def test_large_files_keep_order_and_line_ends(spark, tmp_path):
@@ -115,8 +144,8 @@ def test_large_files_keep_order_and_line_ends(spark, tmp_path):
     path.parent.mkdir()
 
     def checksums():
-        listing = files.file_checksums(spark, str(path.parent), whole_bytes=50)
-        manifest = files.source_manifest(spark, [("a", str(path.parent), "x")], whole_bytes=50)
+        listing = files.file_checksums(spark, str(path.parent))
+        manifest = files.source_manifest(spark, [("a", str(path.parent), "x")])
         return listing.first()["checksum"], files.snapshot_manifest(listing).first()["hash"], manifest.first()["checksum"]
 
     found = {}
@@ -129,7 +158,6 @@ def test_large_files_keep_order_and_line_ends(spark, tmp_path):
     for size in (3000, 20_000):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", 100)
-        assert files.numbered_lines(spark, str(path), 50).orderBy("number").select("number", "value").collect() == list(enumerate(lines))
         assert checksums() == found["plain"]
     for c, v in before.items():
         spark.conf.set(c, v)
