@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tandem.functions.records import render_prompt
-from tandem.operators.ranking import running_total
+from tandem.operators.ranking import first_rows, running_total
 from tandem.settings import Rules
 
 
@@ -16,14 +16,13 @@ def row_hash() -> Column:
 
 
 def head_sample(records: DataFrame, order: list[str], n: int) -> DataFrame:
-    """First n records in a stable order; each task keeps at most n."""
-    return records.orderBy(*order).limit(n)
+    """First n records in a stable order, which begins with the shuffle key. No task holds more of them than others."""
+    return first_rows(records, [], order, n).orderBy(*order)
 
 
 def head_per_group(records: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
-    """First n records per group; Spark cuts each group to n before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return records.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    """First n records per group, by an order that begins with the shuffle key; a group may be of any size."""
+    return first_rows(records, by, order, n)
 
 
 def length_stratified_sample(records: DataFrame, n: int) -> DataFrame:
@@ -48,9 +47,7 @@ def pack_sequences(examples: DataFrame, window: int, shard_digits: int = 2) -> D
     the data) and are packed independently; an example gives one row per window it reaches into.
     """
     sharded = examples.withColumn("shard", F.substring(row_hash(), 1, shard_digits))
-    # A second prefix step inside each shard keeps the windows of Spark small at any shard size.
-    cell = F.substring(row_hash(), 1, shard_digits + 2)
-    placed = running_total(sharded, ["shard"], [row_hash()], cell, "end", F.col("n_tokens"))
+    placed = running_total(sharded, ["shard"], [row_hash()], "end", F.col("n_tokens"))
     start = F.col("end") - F.col("n_tokens")
     window_no = F.explode(F.sequence(F.floor(start / window), F.floor((F.col("end") - 1) / window)))
     return (
@@ -74,7 +71,7 @@ def group_by_length(records: DataFrame, batch_size: int) -> DataFrame:
 
     Positions come from counts per length plus the position within the length, so no global sort.
     """
-    ranked = running_total(records, ["n_in"], [row_hash()], F.substring(row_hash(), 1, 3), "_in_length")
+    ranked = running_total(records, ["n_in"], [row_hash()], "_in_length")
     shorter = Window.orderBy("n_in").rowsBetween(Window.unboundedPreceding, -1)
     # One row per distinct length: small enough for the ungrouped window.
     lengths = records.groupBy("n_in").count()

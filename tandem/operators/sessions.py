@@ -15,12 +15,9 @@ def final_transcripts(events: DataFrame) -> DataFrame:
     return events.withColumn("text", text).where(F.col("is_final") & (F.col("text") != ""))
 
 
-def line_index(finals: DataFrame, session: str, position: str, step: int = 65_536) -> DataFrame:
-    """Adds `idx`: 0, 1, 2, ... per session in order of `position` (a whole number).
-
-    Long sessions are numbered in steps of the position, so one session may be of any length.
-    """
-    numbered = running_total(finals, [session], [position], F.floor(F.col(position) / step), "_n")
+def line_index(finals: DataFrame, session: str, position: str) -> DataFrame:
+    """Adds `idx`: 0, 1, 2, ... per session in order of `position`, a number or a time; a session may be of any length."""
+    numbered = running_total(finals, [session], [position], "_n")
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n")
 
 

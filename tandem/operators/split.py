@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions.records import content_hash, default_fields, mirror_key
+from tandem.operators.ranking import beside_cuts, locate
 from tandem.settings import Rules
-from tandem.workspace import settle
-
-# Cut tables up to this many rows (two per stratum) are broadcast, larger ones are joined by a shuffle.
-MAX_BROADCAST_ROWS = 100_000
-# Key prefixes by which a cut point is narrowed down: three times a 4096th of the content hash, then the content with a
-# 4096th of its copies, then the row itself. So a window holds about 4096 counts, up to strata of 10^14 rows.
-_STEPS = (3, 6, 9, 35, 64)
 
 
 def with_shuffle_key(records: DataFrame, row_id: list[str], seed: int) -> DataFrame:
@@ -35,73 +29,31 @@ def split_sizes(size: Column, ratios: tuple[float, float, float]) -> tuple[Colum
     return train, F.when(size >= 3, F.greatest(val, train + 1)).otherwise(val)
 
 
-def _cut_rows(counts: DataFrame) -> DataFrame:
-    """Of the counted prefixes, the one that holds each cut point; `before` rows come before it."""
-    until = Window.partitionBy("stratum", "cut").orderBy("prefix")
-    upto = F.col("before") + F.sum("n").over(until)
-    located = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
-    inside = (F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto"))
-    return located.where(inside).select("stratum", "cut", "target", "prefix", "before")
-
-
 def split_cuts(keyed: DataFrame, ratios: tuple[float, float, float]) -> DataFrame:
-    """Per stratum, the shuffle keys of the last train row and of the last val row.
-
-    Needs no sort of the records: counts per key prefix locate the prefix that holds a cut point, and
-    only rows with that prefix are counted further. Each step keeps at most two rows per stratum, so
-    strata and groups of copies of any size are spread over all tasks.
-    """
-    narrow = keyed.select("stratum", "shuffle_key")
-
-    def prefix(step: int) -> Column:
-        return F.substring("shuffle_key", 1, step)
-
-    train_end, val_end = split_sizes(F.col("size"), ratios)
-    ends = F.array(
-        F.struct(F.lit("train").alias("cut"), train_end.alias("target")),
-        F.struct(F.lit("val").alias("cut"), val_end.alias("target")),
-    )
-    counts = (
-        narrow.groupBy("stratum", prefix(_STEPS[0]).alias("prefix"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("size", F.sum("n").over(Window.partitionBy("stratum")))
-        .select("stratum", "prefix", "n", F.lit(0).cast("bigint").alias("before"), F.inline(ends))
+    """Per stratum (`group`), the shuffle keys of the last train row and of the last val row."""
+    train_end, val_end = (lambda size: split_sizes(size, ratios)[0]), (lambda size: split_sizes(size, ratios)[1])
+    ends = lambda size: F.array(
+        F.struct(F.lit("train").alias("cut"), train_end(size).alias("target")), F.struct(F.lit("val").alias("cut"), val_end(size).alias("target"))
     )
-    cuts = settle(_cut_rows(counts), "split-cuts")
-    # Later steps have no more rows than this one, so its size decides whether they may be broadcast.
-    small = cuts.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    for known, step in zip(_STEPS, _STEPS[1:]):
-        near = _broadcast_if(small, cuts.withColumnRenamed("prefix", "near"))
-        counts = (
-            narrow.withColumn("near", prefix(known))
-            .join(near, ["stratum", "near"])
-            .groupBy("stratum", "cut", "target", "before", prefix(step).alias("prefix"))
-            .agg(F.count("*").alias("n"))
-        )
-        cuts = _cut_rows(counts)
-    last = [F.max(F.when(F.col("cut") == cut, F.col("prefix"))).alias(f"last_{cut}") for cut in ("train", "val")]
-    return _broadcast_if(small, cuts.groupBy("stratum").agg(*last))
-
-
-def _broadcast_if(small: bool, df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if small else df
+    cuts = locate(keyed.select(F.col("stratum").alias("group"), F.col("shuffle_key").alias("key")), ends)
+    return cuts.groupBy("group").agg(*(F.max(F.when(F.col("cut") == cut, F.col("key"))).alias(f"last_{cut}") for cut in ("train", "val")))
 
 
 def stratified_split(records: DataFrame, row_id: list[str], rules: Rules = Rules()) -> DataFrame:
     """Adds `split` and `shuffle_key`: exact sizes per (domain, direction, bucket), same for a seed.
 
-    Scans `records` a few times and never shuffles them, so pass a written table, not a long plan.
+    Scans `records` three times and doesn't shuffle them while the cuts are few, so pass a written table, not a long plan.
     """
     if abs(sum(rules.ratios) - 1.0) > 1e-6:
         raise ValueError(f"the shares of train, val and test are {rules.ratios}: together they are not 1")
     keyed = with_shuffle_key(records, row_id, rules.seed).withColumn("stratum", stratum())
-    cuts = split_cuts(keyed, rules.ratios)
+    cuts = beside_cuts(keyed, F.col("stratum"), "shuffle_key", split_cuts(keyed, rules.ratios))
     split = (
         F.when(F.col("shuffle_key") <= F.col("last_train"), "train")
         .when(F.col("shuffle_key") <= F.col("last_val"), "val")
         .otherwise("test")
     )
-    return keyed.join(cuts, "stratum", "left").withColumn("split", split).drop("stratum", "last_train", "last_val")
+    return cuts.withColumn("split", split).drop("stratum", "last_train", "last_val")
 
 
 def shuffle_rows(splits: DataFrame) -> DataFrame:

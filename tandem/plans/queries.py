@@ -787,7 +787,7 @@ def head_per_group(spark, sf):
 )
 def line_index(spark, sf):
     finals = sessions.final_transcripts(fx.transcripts(spark, sf))
-    return sessions.line_index(finals, "session", "turn", step=4).select("session", "turn", "idx")
+    return sessions.line_index(finals, "session", "turn").select("session", "turn", "idx")
 
 
 @query(

@@ -87,16 +87,13 @@ def stream_final_lines(events: DataFrame, out: str, trigger: dict = NOW) -> Stre
     return _each_batch(events, out, write, "append", trigger)
 
 
-def read_lines_table(spark: SparkSession, out: str, session: str, position: str, step: int = 65_536) -> DataFrame:
+def read_lines_table(spark: SparkSession, out: str, session: str, position: str) -> DataFrame:
     """The final lines with `idx`: 0, 1, 2, ... per session, by micro-batch and then position.
 
-    Numbers come from counts per batch and step of the position, so a line keeps its number as batches are added, and
-    neither a session nor a batch has to fit into one task.
+    A line keeps its number as batches are added, and neither a session nor a batch has to fit into one task.
     """
-    lines = spark.read.parquet(f"{out}/lines")
-    batch = F.col("batch").cast("bigint")
-    cell = F.array(batch, F.floor(F.col(position) / step).cast("bigint"))
-    numbered = running_total(lines, [session], [batch, F.col(position)], cell, "_n")
+    lines = spark.read.parquet(f"{out}/lines").withColumn("batch", F.col("batch").cast("bigint"))
+    numbered = running_total(lines, [session], ["batch", position], "_n")
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n", "batch")
 
 

@@ -4,8 +4,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tandem.functions import records as rec
-from tandem.operators import pairs, split
+from tandem.operators import pairs, ranking, sampling, split
 from tandem.settings import Rules
+from tandem.workspace import settle
 
 SCHEMA = "source_rank int, doc_id bigint, domain string, en string, es string"
 ORDER = ["source_rank", "doc_id"]
@@ -160,9 +161,46 @@ def test_split_sizes_for_any_group(spark, groups, copies):
     check_sizes(split.stratified_split(make_records(spark, groups, copies), ["row_no"]), groups)
 
 
-def test_large_cut_tables_are_joined_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(split, "MAX_BROADCAST_ROWS", 1)
-    check_sizes(split.stratified_split(make_records(spark, GROUPS, copies=True), ["row_no"]), GROUPS)
+def test_cuts_are_right_without_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check_sizes(split.stratified_split(make_records(spark, GROUPS, copies=True), ["row_no"]), GROUPS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def hashed(spark, n):
+    """n rows in two groups; a third of each are copies that share the first half of the key, five rows share a whole key."""
+    content = "if(id % 3 = 0, 'copy', cast(id as string))"
+    return spark.range(n, numPartitions=4).selectExpr(
+        "id", "if(id % 10 < 9, 'hot', null) g", f"if(id < 5, repeat('0', 64), concat(md5({content}), md5(cast(id as string)))) shuffle_key"
+    )
+
+
+@pytest.mark.parametrize("last_rows", [8, 65_536])
+def test_cut_points_among_copies(spark, monkeypatch, last_rows):
+    """The located keys are those at the targets, however many rounds it takes."""
+    monkeypatch.setattr(ranking, "LAST_ROWS", last_rows)
+    rows = hashed(spark, 3000).select(F.struct("g").alias("group"), F.col("shuffle_key").alias("key"))
+    targets = (0, 1, 3, 150, 1000, 2699)
+    ends = lambda size: F.array(*(F.struct(F.lit(t).cast("string").alias("cut"), F.least(F.lit(t).cast("bigint"), size).alias("target")) for t in targets))
+    got = {(r["group"]["g"], int(r["cut"])): (r["key"], r["before"]) for r in ranking.locate(rows, ends).collect()}
+    keys = {g: sorted(r["key"] for r in rows.where(F.col("group.g").eqNullSafe(F.lit(g))).collect()) for g in ("hot", None)}
+    want = {(g, t): (k := keys[g][min(t, len(keys[g])) - 1], keys[g].index(k)) for g in keys for t in targets if t}
+    assert got == want
+
+
+def test_heads_of_a_million_rows(spark):
+    """The rows that pass to the last step are the heads themselves; groups, null ones too, and equal keys are cut exactly."""
+    df = settle(hashed(spark, 1_000_000), "million")
+    assert ranking.up_to_cut(df, ["g"], "shuffle_key", 500).count() == 1000
+    got = [r["id"] for r in sampling.head_sample(df, ["shuffle_key", "id"], 700).collect()]
+    assert got == [r["id"] for r in df.orderBy("shuffle_key", "id").limit(700).collect()]
+    heads = sampling.head_per_group(df, ["g"], ["shuffle_key", "id"], 3)
+    plain = df.selectExpr("*", "row_number() over (partition by g order by shuffle_key, id) n").where("n <= 3").drop("n")
+    assert sorted(map(str, heads.collect())) == sorted(map(str, plain.collect()))
+    assert sampling.head_sample(df.limit(0), ["shuffle_key"], 5).count() == 0 and sampling.head_sample(df, ["shuffle_key"], 0).count() == 0
 
 
 def test_missing_domain_is_its_own_stratum(spark):

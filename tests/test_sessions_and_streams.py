@@ -16,11 +16,21 @@ def test_running_total_matches_a_plain_window(spark):
     rng = random.Random(1)
     rows = [(("hot" if i % 3 else f"k{i % 7}"), i, rng.randint(1, 9)) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, at bigint, w int").repartition(6)
-    got = running_total(df, ["k"], ["at"], F.floor(F.col("at") / 100), "total", F.col("w"))
+    got = running_total(df, ["k"], ["at"], "total", F.col("w"))
     want = df.selectExpr("k", "at", "w", "sum(w) over (partition by k order by at) total")
     assert got.select("k", "at", "w", "total").exceptAll(want).count() == 0 and got.count() == 3000
 
 
+def test_positions_of_a_hot_group_by_time(spark):
+    """Two thirds of 60,000 rows are one group, positions are times with gaps from microseconds to days, and a group is null."""
+    df = spark.range(60_000, numPartitions=5).selectExpr(
+        "if(id % 3 = 0, if(id % 6 = 0, null, 'cold'), 'hot') k", "timestamp_micros(id * id * 7919) at", "id", "id % 11 w"
+    )
+    plain = df.selectExpr("id", "sum(w) over (partition by k order by at) total", "row_number() over (partition by k order by at) n")
+    got = running_total(running_total(df, ["k"], ["at"], "total", F.col("w")), ["k"], ["at"], "n")
+    assert got.select("id", "total", F.col("n").cast("int")).exceptAll(plain).count() == 0 and got.count() == 60_000
+
+
 def test_group_by_length_is_exact(spark, records):
     df = records([{"input": " ".join(["w"] * (1 + i % 5)), "output": f"o{i}"} for i in range(103)])
     got = sampling.group_by_length(df, 10).groupBy("batch_no").agg(F.count("*").alias("n"), F.min("n_in"), F.max("n_in"))
@@ -51,7 +61,7 @@ def test_oversampling_reaches_the_share(spark, records):
 def test_final_lines_and_index(spark):
     rows = [("a", 0, False, "par"), ("a", 1, True, " partial "), ("a", 2, True, "  "), ("a", 5, True, "x"), ("b", 1, True, "y")]
     events = spark.createDataFrame(rows, "session string, turn bigint, is_final boolean, text string")
-    got = sessions.line_index(sessions.final_transcripts(events), "session", "turn", step=2)
+    got = sessions.line_index(sessions.final_transcripts(events), "session", "turn")
     assert sorted((r["session"], r["idx"], r["text"]) for r in got.collect()) == [
         ("a", 0, "partial"), ("a", 1, "x"), ("b", 0, "y"),
     ]
