@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Callable
 from html.entities import html5
 
@@ -34,12 +35,28 @@ _DOUBLE_QUOTES = "\u201C-\u201F"
 _CONTROLS = "\\x00-\\x08\\x0B\\x0E-\\x1F\\x7F\u206A-\u206F\uFEFF\uFFF9-\uFFFC"
 _ENTITY = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 _ENTITY_NAMES = json.dumps({name[:-1]: chars for name, chars in html5.items() if name.endswith(";")})
-_MOJIBAKE = f"[\u00C2-\u00F4][\u0080-\u00BF{_C1_SHOWN}]"
+# UTF-8 read as Windows-1252: a first byte and those that follow it, as characters. Letters before a quotation mark or a dash
+# look like that too, so sequences which give letters of other scripts count only where at least two stand together.
+_NEXT = f"[\u0080-\u00BF{_C1_SHOWN}]"
+_LETTER_NEXT = "[\u0080-\u00BF\u0152\u0153\u0160\u0161\u0178\u017D\u017E\u0192]"
+_SURE = f"[\u00C2\u00C3]{_NEXT}|[\u00C4\u00C5]{_LETTER_NEXT}|\u00E2{_NEXT}{{2}}|\u00EF\u00BB\u00BF|\u00F0\u0178{_NEXT}{{2}}"
+_ANY = f"[\u00C2-\u00DF]{_NEXT}|[\u00E0-\u00EF]{_NEXT}{{2}}|[\u00F0-\u00F4]{_NEXT}{{3}}"
+_MOJIBAKE = f"(?:{_ANY}){{2,}}|{_SURE}"
+# Marks that combine with the letter before them, and what they make of a Latin letter: the pairs of Unicode.
+_MARKS = "\u0300-\u036F"
+_COMPOSED = {
+    pair: chr(code)
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))
+    if len(parts := unicodedata.decomposition(chr(code)).split()) == 2
+    and unicodedata.combining((pair := "".join(chr(int(x, 16)) for x in parts if "<" not in x))[-1])
+}
+_COMPOSED_NAMES = json.dumps(_COMPOSED)
+_LETTER_AND_MARKS = f"[A-Za-z\u00C0-\u024F\u1E00-\u1EFF{''.join(sorted({pair[0] for pair in _COMPOSED if pair[0] > chr(0x24F)}))}][{_MARKS}]+"
 # Two scans decide whether a text needs any repair: a cheap one for a single class of few ranges, which
 # nearly all texts end at, and the exact one. The class holds a part of everything that can be repaired.
 _MAY_NEED_REPAIR = "[&\\x00-\\x1F\\x7F-\\xBF\u0132-\uFFFF]"
 _NEEDS_REPAIR = (
-    f"{_ENTITY}|{_MOJIBAKE}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
+    f"{_ENTITY}|{_MOJIBAKE}|{_LETTER_AND_MARKS}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
     f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000]"
 )
 
@@ -72,27 +89,51 @@ def unescape_entities(text: Column) -> Column:
             entity,
         )
 
-    plain = F.split(text, _ENTITY)
-    entities = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), 0), resolve)
-    woven = F.zip_with(plain, entities, lambda p, e: F.concat(p, F.coalesce(e, F.lit(""))))
+    return _rewoven(text, _ENTITY, resolve)
+
+
+def _rewoven(text: Column, pattern: str, resolve: Callable[[Column], Column]) -> Column:
+    """The text with each match of the pattern as `resolve` has it."""
+    plain = F.split(text, pattern)
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), resolve)
+    woven = F.zip_with(plain, found, lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
     return F.array_join(woven, "")
 
 
 def _undo_mojibake(text: Column) -> Column:
-    """Re-read as UTF-8 a text that was decoded as Windows-1252, when that gives valid UTF-8."""
+    """Re-reads as UTF-8 each run of characters that such bytes show as in Windows-1252, if they are valid there; what
+    stands around a run stays as it is."""
+
+    def reread(run: Column) -> Column:
+        raw = F.encode(F.translate(run, _C1_SHOWN, _C1_CODES), "ISO-8859-1")
+        return F.coalesce(F.try_validate_utf8(raw.cast("string")), run)
+
+    return F.when(text.rlike(_MOJIBAKE), _rewoven(text, _MOJIBAKE, reread)).otherwise(text)
 
-    def reread(codes: Column) -> Column:
-        latin = ~codes.rlike("[^\\x00-\\xFF]") & codes.rlike("[\\x80-\\xFF]")
-        raw = F.encode(F.regexp_replace(codes, "[^\\x00-\\xFF]", "?"), "ISO-8859-1")
-        return F.when(latin, F.try_validate_utf8(raw.cast("string")))
 
-    return F.coalesce(let(F.translate(text, _C1_SHOWN, _C1_CODES), reread), text)
+def compose_letters(text: Column) -> Column:
+    """Latin letters with combining marks after them as one character where there is one; other marks stay in their order."""
+    pairs = F.from_json(F.lit(_COMPOSED_NAMES), "map<string, string>")
+
+    def composed(found: Column) -> Column:
+        marks = F.transform(F.sequence(F.lit(2), F.length(found)), lambda i: F.substring(found, i, F.lit(1)))
+        start = F.struct(F.substring(found, 1, 1).alias("letter"), F.lit("").alias("rest"))
+        step = lambda a, m: let(
+            F.try_element_at(pairs, F.concat(a["letter"], m)),
+            lambda c: F.when(c.isNull(), F.struct(a["letter"].alias("letter"), F.concat(a["rest"], m).alias("rest"))).otherwise(
+                F.struct(c.alias("letter"), a["rest"].alias("rest"))
+            ),
+        )
+        return F.aggregate(marks, start, step, lambda a: F.concat(a["letter"], a["rest"]))
+
+    return F.when(text.rlike(_LETTER_AND_MARKS), _rewoven(text, _LETTER_AND_MARKS, composed)).otherwise(text)
 
 
 def _repaired(text: Column) -> Column:
     # A text with markup keeps its entities: they are part of the markup.
     text = let(text, lambda t: F.when(t.contains("<"), t).otherwise(unescape_entities(t)))
     text = F.translate(let(text, _undo_mojibake), _C1_CODES, _C1_SHOWN)
+    text = let(text, compose_letters)
     for ligature, letters in _LIGATURES.items():
         text = F.replace(text, F.lit(ligature), F.lit(letters))
     text = F.translate(text, _FULLWIDTH, _HALFWIDTH)
@@ -104,7 +145,7 @@ def _repaired(text: Column) -> Column:
 
 
 def repair_text(text: Column) -> Column:
-    """Entities, mojibake, ligatures, fullwidth forms, curly quotes, line breaks, control codes.
+    """Entities, mojibake, combining marks, ligatures, fullwidth forms, curly quotes, line breaks, control codes.
 
     Texts that need nothing pass after a scan, and every step is a native expression.
     """

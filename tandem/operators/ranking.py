@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tandem.workspace import settle
@@ -79,6 +79,13 @@ def _cut_rows(counts: DataFrame) -> DataFrame:
     return located.where(inside).select("group", "cut", "target", "prefix", "before", "n")
 
 
+def _settled_cuts(counts: DataFrame) -> tuple[DataFrame, int]:
+    """The located prefixes, and the rows of the largest, counted while they are written."""
+    largest = Observation()
+    cuts = settle(_cut_rows(counts).observe(largest, F.max("n").alias("n")), "cuts")
+    return cuts, largest.get["n"] or 0
+
+
 def locate(rows: DataFrame, ends: Callable[[Column], Column]) -> DataFrame:
     """(group, cut, target, key, before) of rows (group, key): the key of the target-th row of its group in the order of
     keys, and how many rows have smaller ones. `ends` makes an array of (cut, target) of a group's size; targets below 1
@@ -93,8 +100,8 @@ def locate(rows: DataFrame, ends: Callable[[Column], Column]) -> DataFrame:
     digits = 3
     counts = rows.groupBy("group", prefix(digits).alias("prefix")).agg(F.count("*").alias("n"))
     counts = counts.withColumn("size", F.sum("n").over(Window.partitionBy("group")))
-    cuts = settle(_cut_rows(counts.select("group", "prefix", "n", F.lit(0).cast("bigint").alias("before"), F.inline(ends(F.col("size"))))), "cuts")
-    largest, before = cuts.agg(F.max("n")).first()[0] or 0, math.inf
+    cuts, largest = _settled_cuts(counts.select("group", "prefix", "n", F.lit(0).cast("bigint").alias("before"), F.inline(ends(F.col("size")))))
+    before = math.inf
     while largest > LAST_ROWS and digits < WHOLE:
         more = min(5, max(2, math.ceil(math.log(largest / LAST_ROWS, 16)) + 1))
         # Digits that leave most rows together are those of copies, which only the second half tells apart.
@@ -103,8 +110,8 @@ def locate(rows: DataFrame, ends: Callable[[Column], Column]) -> DataFrame:
         known = cuts.select("group", "cut", "target", "before", F.col("prefix").alias("near"))
         counts = rows.withColumn("near", prefix(near)).join(known, ["group", "near"])
         counts = counts.groupBy("group", "cut", "target", "before", prefix(digits).alias("prefix")).agg(F.count("*").alias("n"))
-        cuts = settle(_cut_rows(counts), "cuts")
-        before, largest = largest, cuts.agg(F.max("n")).first()[0] or 0
+        before = largest
+        cuts, largest = _settled_cuts(counts)
     known = cuts.select("group", "cut", "target", "before", F.col("prefix").alias("near"))
     within = Window.partitionBy("group", "cut").orderBy("key")
     around = rows.withColumn("near", prefix(digits)).join(known, ["group", "near"])

@@ -5,6 +5,7 @@ Doubles are rounded to 6 digits, which hides the order of summation.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 from functools import partial
 
@@ -318,6 +319,27 @@ def repair_text(spark, sf):
     return fx.table(spark, sf, "pages").select("page_id", txt.repair_text(bare).alias("text"))
 
 
+# Letters that the documents hold, as damage leaves them and as they are.
+_BROKEN = ("áéíóúñüäöçàèêß", "Ã¡ Ã© Ã\u00ad Ã³ Ãº Ã± Ã¼ Ã¤ Ã¶ Ã§ Ã\u00a0 Ã¨ Ãª ÃŸ".split(" "))
+
+
+@query("repair_damage", r"""select doc_id, regexp_replace("text", '\r\n?', chr(10), 'g') "text" from documents""")
+def repair_damage(spark, sf):
+    """Every document damaged in one of four ways, by turns, and repaired: half of the letters with accents broken, letters
+    apart from their marks, ligatures and wide digits, line ends and control codes."""
+    text, odd = F.col("text"), lambda i: i % 2 == 0
+    broken = text
+    for i, (letter, shown) in enumerate(zip(*_BROKEN, strict=True)):
+        broken = F.replace(broken, F.lit(letter), F.lit(shown)) if odd(i) else broken
+    apart = text
+    for letter in _BROKEN[0]:
+        apart = F.replace(apart, F.lit(letter), F.lit(unicodedata.normalize("NFD", letter)))
+    shaped = F.translate(F.replace(text, F.lit("fi"), F.lit("\uFB01")), "0123456789", "０１２３４５６７８９")
+    ends = F.concat(F.lit("\x07"), F.replace(text, F.lit("\n"), F.lit("\r\n")), F.lit("\x1b[0m\u2060".replace("\u2060", "\uFEFF")))
+    ways = F.get(F.array(broken, apart, shaped, ends), F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)).cast("int"))
+    return fx.table(spark, sf, "documents").select("doc_id", txt.repair_text(ways).alias("text"))
+
+
 @query("clean_text", r"""select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) "text" from documents""")
 def clean_text(spark, sf):
     return fx.table(spark, sf, "documents").select("doc_id", txt.clean_text(F.col("text")).alias("text"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tandem.functions.text import let
 from tandem.settings import RECORD_FIELDS
 from tandem.sources.files import outermost, owners, source_roots
 from tandem.workspace import settle
@@ -33,11 +37,43 @@ def _side(document: Column, name: str) -> tuple[Column, Column]:
     return text, F.coalesce(kind == "STRING", F.lit(True))
 
 
+# A string, which stays as it is, or one of the numbers that are none, which JSON proper doesn't have but is written as.
+_STRING_OR_NO_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|-?Infinity|NaN'
+
+
+@contextmanager
+def _last_key_wins(spark: SparkSession) -> Iterator[None]:
+    """Where an object repeats a key, expressions built meanwhile take the last value."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _document(value: Column) -> Column:
+    """The one JSON document on a line, as a variant: null for anything else, also for two documents or an unfinished one."""
+    # The mark can't be in a valid line. It is set behind strings, too, and taken from there.
+    marked = F.regexp_replace(value, _STRING_OR_NO_NUMBER, "$1\x01")
+    numbers = F.replace(F.replace(marked, F.lit('"\x01'), F.lit('"')), F.lit("\x01"), F.lit("null"))
+    odd = value.rlike("NaN|Infinity") & ~value.contains("\x01")
+    # In brackets, what follows a document is seen as well.
+    line = F.concat(F.lit("["), F.when(odd, numbers).otherwise(value), F.lit("]"))
+    first = lambda array: F.when(F.try_variant_get(array, "$[1]", "variant").isNull(), F.try_variant_get(array, "$[0]", "variant"))
+    return let(F.try_parse_json(line), first)
+
+
 def parse_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Adds en and es; lines that are no JSON object, or hold other than text there, vanish."""
-    # The one-element `inline` keeps the optimizer from parsing anew in each filter and projection.
-    document = F.struct(F.try_parse_json(F.col(value)).alias("_json"))
-    parsed = lines.select("*", F.inline(F.array(document))).where(F.col("_json").isNotNull())
+    """Adds en and es; lines that are no JSON object, or hold other than text there, vanish.
+
+    Of a repeated key the last value counts, and NaN and Infinity are numbers like others.
+    """
+    with _last_key_wins(lines.sparkSession):
+        # The one-element `inline` keeps the optimizer from parsing anew in each filter and projection.
+        document = F.struct(_document(F.col(value)).alias("_json"))
+        parsed = lines.select("*", F.inline(F.array(document))).where(F.col("_json").isNotNull())
     inner = F.schema_of_variant(F.try_variant_get("_json", "$.translation", "variant"))
     usable = F.schema_of_variant("_json").startswith("OBJECT") & F.coalesce(inner.startswith("OBJECT"), F.lit(True))
     (en, en_ok), (es, es_ok) = _side(F.col("_json"), "en"), _side(F.col("_json"), "es")

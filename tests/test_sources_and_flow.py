@@ -29,6 +29,30 @@ def test_bad_lines_vanish_and_missing_sides_are_empty(spark, tmp_path):
     assert [(r["en"], r["es"]) for r in got] == [("Hi café", "Hola"), ("", ""), ("only", "")]
 
 
+def test_lines_are_valid_as_python_has_it(spark, tmp_path):
+    """Repeated keys, numbers that are none, text behind the document: what json.loads takes is kept, the rest goes."""
+    pair = '"translation": {"en": "a", "es": "b"}'
+    lines = [
+        f'{{"score": NaN, {pair}}}', f'{{"score": [-Infinity, Infinity], {pair}}}', f'{{{pair}, "note": "NaN \\" Infinity", "x": NaN}}',
+        '{"translation": {"en": "a", "es": "b", "en": "c"}}', f'{{"x": 1, "x": 2, {pair}}}', f'{{"translation": 5, {pair}}}',
+        f"{{{pair}}} x", f"{{{pair}}}{{{pair}}}", f"{{{pair}}}, {{{pair}}}", f'{{"score": -NaN, {pair}}}', f'{{"score": nan, {pair}}}',
+        f'{{"score": "NaN, {pair}}}', f"  {{{pair}}}  ", f'{{"x": "Infinity", {pair}}}', '{"translation": {"en": "NaN", "es": "Infinity"}}',
+    ]
+
+    def plain(line):
+        try:
+            found = json.loads(line)["translation"]
+            return found["en"], found["es"]
+        except (json.JSONDecodeError, TypeError):
+            return None
+
+    (tmp_path / "a.jsonl").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
+    got = [(r["en"], r["es"]) for r in bitext.scan_bitext(spark, f"{tmp_path}/a.jsonl").orderBy(*bitext.LINE_ORDER).collect()]
+    assert got == [x for x in map(plain, lines) if x] and len(got) == 9
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == before
+
+
 def test_line_order_over_blocks(spark, tmp_path):
     lines = [pair_line(f"line {i}", "x") for i in range(2000)]
     (tmp_path / "a.jsonl").write_text("\n".join(lines), encoding="utf-8")

@@ -54,6 +54,39 @@ def test_repair(column):
     assert column(txt.repair_text(F.col("x")), list(cases)) == list(cases.values())
 
 
+def test_mojibake_is_undone_run_by_run(column):
+    """Damage in part of a text, beside letters and marks that are right as they stand."""
+    cases = {
+        "El niÃ±o está aquí": "El niño está aquí",
+        "cafÃ© – ok": "cafÃ© – ok".replace("Ã©", "é"),
+        "“SÃ£o Paulo” à noite – ÃœberfÃ¤lle": '"São Paulo" à noite – Überfälle',
+        "Spaß” und PASÓ” sowie Æ’ oder Ö–": 'Spaß" und PASÓ" sowie Æ\' oder Ö–',
+        "Ð¿Ñ€Ð¸Ð²ÐµÑ‚ und ß– und æ—¥æœ¬": "привет und ß– und 日本",
+        "ðŸ˜€ 5â‚¬ Â£3 naÃ¯ve": "😀 5€ £3 naïve",
+        "Ã alone, Â, â€ and Ã": "Ã alone, Â, â€ and Ã",
+    }
+    assert column(txt.repair_text(F.col("x")), list(cases)) == list(cases.values())
+
+
+def test_combining_marks_are_composed(column):
+    import unicodedata
+
+    texts = ["cafe\u0301 nin\u0303o", "e\u0302\u0301 a\u0323\u0302", "q\u0301x", "z\u030C\u0301", "\u0301a", "A\u030Angstro\u0308m", "s\u0323\u0307", "\u00EA\u0301"]
+    assert column(txt.compose_letters(F.col("x")), texts) == [unicodedata.normalize("NFC", t) for t in texts]
+    every = [f"{pair}." for pair in txt._COMPOSED]
+    assert column(txt.repair_text(F.col("x")), every) == [unicodedata.normalize("NFC", t) for t in every]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.sampled_from("abñéüßçõ àÅ–€’日本пр😀ž.,"), max_size=25), min_size=20, max_size=50))
+def test_wholly_broken_texts_are_read_again(column, texts):
+    """A text without quotation marks or dashes, broken as a whole, comes back."""
+    texts = [t for t in texts if not set(t) & set("–’") and all(0xA0 <= b or b < 0x80 or bytes([b]).decode("cp1252", "ignore") for b in t.encode())]
+    texts = [t for t in texts if not re.search("[пр日本](?![пр日本])(?<![пр日本].)", t)]
+    broken = [t.encode().decode("cp1252") for t in texts]
+    assert column(txt.repair_text(F.col("x")), broken) == column(txt.repair_text(F.col("x")), texts)
+
+
 def test_repair_null(column):
     assert column(txt.repair_text(F.col("x")), [None]) == [None]
 
