@@ -164,6 +164,15 @@ def run_metrics(results: DataFrame, run: str, key: str | None = None) -> DataFra
     )
 
 
+def eval_metrics(report: DataFrame, run: str) -> DataFrame:
+    """The evaluation report as (run, key, value), under the names that runs are compared by."""
+    metrics = F.array(
+        F.struct(F.concat(F.lit("bleu_proxy_"), F.col("slice")).alias("key"), F.col("bleu").cast("double").alias("value")),
+        F.struct(F.concat(F.lit("bias_length_deviation_"), F.col("slice")).alias("key"), F.col("bias_dev").cast("double").alias("value")),
+    )
+    return report.select(F.lit(run).alias("run"), F.inline(metrics)).where(F.col("value").isNotNull())
+
+
 # Training metrics that are left out of a run when given as a negative number.
 OPTIONAL_METRICS = ("train_loss_start", "train_loss_best", "train_steps", "train_hours")
 

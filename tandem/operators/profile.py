@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions.records import default_fields, is_empty
@@ -55,11 +55,12 @@ def null_counts(records: DataFrame) -> DataFrame:
 def profile_report(records: DataFrame) -> DataFrame:
     """The whole profile as one row, from one aggregate over the records.
 
-    Sums per (domain, direction) first; the maps and totals come from that small table.
+    Sums per (domain, direction) first; domains, directions and totals are grouping sets of that small table, in one pass.
     """
     fields = default_fields()
     n_in = F.when(~is_empty(F.col("input")), F.col("n_in"))
     n_out = F.when(~is_empty(F.col("output")), F.col("n_out"))
+    sums = ("n", "with_input", "with_output", "sum_in", "sum_out")
     combos = records.groupBy(fields["domain"].alias("domain"), fields["direction"].alias("direction")).agg(
         F.count("*").alias("n"),
         F.count(n_in).alias("with_input"),
@@ -70,31 +71,42 @@ def profile_report(records: DataFrame) -> DataFrame:
         F.min(n_in).alias("min_in"),
         F.max(n_out).alias("max_out"),
     )
-    totals = combos.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.bround(F.coalesce(F.sum("sum_in") / F.sum("with_input"), F.lit(0.0)), 2).alias("input_len_mean"),
-        F.coalesce(F.max("max_in"), F.lit(0)).alias("input_len_max"),
-        F.coalesce(F.min("min_in"), F.lit(0)).alias("input_len_min"),
-        F.bround(F.coalesce(F.sum("sum_out") / F.sum("with_output"), F.lit(0.0)), 2).alias("output_len_mean"),
-        F.coalesce(F.max("max_out"), F.lit(0)).alias("output_len_max"),
-        F.coalesce(F.sum(F.col("n") - F.col("with_input")), F.lit(0)).alias("null_input_count"),
-        F.coalesce(F.sum(F.col("n") - F.col("with_output")), F.lit(0)).alias("null_output_count"),
+    limits = (F.max("max_in").alias("max_in"), F.min("min_in").alias("min_in"), F.max("max_out").alias("max_out"))
+    sets = _by_field(combos, *(F.sum(c).alias(c) for c in sums), *limits)
+
+    def mean(name: str, count: str) -> Column:
+        return F.bround(F.coalesce(_total(name) / _total(count), F.lit(0.0)), 2)
+
+    return sets.agg(
+        F.coalesce(_total("n"), F.lit(0)).alias("total_records"),
+        F.map_from_entries(_listed("domain")).alias("domain_distribution"),
+        F.map_from_entries(_listed("direction")).alias("direction_distribution"),
+        mean("sum_in", "with_input").alias("input_len_mean"),
+        F.coalesce(_total("max_in"), F.lit(0)).alias("input_len_max"),
+        F.coalesce(_total("min_in"), F.lit(0)).alias("input_len_min"),
+        mean("sum_out", "with_output").alias("output_len_mean"),
+        F.coalesce(_total("max_out"), F.lit(0)).alias("output_len_max"),
+        F.coalesce(_total("n") - _total("with_input"), F.lit(0)).alias("null_input_count"),
+        F.coalesce(_total("n") - _total("with_output"), F.lit(0)).alias("null_output_count"),
     )
 
-    def distribution(field: str) -> DataFrame:
-        per_value = combos.groupBy(field).agg(F.sum("n").alias("n"))
-        entries = F.array_sort(F.collect_list(F.struct(field, "n")))
-        return per_value.agg(F.map_from_entries(entries).alias(f"{field}_distribution"))
 
-    return (
-        totals.crossJoin(distribution("domain"))
-        .crossJoin(distribution("direction"))
-        .select(
-            "total_records", "domain_distribution", "direction_distribution",
-            "input_len_mean", "input_len_max", "input_len_min", "output_len_mean", "output_len_max",
-            "null_input_count", "null_output_count",
-        )
-    )
+# Which of domain and direction a row of the grouping sets sums over, as Spark numbers them.
+_SETS = {"domain": 1, "direction": 2, "total": 3}
+
+
+def _by_field(combos: DataFrame, *sums: Column) -> DataFrame:
+    """Sums per domain, per direction and in all, with the number of the `set`."""
+    return combos.groupingSets([("domain",), ("direction",), ()], "domain", "direction").agg(F.grouping_id().alias("set"), *sums)
+
+
+def _total(name: str) -> Column:
+    return F.max(F.when(F.col("set") == _SETS["total"], F.col(name)))
+
+
+def _listed(field: str) -> Column:
+    """Values of a field with their counts, in order."""
+    return F.array_sort(F.collect_list(F.when(F.col("set") == _SETS[field], F.struct(field, "n"))))
 
 
 def schema_report(profile: DataFrame) -> DataFrame:
@@ -119,6 +131,36 @@ def schema_report(profile: DataFrame) -> DataFrame:
     )
 
 
+def learned_schema(records: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """A schema report drawn from the records themselves, for `schema_check`: the domains and directions that hold at least
+    `schema_share` of them, and input lengths between two quantiles.
+
+    Values are counted and lengths sketched in aggregates with map-side combine; the sketch's error is a ten-thousandth of
+    the ranks.
+    """
+    counted = records.groupBy(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("domain", "direction"))).agg(
+        F.count("*").alias("n"), *(F.count_if(is_empty(F.col(c))).alias(f"no_{c}") for c in ("input", "output")), F.sum("n_in").alias("sum_in")
+    )
+    sums = ("n", "no_input", "no_output", "sum_in")
+    sets = _by_field(counted, *(F.sum(c).alias(c) for c in sums))
+    values = sets.agg(*(F.coalesce(_total(c), F.lit(0)).alias(c) for c in sums), *(_listed(c).alias(f"_{c}") for c in ("domain", "direction")))
+    lengths = records.agg(F.percentile_approx("n_in", list(rules.schema_quantiles), 10_000).alias("_limits"))
+    usual = lambda c: F.transform(
+        F.filter(f"_{c}", lambda v: (v[c] != "") & (v["n"] >= rules.schema_share * F.col("n"))), lambda v: v[c]
+    )
+    # Two tables of one row.
+    return values.join(lengths).select(
+        F.array(*(F.lit(value) for value in RECORD_FIELDS)).alias("required_fields"),
+        usual("domain").alias("valid_domains"),
+        usual("direction").alias("valid_directions"),
+        F.col("n").alias("total_records"),
+        F.struct(F.col("no_input").alias("input"), F.col("no_output").alias("output")).alias("null_counts"),
+        F.struct(
+            F.bround(F.col("sum_in") / F.greatest("n", F.lit(1)), 2).alias("mean"), F.get("_limits", F.lit(1)).alias("max"), F.get("_limits", F.lit(0)).alias("min")
+        ).alias("input_len_stats"),
+    )
+
+
 def schema_check(records: DataFrame, schema: DataFrame) -> DataFrame:
     """Each record against a schema report: missing field, unseen value, length out of range."""
     names = records.columns

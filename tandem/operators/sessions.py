@@ -21,8 +21,8 @@ def line_index(finals: DataFrame, session: str, position: str) -> DataFrame:
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n")
 
 
-def turn_pairs(turns: DataFrame) -> DataFrame:
-    """Each source line with the translation in the next turn.
+def turn_pairs(turns: DataFrame, unanswered: bool = False) -> DataFrame:
+    """Each source line with the translation in the next turn; with `unanswered`, also lines without one, whose is null.
 
     Joined on (conversation, turn), so a long conversation is spread like many short ones.
     """
@@ -30,18 +30,31 @@ def turn_pairs(turns: DataFrame) -> DataFrame:
     answer = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("translated")
     )
-    return source.join(answer, ["conv_id", "turn"])
+    return source.join(answer, ["conv_id", "turn"], "left" if unanswered else "inner")
 
 
-def latest_lines(updates: DataFrame) -> DataFrame:
-    """Current state per (session, idx): of each field, the given value with the highest `seq`."""
+#: What an update may give of a line.
+LINE_FIELDS = ("source", "translated", "pending")
 
-    def latest(name: str) -> Column:
-        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("seq"))).alias(name)
 
-    return updates.groupBy("session", "idx").agg(
-        F.max("seq").alias("seq"), *(latest(name) for name in ("source", "translated", "pending"))
-    )
+def collapse_updates(updates: DataFrame) -> DataFrame:
+    """Per (session, idx): of each field, the last given value beside its `seq`. Collapsed tables collapse further, in any
+    order and grouping, to the same; of values with one seq the largest stays."""
+    given = [F.when(F.col(name).isNotNull(), F.struct("seq", F.col(name).alias("value"))).alias(name) for name in LINE_FIELDS]
+    return merge_lines(updates.select("session", "idx", "seq", *given))
+
+
+def merge_lines(collapsed: DataFrame) -> DataFrame:
+    return collapsed.groupBy("session", "idx").agg(F.max("seq").alias("seq"), *(F.max(name).alias(name) for name in LINE_FIELDS))
+
+
+def line_values(collapsed: DataFrame) -> DataFrame:
+    return collapsed.select("session", "idx", "seq", *(F.col(f"{name}.value").alias(name) for name in LINE_FIELDS))
+
+
+def latest_lines(updates: DataFrame) -> DataFrame:
+    """Current state per (session, idx): of each field, the given value with the highest `seq`."""
+    return line_values(collapse_updates(updates))
 
 
 def answered(translated: Column, error: Column) -> Column:

@@ -86,36 +86,59 @@ def slice_sums(records: DataFrame, measures: dict[str, Column]) -> DataFrame:
 
 
 def slice_stats(records: DataFrame) -> DataFrame:
-    """Per slice and overall: count, mean lengths, mean ratio, diversity, mean word overlap (raw doubles)."""
-    n_in, n_out = F.col("n_in"), F.col("n_out")
+    """Per slice and overall: count, mean lengths, mean ratio, diversity, mean word overlap (raw doubles).
+
+    One scan, one shuffle. A record gives a row for each of its words and one for itself, whose key is its cell (domain,
+    direction, bucket); words and cells are counted per slice, and cells carry the records' sums. A cell lies in a slice
+    with all of its records, so slices are unions of them.
+    """
+    tests = {**slice_predicates(), OVERALL: F.lit(True)}
     measures = {
-        "n_in": n_in,
-        "n_out": n_out,
-        "ratio": length_ratio(n_out, n_in),
+        "n_in": F.col("n_in"),
+        "n_out": F.col("n_out"),
+        "ratio": length_ratio(F.col("n_out"), F.col("n_in")),
         "overlap": word_overlap(F.col("input"), F.col("output")),
     }
-    sums = slice_sums(records, measures)
-    diversity = (
-        lexical_diversity(records)
-        .groupBy("slice")
-        .agg(
-            *(
-                F.coalesce(F.max(F.when(F.col("side") == side, F.col("diversity"))), F.lit(0.0)).alias(f"{side}_diversity")
-                for side in ("input", "output")
-            )
-        )
+    cell = ("domain", "direction", "bucket")
+    grains = F.array(
+        F.struct(F.lit("input").alias("grain"), words(F.col("input")).alias("keys")),
+        F.struct(F.lit("output").alias("grain"), words(F.col("output")).alias("keys")),
+        F.struct(F.lit("cell").alias("grain"), F.array(F.to_json(F.struct(*cell))).alias("keys")),
     )
-    return sums.join(diversity, "slice", "left").select(
-        "slice",
-        "count",
-        (F.col("n_in") / F.col("count")).alias("avg_input_len"),
-        (F.col("n_out") / F.col("count")).alias("avg_output_len"),
-        (F.col("ratio") / F.col("count")).alias("avg_length_ratio"),
-        F.coalesce("input_diversity", F.lit(0.0)).alias("input_diversity"),
-        F.coalesce("output_diversity", F.lit(0.0)).alias("output_diversity"),
-        (F.col("overlap") / F.col("count")).alias("avg_word_overlap"),
+    rows = records.select(*cell, *(column.alias(f"_{name}") for name, column in measures.items()), F.inline(grains))
+    rows = rows.select(*cell, *(f"_{name}" for name in measures), "grain", F.explode("keys").alias("key"))
+    counted = rows.groupBy("grain", "key").agg(
+        *(F.count_if(test).alias(name) for name, test in tests.items()),
+        *(F.sum(F.when(F.col("grain") == "cell", F.col(f"_{name}"))).alias(f"_{name}") for name in measures),
     )
 
+    def at(grain: str, value: Column) -> Column:
+        return F.when(F.col("grain") == grain, value)
+
+    sums = []
+    for name in tests:
+        inside = F.col(name) > 0
+        sums.append(F.coalesce(F.sum(at("cell", F.col(name))), F.lit(0)).alias(f"{name}_count"))
+        sums += [F.sum(at("cell", F.when(inside, F.col(f"_{m}")))).alias(f"{name}_{m}") for m in measures]
+        for side in ("input", "output"):
+            diversity = F.count_if(inside & (F.col("grain") == side)) / F.greatest(F.sum(at(side, F.col(name))), F.lit(1))
+            sums.append(F.coalesce(diversity, F.lit(0.0)).alias(f"{name}_{side}"))
+    mean = lambda name, m: F.col(f"{name}_{m}") / F.greatest(F.col(f"{name}_count"), F.lit(1))
+    slices = [
+        F.struct(
+            F.lit(name).alias("slice"),
+            F.col(f"{name}_count").alias("count"),
+            mean(name, "n_in").alias("avg_input_len"),
+            mean(name, "n_out").alias("avg_output_len"),
+            mean(name, "ratio").alias("avg_length_ratio"),
+            F.col(f"{name}_input").alias("input_diversity"),
+            F.col(f"{name}_output").alias("output_diversity"),
+            mean(name, "overlap").alias("avg_word_overlap"),
+        )
+        for name in tests
+    ]
+    return counted.agg(*sums).select(F.inline(F.array(*slices))).where(F.col("count") > 0)
+
 
 def report_stats(stats: DataFrame) -> DataFrame:
     """Slice statistics at report digits: lengths 2, the rest 3; ties round to even."""
@@ -125,19 +148,44 @@ def report_stats(stats: DataFrame) -> DataFrame:
     )
 
 
+def _as_one_row(rounded: DataFrame) -> DataFrame:
+    """The few slice rows as `rows`, in one row: what compares slices needs no join."""
+    return rounded.agg(F.array_sort(F.collect_list(F.struct("slice", "count", *STAT_METRICS))).alias("rows"))
+
+
+def _row_of(name: str) -> Column:
+    """The row of a slice; null if there is none."""
+    return F.get(F.filter("rows", lambda r: r["slice"] == name), F.lit(0))
+
+
+def _others() -> Column:
+    """The slices to compare: none without an overall row."""
+    return F.filter("rows", lambda r: (r["slice"] != OVERALL) & _row_of(OVERALL).isNotNull())
+
+
+def _scores_of(row: Column, rules: Rules) -> Column:
+    """One score per metric of a slice's row, in the order of the metrics."""
+
+    def score(metric: str) -> Column:
+        deviation = rel_deviation(row[metric], _row_of(OVERALL)[metric])
+        return F.struct(
+            row["slice"].alias("slice"),
+            row["count"].alias("count"),
+            F.lit(metric).alias("metric"),
+            row[metric].alias("slice_val"),
+            _row_of(OVERALL)[metric].alias("overall_val"),
+            deviation.alias("deviation"),
+            (F.abs(deviation) > rules.bias_threshold).alias("flagged"),
+            over_under(deviation).alias("direction"),
+            bias_status(deviation, rules.bias_threshold).alias("status"),
+        )
+
+    return F.array(*map(score, STAT_METRICS))
+
+
 def bias_scores(rounded: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Deviation of each slice from overall per metric, from already rounded statistics."""
-    long = rounded.unpivot(["slice", "count"], list(STAT_METRICS), "metric", "value")
-    base = long.where(F.col("slice") == OVERALL).select("metric", F.col("value").alias("overall_val"))
-    deviation = rel_deviation(F.col("value"), F.col("overall_val"))
-    return (
-        long.where(F.col("slice") != OVERALL)
-        .join(base, "metric")
-        .select("slice", "count", "metric", F.col("value").alias("slice_val"), "overall_val", deviation.alias("deviation"))
-        .withColumn("flagged", F.abs("deviation") > rules.bias_threshold)
-        .withColumn("direction", over_under(F.col("deviation")))
-        .withColumn("status", bias_status(F.col("deviation"), rules.bias_threshold))
-    )
+    return _as_one_row(rounded).select(F.inline(F.flatten(F.transform(_others(), lambda r: _scores_of(r, rules)))))
 
 
 def bias_flags(scores: DataFrame) -> DataFrame:
@@ -158,75 +206,65 @@ def bias_flags(scores: DataFrame) -> DataFrame:
     )
 
 
+def _gaps() -> Column:
+    """The fixed comparisons whose slices both exist."""
+
+    def gap(rank: int, left: str, right: str, metric: str, most: float, label: str, left_text: str, right_text: str) -> Column:
+        one, two = _row_of(left)[metric], _row_of(right)[metric]
+        size = F.abs(one - two)
+        message = F.format_string(
+            "%s bias detected: %s=%.3f vs %s=%.3f (gap=%.3f)", F.lit(label), F.lit(left_text), one, F.lit(right_text), two, size
+        )
+        return F.when(
+            _row_of(left).isNotNull() & _row_of(right).isNotNull(),
+            F.struct(
+                F.lit(rank).alias("rank"), F.lit(left).alias("left_slice"), F.lit(right).alias("right_slice"), F.lit(metric).alias("metric"),
+                one.alias("left_val"), two.alias("right_val"), size.alias("gap"), (size > most).alias("detected"),
+                F.when(size > most, message).alias("message"),
+            ),
+        )
+
+    return F.array_compact(F.array(*(gap(rank, *rule) for rank, rule in enumerate(GAP_RULES))))
+
+
 def cross_slice_gaps(rounded: DataFrame) -> DataFrame:
     """Gaps between the fixed slice pairs, only where both slices exist."""
-    long = rounded.unpivot("slice", list(STAT_METRICS), "metric", "value")
-    rules = rounded.sparkSession.createDataFrame(
-        [(rank, *rule) for rank, rule in enumerate(GAP_RULES)],
-        "rank int, left_slice string, right_slice string, metric string, max_gap double, "
-        "label string, left_text string, right_text string",
-    )
-    left = long.select(F.col("slice").alias("left_slice"), "metric", F.col("value").alias("left_val"))
-    right = long.select(F.col("slice").alias("right_slice"), "metric", F.col("value").alias("right_val"))
-    gap = F.abs(F.col("left_val") - F.col("right_val"))
-    message = F.format_string(
-        "%s bias detected: %s=%.3f vs %s=%.3f (gap=%.3f)",
-        "label", "left_text", "left_val", "right_text", "right_val", "gap",
-    )
-    return (
-        rules.join(left, ["left_slice", "metric"])
-        .join(right, ["right_slice", "metric"])
-        .withColumn("gap", gap)
-        .withColumn("detected", F.col("gap") > F.col("max_gap"))
-        .select(
-            "rank", "left_slice", "right_slice", "metric", "left_val", "right_val", "gap", "detected",
-            F.when(F.col("detected"), message).alias("message"),
-        )
-    )
+    return _as_one_row(rounded).select(F.inline(_gaps()))
 
 
 def bias_report(rounded: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The whole bias report as one nested row; inputs are the few slice rows."""
-    scores = bias_scores(rounded, rules)
+    """The whole bias report as one nested row, from the few slice rows in one pass and without a join."""
+    stats = lambda r: F.struct(r["count"].alias("count"), *(r[m].alias(m) for m in STAT_METRICS))
     order = F.array(*(F.lit(name) for name in SLICES))
-    stats = F.struct("count", *STAT_METRICS)
-    per_slice = rounded.agg(
-        F.max(F.when(F.col("slice") == OVERALL, stats)).alias("overall_stats"),
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(F.col("slice") != OVERALL, F.struct("slice", stats.alias("stats")))))
-        ).alias("slice_stats"),
-        F.count_if(F.col("slice") != OVERALL).alias("total_slices"),
-        *(
-            (F.count_if(F.col("slice").isin(left, right)) == 2).alias(name)
-            for (left, right, *_), name in zip(GAP_RULES, ("domain_bias", "direction_bias", "length_bias"))
+    judged = F.transform(
+        _others(),
+        lambda r: F.struct(
+            F.array_position(order, r["slice"]).alias("rank"), r["slice"].alias("slice"), r["count"].alias("count"), _scores_of(r, rules).alias("scores")
         ),
     )
-    per_score = (
-        scores.groupBy("slice")
-        .agg(F.array_sort(F.collect_list(F.struct("metric", "deviation"))).alias("scores"))
-        .agg(F.array_sort(F.collect_list(F.struct("slice", "scores"))).alias("scores"))
-        .select(
-            F.map_from_entries(
-                F.transform("scores", lambda s: F.struct(s["slice"], F.map_from_entries(s["scores"])))
-            ).alias("bias_scores")
-        )
+    issue = lambda x: F.struct(*(x[c].alias(c) for c in ("metric", "deviation", "direction", "slice_val", "overall_val")))
+    flag = lambda j: F.struct(
+        j["slice"].alias("slice"), j["count"].alias("count"), F.transform(F.filter(j["scores"], lambda x: x["flagged"]), issue).alias("issues")
     )
-    flag = F.struct(F.array_position(order, F.col("slice")).alias("rank"), "slice", "count", "issues", "summary")
-    flags = bias_flags(scores).agg(F.array_sort(F.collect_list(flag)).alias("flags"))
-    gaps = cross_slice_gaps(rounded).agg(
-        F.array_sort(F.collect_list(F.when(F.col("detected"), F.struct("rank", "message")))).alias("gaps")
+    summary = lambda f: F.concat(
+        F.lit("Slice '"), f["slice"], F.lit("' shows bias in: "), F.array_join(F.transform(f["issues"], lambda x: x["metric"]), ", ")
     )
-    return per_slice.join(per_score).join(flags).join(gaps).select(
-        "overall_stats",
-        "slice_stats",
-        "bias_scores",
+    one = _as_one_row(rounded).select("rows", F.array_sort(judged).alias("judged"), _gaps().alias("gaps"))
+    one = one.withColumn("flags", F.filter(F.transform("judged", flag), lambda f: F.size(f["issues"]) > 0))
+    # The rows stand by slice, and metrics by name, as the report has them.
+    per_metric = lambda scores: F.map_from_entries(F.array_sort(F.transform(scores, lambda x: F.struct(x["metric"], x["deviation"]))))
+    both = lambda left, right: _row_of(left).isNotNull() & _row_of(right).isNotNull()
+    names = ("domain_bias", "direction_bias", "length_bias")
+    slices = F.filter("rows", lambda r: r["slice"] != OVERALL)
+    return one.select(
+        F.when(_row_of(OVERALL).isNotNull(), stats(_row_of(OVERALL))).alias("overall_stats"),
+        F.map_from_entries(F.transform(slices, lambda r: F.struct(r["slice"], stats(r)))).alias("slice_stats"),
+        F.map_from_entries(F.transform(_others(), lambda r: F.struct(r["slice"], per_metric(_scores_of(r, rules))))).alias("bias_scores"),
         F.lit(rules.bias_threshold).alias("bias_threshold"),
-        F.transform("flags", lambda x: x.dropFields("rank", "summary")).alias("bias_flags"),
-        F.concat(
-            F.transform("flags", lambda x: x["summary"]), F.transform("gaps", lambda x: x["message"])
-        ).alias("bias_summary"),
-        "total_slices",
+        F.col("flags").alias("bias_flags"),
+        F.concat(F.transform("flags", summary), F.transform(F.filter("gaps", lambda g: g["detected"]), lambda g: g["message"])).alias("bias_summary"),
+        F.size(slices).cast("bigint").alias("total_slices"),
         F.size("flags").alias("biased_slices"),
         (F.size("flags") > 0).alias("bias_detected"),
-        F.struct("domain_bias", "direction_bias", "length_bias").alias("cross_slice_analysis"),
+        F.struct(*(both(left, right).alias(name) for (left, right, *_), name in zip(GAP_RULES, names, strict=True))).alias("cross_slice_analysis"),
     )

@@ -14,9 +14,9 @@ from tandem.operators.quality import DatasetRejected, anomaly_gate, approval_gat
 from tandem.operators.slices import assign_slices, bias_report, report_stats, slice_stats
 from tandem.operators.split import shuffle_rows, stratified_split
 from tandem.settings import Rules
-from tandem.sinks.writers import handoff_payload, publish, publish_plan, sink_report, sink_slices, sink_splits
+from tandem.sinks.writers import handoff_payload, publish, publish_plan, sink_report, sink_slices, sink_splits, version_status
 from tandem.sources.bitext import LINE_ORDER, read_manifest, scan_manifest_sources
-from tandem.sources.files import file_checksums, list_present, manifest_missing, snapshot_manifest, source_branch
+from tandem.sources.files import file_checksums, list_present, manifest_missing, relative_to, snapshot_manifest, source_branch
 
 
 def run_corpus(
@@ -74,14 +74,13 @@ def run_corpus(
 
     approval = approval_gate(approved, rules, now)
     report(approval, "dataset_approval")
-    publish(spark, publish_plan(spark, out, rules.version), out, target)
-    published = f"{target}/version={rules.version}"
-    sink_report(
-        snapshot_manifest(file_checksums(spark, published)).agg(
-            F.array_sort(F.collect_list(F.struct("directory", "hash", "size", "nfiles"))).alias("directories")
-        ),
-        f"{out}/reports/snapshot",
-    )
-    payload = handoff_payload(approval, target)
+    published = publish(spark, publish_plan(spark, out, rules.version), out, target, rules.version)
+    files = relative_to(file_checksums(spark, published.path), published.path)
+    directory = F.struct("directory", "hash", "size", "nfiles")
+    report(snapshot_manifest(files).agg(F.array_sort(F.collect_list(directory)).alias("directories")), "snapshot")
+    changes = version_status(spark, target, rules.version)
+    changes = changes.agg(*(F.array_sort(F.collect_list(F.when(F.col("status") == s, F.col("path")))).alias(s) for s in ("added", "removed", "modified")))
+    report(changes.select(F.lit(published.number).alias("publication"), F.lit(published.snapshot).alias("hash"), "*"), "snapshot_status")
+    payload = handoff_payload(approval, target, published)
     report(payload, "trigger_payload")
     return payload

@@ -17,7 +17,7 @@ from tandem.functions import text as txt
 from tandem.operators import bleu, evaluate, monitor, pairs, profile, quality, sampling, sessions, slices, split, translate
 from tandem.plans import fixtures as fx
 from tandem.plans.oracle import bleu_sql, checksum_sql, fingerprint_sql, over_all_records, sql
-from tandem.settings import RECORD_FIELDS, STAT_METRICS, Rules
+from tandem.settings import GAP_RULES, RECORD_FIELDS, SLICES, STAT_METRICS, Rules
 from tandem.sinks import writers
 from tandem.sources import bitext, files
 from tandem.streaming import jobs
@@ -234,6 +234,28 @@ def publish_plan(spark, sf):
     return writers.publish_plan(spark, base, Rules().version).select("kind", "dataset", "target", "found")
 
 
+_PUBLISHED = """with d as (select case when cast(substr(source, 4) as int) < 15 then 'train' when cast(substr(source, 4) as int) < 17 then 'val' else 'test' end split,
+    lang from documents)
+select 'splits/split=' || split dataset, count(*) filter (split <> 'val' or lang <> 'fr') "rows",
+    case when split = 'val' and count(*) filter (lang = 'fr') > 0 then 'modified' else 'same' end status from d group by split"""
+
+
+@query("publish", _PUBLISHED)
+def publish(spark, sf):
+    """Two publications of the documents as splits; the second lacks some rows of one. The last one, checked, and what changed."""
+    target, number = fresh_path(spark, "target"), F.substring("source", 4, 10).cast("int")
+    split_name = F.when(number < 15, "train").when(number < 17, "val").otherwise("test")
+    documents = fx.table(spark, sf, "documents").select(split_name.alias("split"), "lang", F.to_json(F.struct("doc_id", "text")).alias("value"))
+    for rows in (documents, documents.where("split <> 'val' or lang <> 'fr'")):
+        base = fresh_path(spark, "base")
+        rows.select("split", "value").write.partitionBy("split").text(f"{base}/splits")
+        writers.publish(spark, writers.publish_plan(spark, base, "v1"), base, target, "v1")
+    last = writers.published(spark, target, "v1", check=True)
+    status = writers.version_status(spark, target, "v1").withColumnRenamed("path", "dataset")
+    found = writers.dataset_fingerprints(spark, last.path).join(status, "dataset", "left")
+    return found.select("dataset", "rows", F.coalesce("status", F.lit("same")).alias("status"))
+
+
 @query(
     "handoff_payload",
     sql("""select 'published/version=v2_approved/splits/split=train' train, 'published/version=v2_approved/splits/split=val' val,
@@ -730,36 +752,36 @@ def slice_bleu(spark, sf):
     return rounded(bleu.slice_bleu(fx.test_split(spark, sf)))
 
 
-@query(
-    "sensitivity_length",
-    sql("""select coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in <= 10), 6), 0.0) short_length_ratio,
+_SENSITIVE_LENGTH = """select coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in <= 10), 6), 0.0) short_length_ratio,
         coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in between 11 and 25), 6), 0.0) medium_length_ratio,
         coalesce(round(avg(n_out / greatest(n_in, 1)) filter (n_in > 25), 6), 0.0) long_length_ratio,
         count(*) filter (n_in <= 10) short_count, count(*) filter (n_in between 11 and 25) medium_count,
-        count(*) filter (n_in > 25) long_count from head where slice in ('medical', 'legal')"""),
-)
+        count(*) filter (n_in > 25) long_count from head where slice in ('medical', 'legal')"""
+
+
+@query("sensitivity_length", sql(_SENSITIVE_LENGTH))
 def sensitivity_length(spark, sf):
     return rounded(evaluate.sensitivity_length(fx.test_split(spark, sf)))
 
 
-@query(
-    "sensitivity_domain",
-    sql(r"""select round(count(distinct w) filter (slice = 'medical') / count(*) filter (slice = 'medical'), 6) medical_output_diversity,
+_SENSITIVE_DOMAIN = r"""select round(count(distinct w) filter (slice = 'medical') / count(*) filter (slice = 'medical'), 6) medical_output_diversity,
         round(count(distinct w) filter (slice = 'legal') / count(*) filter (slice = 'legal'), 6) legal_output_diversity,
         count(distinct hn) filter (slice = 'medical') medical_count, count(distinct hn) filter (slice = 'legal') legal_count
-        from (select slice, hn, unnest(regexp_extract_all("output", '\S+')) w from head)"""),
-)
+        from (select slice, hn, unnest(regexp_extract_all("output", '\S+')) w from head)"""
+
+
+@query("sensitivity_domain", sql(_SENSITIVE_DOMAIN))
 def sensitivity_domain(spark, sf):
     return rounded(evaluate.sensitivity_domain(fx.test_split(spark, sf)))
 
 
-@query(
-    "sensitivity_direction",
-    sql("""select round(avg(n_out) filter (slice = 'en_to_es'), 6) en_to_es_avg_output_len,
+_SENSITIVE_DIRECTION = """select round(avg(n_out) filter (slice = 'en_to_es'), 6) en_to_es_avg_output_len,
         round(avg(n_out) filter (slice = 'es_to_en'), 6) es_to_en_avg_output_len,
         count(*) filter (slice = 'en_to_es') en_to_es_count, count(*) filter (slice = 'es_to_en') es_to_en_count
-        from head"""),
-)
+        from head"""
+
+
+@query("sensitivity_direction", sql(_SENSITIVE_DIRECTION))
 def sensitivity_direction(spark, sf):
     return rounded(evaluate.sensitivity_direction(fx.test_split(spark, sf)))
 
@@ -900,14 +922,56 @@ def bias_flags(spark, sf):
     return rounded(flags.select("slice", "count", F.size("issues").alias("n_issues"), "summary"))
 
 
+_METRICS_TEXT = " || ' ' || ".join(f"printf('%.3f', {name})" for name in STAT_METRICS)
+_BY_METRIC = "list_position([" + ", ".join(f"'{name}'" for name in STAT_METRICS) + "], metric)"
+_BY_SLICE = "list_position([" + ", ".join(f"'{name}'" for name in SLICES) + "], slice)"
+_GAP_VALUES = ", ".join(f"({rank}, '{a}', '{b}', '{c}', {most}, '{label}', '{lt}', '{rt}')" for rank, (a, b, c, most, label, lt, rt) in enumerate(GAP_RULES))
+_BOTH = " || ' ' || ".join(f"(select bool_or(slice = '{a}') and bool_or(slice = '{b}') from rounded)" for a, b, *_ in GAP_RULES)
+
+
 @query(
     "bias_report",
-    sql("""select count(distinct slice) total_slices, count(distinct slice) filter (abs(deviation) > 0.2) biased_slices,
-        count(*) filter (abs(deviation) > 0.2) > 0 bias_detected from scores"""),
+    sql(f"""select (select {_METRICS_TEXT} from rounded where slice = 'overall') overall_stats,
+        (select string_agg(slice || ' ' || {_METRICS_TEXT}, '; ' order by slice) from rounded where slice <> 'overall') slice_stats,
+        (select string_agg(slice || ' ' || metric || ' ' || printf('%.3f', deviation), '; ' order by slice, metric) from scores) bias_scores,
+        0.2::double bias_threshold,
+        (select string_agg(slice || ' ' || "count" || ' ' || metric || ' ' || printf('%.3f', deviation) || ' '
+           || case when deviation > 0 then 'OVER' else 'UNDER' end || ' ' || printf('%.3f', slice_val) || ' ' || printf('%.3f', overall_val), '; '
+           order by {_BY_SLICE}, {_BY_METRIC}) from scores where abs(deviation) > 0.2) bias_flags,
+        (select string_agg(m, '; ' order by k, r) from (
+           select 0 k, {_BY_SLICE} r, 'Slice ' || chr(39) || slice || chr(39) || ' shows bias in: ' || string_agg(metric, ', ' order by {_BY_METRIC}) m
+             from scores where abs(deviation) > 0.2 group by slice
+           union all select 1, rank, label || ' bias detected: ' || lt || '=' || printf('%.3f', l."value") || ' vs ' || rt || '='
+               || printf('%.3f', r."value") || ' (gap=' || printf('%.3f', abs(l."value" - r."value")) || ')'
+             from (values {_GAP_VALUES}) g(rank, a, b, c, most, label, lt, rt)
+             join metrics l on l.slice = a and l.metric = c join metrics r on r.slice = b and r.metric = c where abs(l."value" - r."value") > most)) bias_summary,
+        count(distinct slice) total_slices, count(distinct slice) filter (abs(deviation) > 0.2) biased_slices,
+        count(*) filter (abs(deviation) > 0.2) > 0 bias_detected, {_BOTH} cross_slice_analysis
+        from scores"""),
 )
 def bias_report(spark, sf):
+    """All ten fields; nested ones as text."""
     stats = settle(slices.report_stats(slices.slice_stats(fx.test_split(spark, sf))), "stats")
-    return rounded(slices.bias_report(stats).select("total_slices", "biased_slices", "bias_detected"))
+    number = lambda c: F.format_string("%.3f", c)
+    metrics = lambda r: F.concat_ws(" ", *(number(r[m]) for m in STAT_METRICS))
+    listed = lambda c, text: F.array_join(F.transform(c, text), "; ")
+    scores = lambda e: listed(F.map_entries(e["value"]), lambda x: F.concat_ws(" ", e["key"], x["key"], number(x["value"])))
+    flags = lambda f: listed(f["issues"], lambda x: F.concat_ws(
+        " ", f["slice"], f["count"].cast("string"), x["metric"], number(x["deviation"]), x["direction"], number(x["slice_val"]), number(x["overall_val"])
+    ))
+    report = slices.bias_report(stats).select(
+        metrics(F.col("overall_stats")).alias("overall_stats"),
+        listed(F.map_entries("slice_stats"), lambda e: F.concat_ws(" ", e["key"], metrics(e["value"]))).alias("slice_stats"),
+        listed(F.map_entries("bias_scores"), scores).alias("bias_scores"),
+        "bias_threshold",
+        listed("bias_flags", flags).alias("bias_flags"),
+        F.array_join("bias_summary", "; ").alias("bias_summary"),
+        "total_slices",
+        "biased_slices",
+        "bias_detected",
+        F.concat_ws(" ", *(F.col(f"cross_slice_analysis.{c}_bias").cast("string") for c in ("domain", "direction", "length"))).alias("cross_slice_analysis"),
+    )
+    return rounded(report)
 
 
 @query(
@@ -970,9 +1034,7 @@ def approval_gate(spark, sf):
     return quality.approval_report(fx.splits(spark, sf)).drop("timestamp")
 
 
-@query(
-    "eval_gate",
-    bleu_sql("""select b.slice, b."count", round(l.mean, 6) avg_input_len, case when b."count" >= 2 or b.slice = 'overall'
+_EVAL_SQL = """select b.slice, b."count", round(l.mean, 6) avg_input_len, case when b."count" >= 2 or b.slice = 'overall'
           then round_even(bleu, 2) end bleu,
         case when b.slice <> 'overall' then round_even(abs(l.mean - o.mean) / greatest(o.mean, 1.0), 3) end bias_dev,
         case when b.slice in ('short_sents', 'long_sents') then 2.0::double when b.slice <> 'overall' then 0.5::double end cap,
@@ -980,12 +1042,36 @@ def approval_gate(spark, sf):
           else round_even(abs(l.mean - o.mean) / greatest(o.mean, 1.0), 3)
             < case when b.slice in ('short_sents', 'long_sents') then 2.0 else 0.5 end end passed
         from bleu b join (select slice, avg(n_in) mean from head group by slice) l on l.slice = b.slice,
-          (select avg(n_in) mean from head where slice = 'overall') o"""),
-)
+          (select avg(n_in) mean from head where slice = 'overall') o"""
+
+
+@query("eval_gate", bleu_sql(_EVAL_SQL))
 def eval_gate(spark, sf):
     return rounded(evaluate.eval_report(fx.test_split(spark, sf)))
 
 
+_SUMMARY_SQL = f"""select 'eval' run, 'bleu_proxy_' || slice "key", bleu "value" from report where bleu is not null
+    union all select 'eval', 'bias_length_deviation_' || slice, bias_dev from report where bias_dev is not null"""
+
+
+@query("eval_summary", bleu_sql(f"select * from (with report as ({_EVAL_SQL}) {_SUMMARY_SQL})"))
+def eval_summary(spark, sf):
+    return rounded(evaluate.eval_metrics(evaluate.eval_report(fx.test_split(spark, sf)), "eval"))
+
+
+@query(
+    "sensitivity_report",
+    sql(f"""select round_even(short_length_ratio, 3) short_length_ratio, round_even(medium_length_ratio, 3) medium_length_ratio,
+        round_even(long_length_ratio, 3) long_length_ratio, short_count, medium_count, long_count,
+        round_even(medical_output_diversity, 4) medical_output_diversity, round_even(legal_output_diversity, 4) legal_output_diversity, medical_count,
+        legal_count, round_even(en_to_es_avg_output_len, 3) en_to_es_avg_output_len, round_even(es_to_en_avg_output_len, 3) es_to_en_avg_output_len,
+        en_to_es_count, es_to_en_count from ({_SENSITIVE_LENGTH}), ({_SENSITIVE_DOMAIN}), ({_SENSITIVE_DIRECTION})"""),
+)
+def sensitivity_report(spark, sf):
+    report = evaluate.sensitivity_report(fx.test_split(spark, sf))
+    return rounded(report.select(*(f"{part}_sensitivity.*" for part in ("length", "domain", "direction"))))
+
+
 @query(
     "schema_check",
     sql(f"""select doc_id, pair_no, "input" is null or "input" = '' or "output" is null or "output" = '' missing_field,
@@ -1001,6 +1087,21 @@ def schema_check(spark, sf):
     )
 
 
+@query(
+    "learned_schema_check",
+    sql("""select doc_id, pair_no, "input" is null or "input" = '' or "output" is null or "output" = '' missing_field,
+        "domain" not in (select "domain" from dirty group by 1 having count(*) >= 0.05 * (select count(*) from dirty)) unseen_domain,
+        direction not in (select direction from dirty group by 1 having count(*) >= 0.05 * (select count(*) from dirty)) unseen_direction,
+        not n_in between lo and hi length_out_of_range
+        from dirty_n, (select quantile_disc(n_in, 0.01) lo, quantile_disc(n_in, 0.99) hi from dirty_n)"""),
+)
+def learned_schema_check(spark, sf):
+    """Pairs with anomalies against what is usual among them; values that no setting names are allowed if frequent."""
+    rows = settle(profile.with_lengths(fx.dirty_records(spark, sf)), "dirty")
+    checked = profile.schema_check(rows, settle(profile.learned_schema(rows), "schema"))
+    return checked.select("doc_id", "pair_no", "missing_field", "unseen_domain", "unseen_direction", "length_out_of_range")
+
+
 # ---------------------------------------------------------------- streams and sessions
 
 
@@ -1089,33 +1190,63 @@ def upsert_lines(spark, sf):
     return jobs.read_line_state(spark, out)
 
 
+@query("compact_lines", _LINES_SQL + "select * from state")
+def compact_lines(spark, sf):
+    """The updates in five micro-batches, compacted after the first two and after the fourth."""
+    out, path = fresh_path(spark, "updates"), fresh_path(spark, "line-updates")
+    updates = fx.line_updates(spark, sf)
+    steps = (F.col("seq") >= 4, F.col("seq") < 1, F.col("seq") == 2, F.col("seq") == 1, F.col("seq") == 3)
+    for number, step in enumerate(steps):
+        updates.where(step).coalesce(1).write.mode("append").parquet(path)
+        jobs.stream_line_updates(jobs.read_files(spark, path, updates.schema, files=1), out).awaitTermination()
+        if number in (1, 3):
+            jobs.compact_lines(spark, out)
+    return jobs.read_line_state(spark, out)
+
+
 @query(
     "transcript_export",
     """with n as (select conv_id "session", u.text source, a.text translated,
         row_number() over (partition by u.conv_id order by u.turn) - 1 idx from conversations u
-        left join conversations a using (conv_id) where u.role = 'user' and (a.role = 'assistant' and a.turn = u.turn + 1))
+        left join conversations a on a.conv_id = u.conv_id and a.role = 'assistant' and a.turn = u.turn + 1 where u.role = 'user')
     select "session", idx // 3 page, count(*) "lines", string_agg('[' || (idx + 1) || '] ' || source || chr(10) || '  ' || chr(8594)
-        || ' ' || case when translated = '' then '...' else translated end, chr(10) || chr(10) order by idx) "text"
+        || ' ' || case when coalesce(translated, '') = '' then '...' else translated end, chr(10) || chr(10) order by idx) "text"
         from n group by all""",
 )
 def transcript_export(spark, sf):
-    lines = sessions.turn_pairs(fx.table(spark, sf, "conversations")).withColumnRenamed("conv_id", "session")
+    lines = sessions.turn_pairs(fx.table(spark, sf, "conversations"), unanswered=True).withColumnRenamed("conv_id", "session")
     numbered = sessions.line_index(lines, "session", "turn")
     return rounded(sessions.transcript_export(numbered, page_lines=3))
 
 
-@query(
-    "session_summary",
-    """with g as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minute then 0 else 1 end opens from events
-          window w as (partition by user_id order by ts)),
-        s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) no from g)
-    select user_id "user", min(ts) "start", max(ts) "end", count(*) "events",
-        round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) "seconds" from s group by user_id, no""",
-)
+_SESSIONS_SQL = """
+with g as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minute then 0 else 1 end opens from events
+  window w as (partition by user_id order by ts)),
+s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) no from g),
+sessions as (select user_id "user", min(ts) "start", max(ts) "end", count(*) "events",
+  round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) "seconds" from s group by user_id, no)
+"""
+
+
+@query("session_summary", _SESSIONS_SQL + "select * from sessions")
 def session_summary(spark, sf):
     return rounded(sessions.session_summary(fx.table(spark, sf, "events"), "user_id", "ts"))
 
 
+@query("stream_sessions", _SESSIONS_SQL + 'select "user", "start", "end", events from sessions')
+def stream_sessions(spark, sf):
+    """All events in one micro-batch, then one event long after them, which the watermark follows and closes their sessions."""
+    path, out = fresh_path(spark, "events"), fresh_path(spark, "sessions")
+    events = fx.table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.lit(None).cast("bigint").alias("user_id"), (F.max("ts") + F.expr("interval 1 year")).alias("ts"))
+    for part in (events, last.withColumn("user_id", F.lit(None).cast(events.schema["user_id"].dataType))):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.stream_sessions(jobs.read_files(spark, path, events.schema, files=1), "user_id", "ts")
+    query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{out}/_checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return rounded(spark.read.schema(stream.schema).parquet(out).where("user is not null"))
+
+
 # ---------------------------------------------------------------- user functions
 
 

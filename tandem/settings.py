@@ -40,6 +40,9 @@ class Rules:
     anomaly_drop_threshold: int = 1000
     min_train_records: int = 10_000
     bias_threshold: float = 0.20
+    # A learned schema allows values with this share, and lengths between these quantiles.
+    schema_share: float = 0.05
+    schema_quantiles: tuple[float, float] = (0.01, 0.99)
     # Heads judge only the first so many records of a slice; None judges all.
     eval_head: int | None = None
     eval_slice_head: int | None = None

@@ -6,14 +6,17 @@ twice after a failure leaves the same data as one that runs once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from tandem.operators.monitor import inference_log, value_counts, window_keys, window_report
 from tandem.operators.ranking import running_total
-from tandem.operators.sessions import final_transcripts, latest_lines
+from tandem.operators.sessions import collapse_updates, final_transcripts, line_values, merge_lines
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, pattern: str | None = None, files: int | None = None) -> DataFrame:
@@ -101,13 +104,52 @@ def stream_line_updates(updates: DataFrame, out: str, trigger: dict = NOW) -> St
     """Collapses the line updates of each micro-batch and logs them; `read_line_state` merges on read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_lines(batch).write.mode("overwrite").parquet(f"{out}/updates/batch={batch_id}")
+        collapse_updates(batch).write.mode("overwrite").parquet(f"{out}/updates/batch={batch_id}")
 
     return _each_batch(updates, out, write, "append", trigger)
 
 
+def _compactions(spark: SparkSession, out: str) -> DataFrame:
+    """Committed compactions: (upto, path)."""
+    schema = "upto bigint, path string"
+    try:
+        return spark.read.schema(schema).json(f"{out}/compactions")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _line_tables(spark: SparkSession, out: str) -> tuple[DataFrame, int]:
+    """The last compaction and the micro-batches after it, and its last batch. Batches that it holds are not opened."""
+    last = _compactions(spark, out).orderBy(F.desc("upto"), "path").first()
+    updates = spark.read.parquet(f"{out}/updates")
+    if last is None:
+        return updates.drop("batch"), -1
+    later = updates.where(F.col("batch") > last["upto"]).drop("batch")
+    return spark.read.schema(later.schema).parquet(last["path"]).unionByName(later), last["upto"]
+
+
+def compact_lines(spark: SparkSession, out: str) -> None:
+    """Merges all micro-batches so far into one table, which replaces them for readers once its marker is committed.
+
+    A failure before that leaves readers with what they had. A batch that is replayed later has the content it had, so
+    its place in the compaction stands; late updates are merged by their `seq`, which the table keeps for each field.
+    Replaced batches can be deleted by whoever keeps the storage.
+    """
+    batches = spark.read.parquet(f"{out}/updates").select("batch").distinct()
+    upto = batches.agg(F.max(F.col("batch").cast("bigint"))).first()[0]
+    tables, done = _line_tables(spark, out)
+    if upto is None or upto <= done:
+        return
+    path = f"{out}/compacted/upto={upto}-{uuid.uuid4().hex}"
+    merge_lines(tables).write.parquet(path)
+    spark.createDataFrame([(upto, path)], "upto bigint, path string").coalesce(1).write.mode("append").json(f"{out}/compactions")
+
+
 def read_line_state(spark: SparkSession, out: str) -> DataFrame:
-    return latest_lines(spark.read.parquet(f"{out}/updates").drop("batch"))
+    """The current lines, from the last compaction and the micro-batches after it."""
+    return line_values(merge_lines(_line_tables(spark, out)[0]))
 
 
 def stream_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:

@@ -11,6 +11,7 @@ from tandem.functions import records as rec
 from tandem.operators import bleu, evaluate, profile, quality, slices
 from tandem.settings import STAT_METRICS, Rules
 from tandem.sinks.writers import sink_report
+from tandem.workspace import settle
 
 HAND = [
     {"input": "The patient has a fever", "output": "El paciente tiene fiebre"},
@@ -167,6 +168,35 @@ def test_published_deviations(published):
     }
 
 
+def test_slice_statistics_take_one_scan_and_reports_no_join(spark, records, published):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    stored = settle(records(HAND), "hand")
+    assert plan(slices.slice_stats(stored)).count("Relation [") == 1 and "Join" not in plan(slices.slice_stats(stored))
+    assert "Join" not in plan(slices.bias_report(published)) and plan(slices.bias_report(published)).count("Aggregate") == 1
+    assert "Join" not in plan(profile.profile_report(stored)) and plan(profile.profile_report(stored)).count("Relation [") == 1
+
+
+def test_reports_without_an_overall_row_or_any(spark, published):
+    some = slices.bias_report(published.where("slice <> 'overall'")).first()
+    assert some["overall_stats"] is None and some["bias_scores"] == {} and some["total_slices"] == 6 and not some["bias_detected"]
+    none = slices.bias_report(published.limit(0)).first()
+    assert none["slice_stats"] == {} and none["bias_summary"] == [] and not any(none["cross_slice_analysis"])
+    assert slices.bias_scores(published.limit(0)).count() == slices.cross_slice_gaps(published.limit(0)).count() == 0
+
+
+def test_a_learned_schema_knows_values_that_no_setting_names(records):
+    rows = [{"domain": "news", "input": "w " * n, "output": f"o{n}"} for n in range(1, 101)]
+    rows += [{"domain": "sports", "direction": "fr_to_en", "input": "a b", "output": "x"}] * 2 + [{"domain": None, "input": "", "output": "y"}]
+    schema = profile.learned_schema(records(rows)).first()
+    assert schema["valid_domains"] == ["news"] and schema["valid_directions"] == ["en_to_es"] and schema["total_records"] == 103
+    assert schema["null_counts"]["input"] == 1 and (schema["input_len_stats"]["min"], schema["input_len_stats"]["max"]) == (1, 99)
+    probe = [{"domain": "news"}, {"domain": "medical"}, {"direction": "fr_to_en", "domain": "news"}, {"domain": "news", "input": "w " * 150}]
+    learned = profile.learned_schema(records(rows))
+    got = [tuple(r)[-3:] for r in profile.schema_check(records(probe), learned).orderBy("row_no").collect()]
+    assert got == [(False, False, False), (True, False, False), (False, True, False), (False, False, True)]
+    assert profile.learned_schema(records([{}]).limit(0)).first()["valid_domains"] == []
+
+
 def test_bias_report_document(spark, published, tmp_path):
     sink_report(slices.bias_report(published), f"{tmp_path}/bias")
     report = json.loads(spark.read.text(f"{tmp_path}/bias", wholetext=True).first()[0])

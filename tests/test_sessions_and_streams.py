@@ -220,3 +220,76 @@ def test_inference_log_counts_words(spark):
     schema = "timestamp timestamp, input_text string, translated_text string, direction string, domain string, latency_ms double"
     row = monitor.inference_log(spark.createDataFrame(rows, schema)).first()
     assert (row["input_len"], row["output_len"]) == (3, 1)
+
+
+UPDATES = "session string, idx bigint, seq bigint, source string, translated string, pending boolean"
+
+
+def random_updates(n, seed=4):
+    rnd = random.Random(seed)
+    pick = lambda make: make() if rnd.random() < 0.6 else None
+    return [
+        (f"s{rnd.randrange(4)}", rnd.randrange(6), i, pick(lambda: f"t{rnd.randrange(99)}"), pick(lambda: f"u{rnd.randrange(99)}"), pick(lambda: rnd.random() < 0.5))
+        for i in range(n)
+    ]
+
+
+def plain_lines(rows):
+    state = {}
+    for session, idx, seq, *values in sorted(rows, key=lambda r: r[2]):
+        line = state.setdefault((session, idx), [seq, None, None, None])
+        line[0] = seq
+        for i, value in enumerate(values, 1):
+            line[i] = line[i] if value is None else value
+    return sorted((*k, *v) for k, v in state.items())
+
+
+def test_a_read_after_a_thousand_batches_opens_few_files(spark, tmp_path):
+    """Updates come in any order: late ones are merged by their number, before and after the compaction."""
+    out, rows = str(tmp_path), random_updates(1200)
+    random.Random(1).shuffle(rows)
+    batches = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"{UPDATES}, batch bigint")
+    write = lambda df: sessions.collapse_updates(df.drop("batch"))
+    one_each = batches.select("session", "idx", "seq", *(F.when(F.col(c).isNotNull(), F.struct("seq", F.col(c).alias("value"))).alias(c) for c in sessions.LINE_FIELDS), "batch")
+    one_each.where("batch < 1000").coalesce(1).write.partitionBy("batch").parquet(f"{out}/updates")
+    jobs.compact_lines(spark, out)
+    for number in (1000, 1001):
+        write(batches.where(F.col("batch") % 2 == number % 2).where("batch >= 1000")).write.mode("overwrite").parquet(f"{out}/updates/batch={number}")
+    # A replayed batch that the compaction holds, and one that it does not.
+    write(batches.where("batch = 999")).write.mode("overwrite").parquet(f"{out}/updates/batch=999")
+    write(batches.where("batch >= 1000 and batch % 2 = 1")).write.mode("overwrite").parquet(f"{out}/updates/batch=1001")
+    state = jobs.read_line_state(spark, out)
+    assert sorted(map(tuple, state.collect())) == plain_lines(rows)
+    opened = jobs._line_tables(spark, out)[0].select(F.input_file_name().alias("f")).distinct().count()
+    assert opened <= 20
+    jobs.compact_lines(spark, out)
+    jobs.compact_lines(spark, out)
+    assert sorted(map(tuple, jobs.read_line_state(spark, out).collect())) == plain_lines(rows)
+    assert jobs._compactions(spark, out).count() == 2
+
+
+def test_a_failed_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    out, rows = str(tmp_path), random_updates(60)
+    for number in range(3):
+        part = spark.createDataFrame(rows[number * 20 : number * 20 + 20], UPDATES)
+        sessions.collapse_updates(part).write.parquet(f"{out}/updates/batch={number}")
+    monkeypatch.setattr(jobs.uuid, "uuid4", lambda: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        jobs.compact_lines(spark, out)
+    monkeypatch.undo()
+    assert jobs._compactions(spark, out).count() == 0
+    assert sorted(map(tuple, jobs.read_line_state(spark, out).collect())) == plain_lines(rows)
+
+
+def test_streamed_sessions_drop_only_what_is_later_than_the_watermark(spark, tmp_path):
+    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
+    batches = [[("a", at(0)), ("a", at(20)), ("b", at(5))], [("a", at(90)), ("a", at(40))], [("b", at(400))], [("a", at(395))], [("b", at(10))], [("z", at(5000))]]
+    path, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for rows in batches:
+        spark.createDataFrame(rows, "user string, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.stream_sessions(jobs.read_files(spark, path, spark.read.parquet(path).schema, files=1), "user", "ts")
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}/_c").trigger(availableNow=True).start().awaitTermination()
+    got = sorted((r["user"], r["start"], r["end"], r["events"]) for r in spark.read.parquet(out).collect())
+    # The event of minute 40 is late but within the hour; that of minute 10 comes when its session is closed.
+    want = [("a", at(0), at(40), 3), ("a", at(90), at(90), 1), ("a", at(395), at(395), 1), ("b", at(5), at(5), 1), ("b", at(400), at(400), 1)]
+    assert got == want

@@ -253,6 +253,46 @@ def test_publish_plan_counts_what_is_there(spark, records, tmp_path):
     assert (missing["target"], missing["size_mb"]) == ("version=v9/reports/dataset_approval", 0.0)
 
 
+def lines_below(spark, path, texts):
+    for name, lines in texts.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(2).write.mode("overwrite").text(f"{path}/splits/split={name}")
+
+
+def test_a_failed_publication_leaves_the_one_before(spark, tmp_path, monkeypatch):
+    base, target = f"{tmp_path}/out", f"{tmp_path}/pub"
+    texts = {"train": ["a", "b", "b"], "val": ["c"], "test": ["d", "e"]}
+    lines_below(spark, base, texts)
+    assert writers.published(spark, target, "v1") is None
+    plan = lambda: writers.publish_plan(spark, base, "v1")
+    first = writers.publish(spark, plan(), base, target, "v1")
+    assert first.number == 1 and writers.published(spark, target, "v1", check=True) == first
+    assert {tuple(r) for r in writers.version_status(spark, target, "v1").collect()} == {(f"splits/split={n}", "added") for n in texts}
+    # A dataset is lost while it is copied: some of the others are there already.
+    lines_below(spark, base, {"train": ["new"]})
+    broken = plan().withColumn("found", F.lit(True))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        writers.publish(spark, broken, base, target, "v1")
+    assert writers.published(spark, target, "v1", check=True) == first
+    # A copy that lacks a line is found out before it is committed.
+    honest = writers.dataset_fingerprints
+    monkeypatch.setattr(writers, "dataset_fingerprints", lambda s, root: honest(s, root) if root == base else honest(s, root).withColumn("rows", F.col("rows") - 1))
+    with pytest.raises(ValueError, match="copies of splits/split=test"):
+        writers.publish(spark, plan(), base, target, "v1")
+    monkeypatch.undo()
+    assert writers.published(spark, target, "v1", check=True) == first and bitext.read_lines(spark, f"{first.path}/splits/split=train").count() == 3
+    second = writers.publish(spark, plan(), base, target, "v1")
+    assert second.number == 2 and second.path != first.path and writers.published(spark, target, "v1") == second
+    assert {tuple(r) for r in writers.version_status(spark, target, "v1").collect()} == {("splits/split=train", "modified")}
+    # Lines dealt to other files in another order are the same publication.
+    lines_below(spark, base, {"train": ["new"], "test": ["e", "d"]})
+    assert writers.publish(spark, plan(), base, target, "v1").snapshot == second.snapshot
+    assert writers.version_status(spark, target, "v1").count() == 0
+    # A published file that changed is told.
+    next((tmp_path / "pub/version=v1").glob("build=*/splits/split=val/part-*")).write_text("x\n")
+    spark.createDataFrame([(9, second.path.split("=")[-1], second.snapshot)], "number bigint, build string, snapshot string").write.mode("append").json(f"{target}/version=v1/_commits")
+    assert writers.published(spark, target, "v1").number == 9
+
+
 def test_payload_needs_an_approval(spark):
     schema = "approved boolean, version string, train_records bigint"
     row = writers.handoff_payload(spark.createDataFrame([(True, "v7", 15000)], schema), "s3a://b/data").first()
@@ -270,7 +310,10 @@ def test_whole_run(spark, tmp_path):
     assert published.count() == 1120 and published.where("domain = 'medical'").count() == 640
     names = {p.name for p in (tmp_path / "out/reports").iterdir()}
     assert names >= {"schema", "tfdv_stats_summary", "anomalies", "bias_report", "dataset_approval", "trigger_payload", "snapshot"}
-    approval = json.loads(spark.read.text(f"{tmp_path}/pub/version=v2_approved/reports/dataset_approval", wholetext=True).first()[0])
+    assert names >= {"snapshot_status"}
+    version = writers.published(spark, f"{tmp_path}/pub", "v2_approved", check=True)
+    assert payload["train"] == f"{version.path}/splits/split=train"
+    approval = json.loads(spark.read.text(f"{version.path}/reports/dataset_approval", wholetext=True).first()[0])
     assert approval["approved"] is True and approval["test_records"] == 140
     with pytest.raises(DatasetRejected, match="Train set too small"):
         run_corpus(spark, f"{tmp_path}/manifest", f"{tmp_path}/out2", f"{tmp_path}/pub2", Rules())
