@@ -1206,7 +1206,7 @@ def compact_lines(spark, sf):
 
 @query(
     "transcript_export",
-    """with n as (select conv_id "session", u.text source, a.text translated,
+    """with n as (select u.conv_id "session", u.text source, a.text translated,
         row_number() over (partition by u.conv_id order by u.turn) - 1 idx from conversations u
         left join conversations a on a.conv_id = u.conv_id and a.role = 'assistant' and a.turn = u.turn + 1 where u.role = 'user')
     select "session", idx // 3 page, count(*) "lines", string_agg('[' || (idx + 1) || '] ' || source || chr(10) || '  ' || chr(8594)
