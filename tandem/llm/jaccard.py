@@ -5,9 +5,10 @@
 2. The rest send all their tokens; the shared ones give each set's largest possible partner.
 3. Similar sets are grouped: sets with an equal min-hash are checked against the one among them with the fewest
    tokens of its own, and those that link form one group.
-4. Matrix. Each group's token union is stored, one row per token and group. A set meets the groups of its rarest
-   tokens, the overlap with the union bounds that with every member, and only qualifying groups are opened, where members are
-   checked one by one. Sets of one group are connected already and need no check.
+4. Matrix. Groups, and sets that are alone but share a min-hash, are cut into parts of bounded size. Each part's tokens
+   are stored, one row per token and part, and parts meet where a rare token of one is among those of the other. There a
+   set's overlap with the other part's token union bounds that with every member; only parts that reach the bound are
+   opened, and their sets counted at once. A pair of parts gives as many links as connect its groups, no more.
 
 All bounds are exact, so no link between groups is lost. Tokens and sets stand as 64-bit hashes.
 """
@@ -23,13 +24,15 @@ from pyspark.sql import functions as F
 
 from tandem.llm.components import components
 from tandem.llm.packed import bucket_count, forward_blocks, receive_blocks, rows, runs, send_blocks, text_size
-from tandem.llm.words import WordHashes, mix, small, split_words, text_bytes, window_hashes
+from tandem.llm.words import WordHashes, bounded_batches, mix, small, split_words, text_bytes, window_hashes
 from tandem.workspace import settle
 
 #: Min-hash keys per set in step 3; more keys find more links early, none is needed for the result.
 KEYS = 4
-#: Sets per group of the matrix.
-GROUP = 256
+#: Sets per part of a group, and their tokens.
+GROUP, GROUP_TOKENS = 256, 1 << 17
+#: Tasks over which the rows of one group are dealt in joins.
+SALTS = 32
 BYTES_PER_WORD = 6
 ALL = 2**64 - 1
 
@@ -187,12 +190,6 @@ def _shared_tokens(docs: DataFrame, left: DataFrame, join: Join, buckets: int) -
     return settle(table.where(F.col("largest") * 100 >= F.col("n") * join.percent), "shared")
 
 
-def _fits(join: Join, n: Column, low: Column, high: Column, largest: Column, largest_other: Column) -> Column:
-    """A set of n tokens may link with one of a size between low and high."""
-    p = join.percent
-    return (low <= largest) & (n <= largest_other) & (n * p <= high * 100) & (low * p <= n * 100)
-
-
 def _check(pairs: DataFrame, join: Join) -> DataFrame:
     """Rows of (a, b, n_a, n_b, tokens_a, tokens_b) whose common tokens reach the bound for these sizes."""
 
@@ -210,9 +207,9 @@ def _check(pairs: DataFrame, join: Join) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(verify, "a bigint, b bigint")
 
 
-def _with_tokens(pairs: DataFrame, table: DataFrame, other: DataFrame | None = None) -> DataFrame:
+def _with_tokens(pairs: DataFrame, table: DataFrame) -> DataFrame:
     one = table.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("tokens_a"))
-    two = other if other is not None else table.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("tokens_b"))
+    two = table.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("tokens_b"))
     return pairs.join(one, "a").join(two, "b")
 
 
@@ -240,14 +237,95 @@ def _group(table: DataFrame, join: Join) -> DataFrame:
     return settle(_check(_with_tokens(pairs, table), join), "links")
 
 
+def _salt(sid: str = "sid") -> Column:
+    return F.pmod(F.xxhash64(sid), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    """A small table for each salt, so that the many rows of one of its keys are dealt over SALTS tasks."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+
+
+def _parted(table: DataFrame, groups: DataFrame) -> DataFrame:
+    """`table` with `root` (a set alone is its own) and `part`: similar sets, about GROUP or GROUP_TOKENS tokens of them.
+
+    Sets already linked are similar; of the others those with an equal min-hash are, linked or not. So a crowd of copies
+    of one text that are too far apart for links still makes few parts.
+    """
+
+    def sign(batches):
+        for batch in small(batches):
+            keys = [int(mix(np.frombuffer(t, np.uint64) ^ np.uint64(0xA5A5)).min().astype(np.int64)) for t in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "key"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+    keyed = table.mapInArrow(sign, f"{fields}, key bigint").join(groups.withColumnRenamed("node", "sid"), "sid", "left")
+    alike = F.when(F.col("root").isNull(), F.xxhash64(F.lit("key"), "key")).otherwise(F.xxhash64(F.lit("root"), "root"))
+    keyed = settle(keyed.select("sid", "n", "largest", F.coalesce("root", "sid").alias("root"), alike.alias("alike"), "tokens", "df"), "alike")
+    weight = F.sum(F.octet_length("tokens") / 8) / GROUP_TOKENS
+    cuts = keyed.groupBy("alike").agg(F.ceil(F.greatest(F.count("*") / GROUP, weight)).cast("int").alias("cuts")).where("cuts > 1")
+    cut = keyed.withColumn("salt", _salt()).join(_salted(settle(cuts, "group-cuts")), ["alike", "salt"], "left")
+    part = F.xxhash64("alike", F.pmod(F.xxhash64("sid", F.lit(1)), F.coalesce("cuts", F.lit(1))))
+    return settle(cut.select("sid", "n", "largest", "root", part.alias("part"), "tokens", "df"), "grouped")
+
+
+PACKED = "part bigint, sid binary, n binary, largest binary, root binary, edges binary, tokens binary"
+
+
+def _packed_parts(sets: DataFrame) -> DataFrame:
+    """One row per part: its sets' columns as arrays, and their tokens one after the other."""
+
+    def pack(batches):
+        for batch in small(batches):
+            out = []
+            for members in batch.column("members").to_pylist():
+                numbers = [np.array([m[c] for m in members], np.int64).tobytes() for c in ("sid", "n", "largest", "root")]
+                edges = np.cumsum([0, *(len(m["tokens"]) // 8 for m in members)], dtype=np.int64)
+                out.append((*numbers, edges.tobytes(), b"".join(m["tokens"] for m in members)))
+            columns = [pa.array(c, pa.binary()) for c in (zip(*out, strict=True) if out else [[]] * 6)]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), *columns], ["part", "sid", "n", "largest", "root", "edges", "tokens"])
+
+    members = F.collect_list(F.struct("sid", "n", "largest", "root", "tokens")).alias("members")
+    return sets.groupBy("part").agg(members).mapInArrow(pack, PACKED)
+
+
+def _links_between(one: dict[str, np.ndarray], two: dict[str, np.ndarray], join: Join) -> list[tuple[int, int]]:
+    """Links between sets of two parts, as many as join their roots: what else links them says nothing new."""
+    # The union of the second part, and which of its sets each token stands for.
+    member = np.repeat(np.arange(len(two["n"])), np.diff(two["edges"]))
+    order = np.argsort(two["tokens"], kind="stable")
+    tokens, member = two["tokens"][order], member[order]
+    root = {int(r): int(r) for r in (*one["root"], *two["root"])}
+
+    def top(r: int) -> int:
+        while root[r] != r:
+            root[r] = root[root[r]]
+            r = root[r]
+        return r
+
+    links = []
+    for a in range(len(one["n"])):
+        own, n = one["tokens"][one["edges"][a] : one["edges"][a + 1]], one["n"][a]
+        low, high = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+        # Fewer tokens in the union than any of its sets would have to share: the part stays closed to this set.
+        if np.count_nonzero(high > low) < join.overlap(n, two["n"].min()):
+            continue
+        met = np.concatenate([member[i:j] for i, j in zip(low, high, strict=True)] or [member[:0]])
+        common = np.bincount(met, minlength=len(two["n"]))
+        for b in np.flatnonzero(common >= join.overlap(n, two["n"])):
+            x, y = top(int(one["root"][a])), top(int(two["root"][b]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((int(one["sid"][a]), int(two["sid"][b])))
+    return links
+
+
 def _across(table: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
-    """Links between sets of different groups. `groups` has `node`, `root` for those sets that are not alone."""
-    root = F.coalesce("root", "sid")
-    sets = table.join(groups.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", root).drop("matched")
-    size = sets.groupBy("root").agg(F.count("*").alias("members"))
-    # A large group is cut into parts of about GROUP sets, so a union stays bounded.
-    part = F.xxhash64("root", F.pmod(F.xxhash64("sid"), F.ceil(F.col("members") / GROUP))).alias("part")
-    sets = settle(sets.join(size, "root").select("sid", "n", "largest", "root", part, "tokens", "df"), "grouped")
+    """Links between sets of different groups. `groups` has `node`, `root` for those sets that are not alone.
+
+    Parts meet parts, not sets: what Spark joins grows with the parts of a crowd, and what it passes on with the roots.
+    """
+    sets = _parted(table.drop("matched"), groups)
 
     def rarest(batches):
         """One row for each token among the rarest of a set that any partner must share one of."""
@@ -261,38 +339,42 @@ def _across(table: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
                 source.append(np.full(len(first), k))
             if tokens:
                 source = pa.array(np.concatenate(source))
-                names = ["sid", "n", "largest", "root", "part"]
+                names = ["n", "largest", "root", "part"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).astype(np.int64)), *(batch.column(c).take(source) for c in names)], ["token", *names]
                 )
 
-    prefix = sets.mapInArrow(rarest, "token bigint, sid bigint, n bigint, largest bigint, root bigint, part bigint")
-    between = prefix.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    prefix = settle(prefix.join(between, "token", "left_semi"), "prefix")
-    # The matrix: one row per token and group, with the range of sizes.
+    # The matrix: one row per token and part, with the range of sizes and roots.
+    prefix = sets.mapInArrow(rarest, "token bigint, n bigint, largest bigint, root bigint, part bigint")
     matrix = prefix.groupBy("token", "part").agg(
-        F.first("root").alias("root_b"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("largest_b")
-    )
-    meets = prefix.join(matrix.withColumnRenamed("part", "b"), "token").where(
-        (F.col("root") > F.col("root_b")) & _fits(join, F.col("n"), F.col("low"), F.col("high"), F.col("largest"), F.col("largest_b"))
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("largest"), F.min("root").alias("x"), F.max("root").alias("y")
     )
-    meets = meets.select(F.col("sid").alias("a"), "b").distinct()
-
-    def unite(batches):
-        for batch in small(batches):
-            unions = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in ts])).tobytes() for ts in batch.column("all").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("n_b"), pa.array(unions, pa.binary())], ["b", "n_b", "tokens_b"])
-
-    touched = sets.join(meets.select(F.col("b").alias("part")).distinct(), "part", "left_semi")
-    unions = touched.groupBy(F.col("part").alias("b")).agg(F.min("n").alias("n_b"), F.collect_list("tokens").alias("all"))
-    unions = unions.mapInArrow(unite, "b bigint, n_b bigint, tokens_b binary")
-    opened = _check(_with_tokens(meets, sets, unions), join)
+    matrix = settle(matrix, "matrix")
+    between = matrix.groupBy("token").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x <> y").select("token")
+    matrix = settle(matrix.join(between, "token", "left_semi"), "shared-matrix")
+    other = matrix.withColumnsRenamed({c: f"{c}_b" for c in ("part", "low", "high", "largest", "x", "y")})
+    p = join.percent
+    sizes = F.expr(f"low_b <= largest and low <= largest_b and low * {p} <= high_b * 100 and low_b * {p} <= high * 100")
+    roots = (F.col("x") != F.col("y")) | (F.col("x_b") != F.col("y_b")) | (F.col("x") != F.col("x_b"))
+    meets = matrix.join(other, "token").where((F.col("part") >= F.col("part_b")) & sizes & roots).select("part", "part_b").distinct()
+    meets = settle(meets, "meets")
+
+    touched = meets.select("part").unionByName(meets.select(F.col("part_b").alias("part"))).distinct()
+    parts = settle(_packed_parts(sets.join(touched, "part", "left_semi")), "parts")
+    names = ["sid", "n", "largest", "root", "edges", "tokens"]
+
+    def check(batches):
+        for batch in batches:
+            links = []
+            for k in range(batch.num_rows):
+                one, two = (
+                    {c: np.frombuffer(batch.column(c + end)[k].as_py(), np.uint64 if c == "tokens" else np.int64) for c in names} for end in ("", "_b")
+                )
+                links += _links_between(one, two, join)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    member = sets.select(F.col("part").alias("b"), F.col("sid").alias("c"), F.col("n").alias("m"), F.col("largest").alias("largest_c"))
-    query = sets.select(F.col("sid").alias("a"), "n", "largest")
-    pairs = settle(opened, "opened").join(query, "a").join(member, "b")
-    pairs = pairs.where(_fits(join, F.col("n"), F.col("m"), F.col("m"), F.col("largest"), F.col("largest_c"))).select("a", F.col("c").alias("b"))
-    return _check(_with_tokens(pairs, sets), join)
+    both = meets.join(parts, "part").join(parts.withColumnsRenamed({c: f"{c}_b" for c in ("part", *names)}), "part_b")
+    return both.select(*names, *(f"{c}_b" for c in names)).mapInArrow(check, "a bigint, b bigint")
 
 
 def similar_documents(docs: DataFrame, join: Join = Join(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,6 +383,7 @@ def similar_documents(docs: DataFrame, join: Join = Join(), id: str = "doc_id",
     Null texts and texts without words have the empty set: 0 shingles, no link, their own id. Equal sets are linked and
     handled once. Repeated ids keep their rows; a null id is never the smallest, so a component of null ids has null.
     """
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id).cast("bigint").alias("id"), text_bytes(text).alias("_text"))
     members = settle(_sets(narrow, join), "sets")
     buckets = bucket_count(docs, text_size(docs, text) / BYTES_PER_WORD * 0.25)
@@ -317,8 +400,9 @@ def similar_documents(docs: DataFrame, join: Join = Join(), id: str = "doc_id",
     found = components(links.unionByName(_across(table, groups, join)))
 
     own = members.where("n > 0").groupBy("sid").agg(F.min("id").alias("low"))
-    joined = own.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    lowest = joined.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = settle(joined.join(lowest, "root").select(F.col("sid").alias("_sid"), "component_id"), "labels")
-    out = members.join(label, (F.col("sid") == F.col("_sid")) & (F.col("n") > 0), "left")
+    linked = settle(own.join(found.withColumnRenamed("node", "sid"), "sid").withColumn("salt", _salt()), "linked")
+    lowest = settle(linked.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+    named = linked.join(_salted(lowest), ["root", "salt"]).select("sid", "component_id")
+    label = own.join(named, "sid", "left").select(F.col("sid").alias("_sid"), F.coalesce("component_id", "low").alias("component_id"))
+    out = members.join(settle(label, "labels"), (F.col("sid") == F.col("_sid")) & (F.col("n") > 0), "left")
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -7,11 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MEMO_WORDS = 200_000
 ROWS = 512
+BATCH_BYTES = 4 << 20
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 ODD = np.array(
     [(0x9E3779B97F4A7C15 * (2 * i + 1) + 0xD1B54A32D192ED03 * i * i * 2) % 2**64 | 1 for i in range(128)], dtype=np.uint64
@@ -23,6 +24,14 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit("")).cast("binary")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bytes per Arrow batch to BATCH_BYTES, if they are more: a worker then holds few texts at a time
+    however long they are. The setting stays, since results are computed after the call that builds them."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in slices of ROWS rows, so that few texts at a time become Python values."""
     for batch in batches:

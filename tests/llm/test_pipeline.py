@@ -16,15 +16,19 @@ def order(rows):
 
 
 def plain_copies(rows):
-    """One row of each group of near copies: the one with the smallest id, null ids last; equal rows once."""
-    keyed = [(r[0] if r[0] is not None else (1 << 62) + hash(r[1]) % (1 << 60), r) for r in rows]
-    found = brute.similar([(k, r[1]) for k, r in keyed], 5, 80)
-    kept, seen = [], set()
-    for (k, r), (_, _, low) in zip(keyed, found, strict=True):
-        if k == low and (k, r[1]) not in seen:
-            seen.add((k, r[1]))
-            kept.append((r[0], r[1]))
-    return kept
+    """The groups of near copies, each as the set of (id, text) that may stay: those with the smallest id, null ids last."""
+    rows = sorted({(r[0], r[1]) for r in rows}, key=str)
+    found = brute.similar([(k, r[1]) for k, r in enumerate(rows)], 5, 80)
+    groups = {}
+    for (k, _, low), r in zip(found, rows, strict=True):
+        groups.setdefault(low, []).append(r)
+    least = lambda g: min((r[0] is None, r[0]) for r in g)
+    return [{r for r in g if (r[0] is None, r[0]) == least(g)} for g in groups.values()]
+
+
+def check_copies(found, rows):
+    groups, found = plain_copies(rows), [tuple(r) for r in found.select("doc_id", "text").collect()]
+    assert len(found) == len(groups) and all(sum(r in g for r in found) == 1 for g in groups)
 
 
 @pytest.mark.parametrize("extra", [False, True])
@@ -32,9 +36,19 @@ def test_near_copies(spark, edges, clashing, extra):
     docs = clashing if extra else edges
     found = pipeline.near_copies(spark, docs, SF)
     assert found.columns == docs.columns
-    named = [r for r in order(found.select("doc_id", "text").collect()) if r[0] is not None]
-    assert named == [r for r in order(plain_copies(edge_rows())) if r[0] is not None]
-    assert len(found.collect()) == len(plain_copies(edge_rows()))
+    check_copies(found, edge_rows())
+
+
+def test_near_copies_with_one_id(spark):
+    """An id with several texts, near copies among them and of other ids; null ids with equal and with other texts."""
+    text = [f"word{i}" for i in range(80)]
+    near = [" ".join([*text[:i], "other", *text[i + 1 :]]) for i in (3, 40, 70)]
+    rows = [(5, " ".join(text)), (5, "quite another text"), (3, "quite another text"), (5, near[0]), (5, near[0]), (9, near[1]), (None, near[2])]
+    rows += [(None, "without an id"), (None, "without an id"), (None, None), (None, ""), (7, None), (7, ""), (5, "a third text")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    found = pipeline.near_copies(spark, docs, SF)
+    check_copies(found, rows)
+    assert [r for r in map(tuple, found.select("doc_id", "text").collect()) if r[1] == "quite another text"] == [(3, "quite another text")]
 
 
 def test_stages_one_by_one(spark, clashing):
