@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import tandem
 from tandem.llm import decontaminate, jaccard, mixing, pii, quality
+from tandem.llm.words import bounded_batches
 from tandem.workspace import fresh_path, settle
 
 # Python functions travel with their tasks, so executors need no copy of the package.
@@ -19,8 +20,6 @@ cloudpickle.register_pickle_by_value(tandem)
 
 #: Near copies: five words to a shingle, and a similarity of 0.8.
 NEAR = jaccard.Join(size=5, percent=80)
-#: Keys of documents without an id lie above this.
-NO_ID = 1 << 62
 
 
 def packed(docs: DataFrame) -> F.Column:
@@ -34,23 +33,30 @@ def unpacked(df: DataFrame, docs: DataFrame, **changed) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules or their group's limits reject go; so do those with null or empty text."""
+    bounded_batches(spark)
     return quality.reject(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays. Documents without words are linked with
-    nothing and stay. Of rows that repeat an id and text one stays; a null id counts as larger than all others."""
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(NO_ID)))
-    keyed = docs.select(packed(docs), key.alias("_key"), F.col("text").alias("_text"))
+    """Of each group of linked documents one stays: that with the smallest id, of equal ids that with the smallest hash of
+    its text; a null id counts as larger than all others. Documents without words are linked with nothing and stay. Of
+    rows that repeat an id and text one stays, and rows that share an id alone are documents of their own."""
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.col("text").isNull())
+    keyed = docs.select(packed(docs), key.alias("_key"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     found = jaccard.similar_documents(keyed.select("_key", "_text"), NEAR, id="_key", text="_text")
-    first = found.where("_key = component_id").groupBy(F.col("_key").alias("_first")).agg(F.count("*").alias("_times"))
-    kept = keyed.join(settle(first, "first").hint("shuffle_hash"), F.col("_key") == F.col("_first"))
-    repeated = kept.where("_times > 1").dropDuplicates(["_key", "_text"])
+    group = settle(found.groupBy(F.col("_key").alias("_of")).agg(F.first("component_id").alias("_group"), F.count("*").alias("_times")), "groups")
+    order = F.struct(F.col("_id").isNull().alias("last"), "_id", "_key")
+    ids = keyed.select("_key", "_id").join(group, F.col("_key") == F.col("_of"))
+    first = ids.groupBy("_group").agg(F.min(order).alias("_first"), F.min_by("_times", order).alias("_times")).select("_first._key", "_times")
+    first = settle(first.withColumnRenamed("_key", "_first"), "first")
+    kept = keyed.join(first.hint("shuffle_hash"), F.col("_key") == F.col("_first"))
+    repeated = kept.where("_times > 1").dropDuplicates(["_key"])
     return unpacked(kept.where("_times = 1").unionByName(repeated), docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark, up to the edit budget, go."""
+    bounded_batches(spark)
     rows = docs.select(packed(docs), F.col("text").alias("_text"))
     found = decontaminate.find_passages(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ("_row",), text="_text")
     return unpacked(found.where(F.size("regions") == 0), docs)
@@ -58,6 +64,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each span of personal data is replaced by its kind; n_chars follows the new text."""
+    bounded_batches(spark)
     model = pii.train(pii.label_sample(docs))
     found = pii.find(docs.select(packed(docs), F.col("text").alias("_text")), model, ("_row",), text="_text")
     clean = pii.redacted(found.select("_row", F.col("_row").getField("text").alias("_text"), "spans"), "_text")
