@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tandem.settings import DIRECTIONS, DOMAINS
 
+# Languages and wording of the task sentence, which models are trained on.
 _LANGUAGES = {"en_to_es": ("English", "Spanish"), "es_to_en": ("Spanish", "English")}
 
 

@@ -28,7 +28,7 @@ GAP_RULES = (
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits with the values every report is published with."""
+    """Limits; the defaults are fixed values, with which every report is published."""
 
     min_tokens: int = 3
     max_tokens: int = 200

@@ -43,8 +43,8 @@ def column(spark):
 def record(**changes):
     base = {
         "instruction": "Translate the following medical sentence from English to Spanish.",
-        "input": "The patient has a fever",
-        "output": "El paciente tiene fiebre",
+        "input": "Our clinic closes at seven",
+        "output": "Nuestra consulta cierra temprano",
         "domain": "medical",
         "direction": "en_to_es",
     }

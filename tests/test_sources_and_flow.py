@@ -79,7 +79,7 @@ def test_records_round_trip_and_fail_fast(spark, records, tmp_path):
 
 
 def sources(tmp_path):
-    first = [pair_line(f"The patient number {i} has a fever", f"El paciente número {i} tiene fiebre") for i in range(400)]
+    first = [pair_line(f"Ward number {i} receives visitors every morning", f"La sala {i} recibe visitas temprano") for i in range(400)]
     second = first[:50] + [pair_line(f"Court case {i} opens today", f"El caso {i} abre hoy") for i in range(300)]
     (tmp_path / "med.jsonl").write_text("\n".join([*first, *BAD]), encoding="utf-8")
     (tmp_path / "law.jsonl").write_text("\n".join(second), encoding="utf-8")
