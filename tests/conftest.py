@@ -44,7 +44,7 @@ def record(**changes):
     base = {
         "instruction": "Translate the following medical sentence from English to Spanish.",
         "input": "Our clinic closes at seven",
-        "output": "Nuestra consulta cierra temprano",
+        "output": "El consultorio cierra temprano",
         "domain": "medical",
         "direction": "en_to_es",
     }

@@ -14,7 +14,7 @@ from tandem.sinks.writers import sink_report
 from tandem.workspace import settle
 
 HAND = [
-    {"input": "Our clinic closes at seven", "output": "Nuestra consulta cierra temprano"},
+    {"input": "Our clinic closes at seven", "output": "El consultorio cierra temprano"},
     {"input": "No no no", "output": "no es no"},
     {"input": "Court case 12 opens today", "output": "El caso 12 abre hoy en Court", "domain": "legal"},
 ]
