@@ -112,32 +112,20 @@ def slice_stats(records: DataFrame) -> DataFrame:
         *(F.sum(F.when(F.col("grain") == "cell", F.col(f"_{name}"))).alias(f"_{name}") for name in measures),
     )
 
-    def at(grain: str, value: Column) -> Column:
-        return F.when(F.col("grain") == grain, value)
-
-    sums = []
+    # Written as SQL: there are many of these, and each is one call that way.
+    sums, slices = [], []
     for name in tests:
-        inside = F.col(name) > 0
-        sums.append(F.coalesce(F.sum(at("cell", F.col(name))), F.lit(0)).alias(f"{name}_count"))
-        sums += [F.sum(at("cell", F.when(inside, F.col(f"_{m}")))).alias(f"{name}_{m}") for m in measures]
-        for side in ("input", "output"):
-            diversity = F.count_if(inside & (F.col("grain") == side)) / F.greatest(F.sum(at(side, F.col(name))), F.lit(1))
-            sums.append(F.coalesce(diversity, F.lit(0.0)).alias(f"{name}_{side}"))
-    mean = lambda name, m: F.col(f"{name}_{m}") / F.greatest(F.col(f"{name}_count"), F.lit(1))
-    slices = [
-        F.struct(
-            F.lit(name).alias("slice"),
-            F.col(f"{name}_count").alias("count"),
-            mean(name, "n_in").alias("avg_input_len"),
-            mean(name, "n_out").alias("avg_output_len"),
-            mean(name, "ratio").alias("avg_length_ratio"),
-            F.col(f"{name}_input").alias("input_diversity"),
-            F.col(f"{name}_output").alias("output_diversity"),
-            mean(name, "overlap").alias("avg_word_overlap"),
-        )
-        for name in tests
-    ]
-    return counted.agg(*sums).select(F.inline(F.array(*slices))).where(F.col("count") > 0)
+        sums.append(f"coalesce(sum(if(grain = 'cell', {name}, null)), 0) as {name}_count")
+        sums += [f"sum(if(grain = 'cell' and {name} > 0, _{m}, null)) as {name}_{m}" for m in measures]
+        sums += [
+            f"coalesce(count_if({name} > 0 and grain = '{side}') / greatest(sum(if(grain = '{side}', {name}, null)), 1), 0D) as {name}_{side}"
+            for side in ("input", "output")
+        ]
+        means = [f"{name}_{m} / greatest({name}_count, 1)" for m in measures]
+        values = dict(zip(STAT_METRICS, (*means[:3], f"{name}_input", f"{name}_output", means[3]), strict=True))
+        fields = ", ".join(f"'{metric}', {value}" for metric, value in values.items())
+        slices.append(f"named_struct('slice', '{name}', 'count', {name}_count, {fields})")
+    return counted.agg(*map(F.expr, sums)).select(F.expr(f"inline(array({', '.join(slices)}))")).where("count > 0")
 
 
 def report_stats(stats: DataFrame) -> DataFrame:
@@ -149,13 +137,16 @@ def report_stats(stats: DataFrame) -> DataFrame:
 
 
 def _as_one_row(rounded: DataFrame) -> DataFrame:
-    """The few slice rows as `rows`, in one row: what compares slices needs no join."""
-    return rounded.agg(F.array_sort(F.collect_list(F.struct("slice", "count", *STAT_METRICS))).alias("rows"))
+    """The few slice rows as `rows`, and each of the known ones by itself, in one row: what compares slices needs no join."""
+    one = rounded.agg(F.array_sort(F.collect_list(F.struct("slice", "count", *STAT_METRICS))).alias("rows"))
+    by_name = F.map_from_entries(F.transform("rows", lambda r: F.struct(r["slice"], r)))
+    one = one.withColumn("by_name", by_name)
+    return one.select("rows", *(F.try_element_at("by_name", F.lit(name)).alias(f"_{name}") for name in (OVERALL, *SLICES)))
 
 
 def _row_of(name: str) -> Column:
     """The row of a slice; null if there is none."""
-    return F.get(F.filter("rows", lambda r: r["slice"] == name), F.lit(0))
+    return F.col(f"_{name}")
 
 
 def _others() -> Column:
@@ -249,17 +240,20 @@ def bias_report(rounded: DataFrame, rules: Rules = Rules()) -> DataFrame:
     summary = lambda f: F.concat(
         F.lit("Slice '"), f["slice"], F.lit("' shows bias in: "), F.array_join(F.transform(f["issues"], lambda x: x["metric"]), ", ")
     )
-    one = _as_one_row(rounded).select("rows", F.array_sort(judged).alias("judged"), _gaps().alias("gaps"))
+    one = _as_one_row(rounded).select("*", F.array_sort(judged).alias("judged"), _gaps().alias("gaps"))
     one = one.withColumn("flags", F.filter(F.transform("judged", flag), lambda f: F.size(f["issues"]) > 0))
-    # The rows stand by slice, and metrics by name, as the report has them.
-    per_metric = lambda scores: F.map_from_entries(F.array_sort(F.transform(scores, lambda x: F.struct(x["metric"], x["deviation"]))))
+    # Slices and metrics by name.
+    named = F.array_sort(
+        F.transform("judged", lambda j: F.struct(j["slice"], F.array_sort(F.transform(j["scores"], lambda x: F.struct(x["metric"], x["deviation"]))).alias("scores")))
+    )
+    per_slice = F.transform(named, lambda j: F.struct(j["slice"], F.map_from_entries(j["scores"])))
     both = lambda left, right: _row_of(left).isNotNull() & _row_of(right).isNotNull()
     names = ("domain_bias", "direction_bias", "length_bias")
     slices = F.filter("rows", lambda r: r["slice"] != OVERALL)
     return one.select(
         F.when(_row_of(OVERALL).isNotNull(), stats(_row_of(OVERALL))).alias("overall_stats"),
         F.map_from_entries(F.transform(slices, lambda r: F.struct(r["slice"], stats(r)))).alias("slice_stats"),
-        F.map_from_entries(F.transform(_others(), lambda r: F.struct(r["slice"], per_metric(_scores_of(r, rules))))).alias("bias_scores"),
+        F.map_from_entries(per_slice).alias("bias_scores"),
         F.lit(rules.bias_threshold).alias("bias_threshold"),
         F.col("flags").alias("bias_flags"),
         F.concat(F.transform("flags", summary), F.transform(F.filter("gaps", lambda g: g["detected"]), lambda g: g["message"])).alias("bias_summary"),
