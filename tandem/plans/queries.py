@@ -1219,6 +1219,9 @@ def transcript_export(spark, sf):
     return rounded(sessions.transcript_export(numbered, page_lines=3))
 
 
+#: A reader takes few such files at a time, since opening one counts like some megabytes.
+EVENTS_PER_FILE = 250_000
+
 _SESSIONS_SQL = """
 with g as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minute then 0 else 1 end opens from events
   window w as (partition by user_id order by ts)),
@@ -1235,15 +1238,18 @@ def session_summary(spark, sf):
 
 @query("stream_sessions", _SESSIONS_SQL + 'select "user", "start", "end", events from sessions')
 def stream_sessions(spark, sf):
-    """All events in one micro-batch, then one event long after them, which the watermark follows and closes their sessions."""
+    """All events in one micro-batch, then one event long after them, which the watermark follows and closes their sessions.
+
+    Files of bounded length are read by many tasks, so that none of them holds the sessions of all events.
+    """
     path, out = fresh_path(spark, "events"), fresh_path(spark, "sessions")
     events = fx.table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     last = events.agg(F.lit(None).cast("bigint").alias("user_id"), (F.max("ts") + F.expr("interval 1 year")).alias("ts"))
     for part in (events, last.withColumn("user_id", F.lit(None).cast(events.schema["user_id"].dataType))):
-        part.coalesce(1).write.mode("append").parquet(path)
-    stream = jobs.stream_sessions(jobs.read_files(spark, path, events.schema, files=1), "user_id", "ts")
-    query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{out}/_checkpoint")
-    query.trigger(availableNow=True).start().awaitTermination()
+        part.write.mode("append").option("maxRecordsPerFile", EVENTS_PER_FILE).parquet(path)
+        stream = jobs.stream_sessions(jobs.read_files(spark, path, events.schema), "user_id", "ts")
+        query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{out}/_checkpoint")
+        query.trigger(availableNow=True).start().awaitTermination()
     return rounded(spark.read.schema(stream.schema).parquet(out).where("user is not null"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tandem.functions import records as rec
 from tandem.operators import monitor, sampling, sessions, translate
 from tandem.operators.ranking import running_total
+from tandem.plans import queries
 from tandem.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -293,3 +294,19 @@ def test_streamed_sessions_drop_only_what_is_later_than_the_watermark(spark, tmp
     # The event of minute 40 is late but within the hour; that of minute 10 comes when its session is closed.
     want = [("a", at(0), at(40), 3), ("a", at(90), at(90), 1), ("a", at(395), at(395), 1), ("b", at(5), at(5), 1), ("b", at(400), at(400), 1)]
     assert got == want
+
+
+def test_registered_session_stream_reads_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    """One input file of 1,000 events reaches the stream as many files, all in one micro-batch."""
+    monkeypatch.setattr(queries, "EVENTS_PER_FILE", 100)
+    read, paths = jobs.read_files, []
+    monkeypatch.setattr(jobs, "read_files", lambda s, path, *more, **named: paths.append(path) or read(s, path, *more, **named))
+    rng = random.Random(3)
+    rows = [(rng.randrange(9) or None, T0 + dt.timedelta(seconds=rng.randrange(500_000)) if i % 50 else None) for i in range(1000)]
+    spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = queries.QUERIES["stream_sessions"](spark, str(tmp_path))
+    events = spark.read.parquet(f"{tmp_path}/events.parquet").where("user_id is not null and ts is not null")
+    want = queries.rounded(sessions.session_summary(events, "user_id", "ts")).select("user", "start", "end", "events")
+    assert sorted(got.collect()) == sorted(want.collect())
+    files = spark.read.parquet(paths[-1]).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in files) <= 100 and sum(r["count"] for r in files) == 1001
