@@ -41,7 +41,8 @@ _NEXT = f"[\u0080-\u00BF{_C1_SHOWN}]"
 _LETTER_NEXT = "[\u0080-\u00BF\u0152\u0153\u0160\u0161\u0178\u017D\u017E\u0192]"
 _SURE = f"[\u00C2\u00C3]{_NEXT}|[\u00C4\u00C5]{_LETTER_NEXT}|\u00E2{_NEXT}{{2}}|\u00EF\u00BB\u00BF|\u00F0\u0178{_NEXT}{{2}}"
 _ANY = f"[\u00C2-\u00DF]{_NEXT}|[\u00E0-\u00EF]{_NEXT}{{2}}|[\u00F0-\u00F4]{_NEXT}{{3}}"
-_MOJIBAKE = f"(?:{_ANY}){{2,}}|{_SURE}"
+# Every one of them begins like this, which most places of a text fail at the first character.
+_MOJIBAKE = f"(?=[\u00C2-\u00F4]{_NEXT})(?:(?:{_ANY}){{2,}}|{_SURE})"
 # Marks that combine with the letter before them, and what they make of a Latin letter: the pairs of Unicode.
 _MARKS = "\u0300-\u036F"
 _COMPOSED = {
@@ -51,13 +52,16 @@ _COMPOSED = {
     and unicodedata.combining((pair := "".join(chr(int(x, 16)) for x in parts if "<" not in x))[-1])
 }
 _COMPOSED_NAMES = json.dumps(_COMPOSED)
-_LETTER_AND_MARKS = f"[A-Za-z\u00C0-\u024F\u1E00-\u1EFF{''.join(sorted({pair[0] for pair in _COMPOSED if pair[0] > chr(0x24F)}))}][{_MARKS}]+"
+_LETTER = f"[A-Za-z\u00C0-\u024F\u1E00-\u1EFF{''.join(sorted({pair[0] for pair in _COMPOSED if pair[0] > chr(0x24F)}))}]"
+_LETTER_AND_MARKS = f"{_LETTER}[{_MARKS}]+"
+# Whether there is one is told faster from the mark than from the letter.
+_MARKED = f"[{_MARKS}](?<={_LETTER}[{_MARKS}])"
 # Two scans decide whether a text needs any repair: a cheap one for a single class of few ranges, which
 # nearly all texts end at, and the exact one. The class holds a part of everything that can be repaired.
 _MAY_NEED_REPAIR = "[&\\x00-\\x1F\\x7F-\\xBF\u0132-\uFFFF]"
 _NEEDS_REPAIR = (
-    f"{_ENTITY}|{_MOJIBAKE}|{_LETTER_AND_MARKS}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
-    f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000]"
+    f"(?=[&\\x00-\\x1F\\x7F-\uFFFF])(?:{_ENTITY}|{_MOJIBAKE}|{_MARKED}|[{_CONTROLS}\r\u0080-\u009F\u2028\u2029"
+    f"{_SINGLE_QUOTES}{_DOUBLE_QUOTES}{''.join(_LIGATURES)}\uFF01-\uFF5E\u3000])"
 )
 
 
@@ -126,22 +130,31 @@ def compose_letters(text: Column) -> Column:
         )
         return F.aggregate(marks, start, step, lambda a: F.concat(a["letter"], a["rest"]))
 
-    return F.when(text.rlike(_LETTER_AND_MARKS), _rewoven(text, _LETTER_AND_MARKS, composed)).otherwise(text)
+    return F.when(text.rlike(_MARKED), _rewoven(text, _LETTER_AND_MARKS, composed)).otherwise(text)
+
+
+def _where(text: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """`body` of a text in which the pattern is found, which is what the body is about; other texts as they are."""
+    return let(text, lambda t: F.when(t.rlike(pattern), body(t)).otherwise(t))
+
+
+def _without_ligatures(text: Column) -> Column:
+    for ligature, letters in _LIGATURES.items():
+        text = F.replace(text, F.lit(ligature), F.lit(letters))
+    return text
 
 
 def _repaired(text: Column) -> Column:
     # A text with markup keeps its entities: they are part of the markup.
-    text = let(text, lambda t: F.when(t.contains("<"), t).otherwise(unescape_entities(t)))
-    text = F.translate(let(text, _undo_mojibake), _C1_CODES, _C1_SHOWN)
+    text = let(text, lambda t: F.when(t.contains("<") | ~t.contains("&"), t).otherwise(unescape_entities(t)))
+    text = _where(let(text, _undo_mojibake), "[\u0080-\u009F]", lambda t: F.translate(t, _C1_CODES, _C1_SHOWN))
     text = let(text, compose_letters)
-    for ligature, letters in _LIGATURES.items():
-        text = F.replace(text, F.lit(ligature), F.lit(letters))
-    text = F.translate(text, _FULLWIDTH, _HALFWIDTH)
-    text = F.regexp_replace(text, f"[{_SINGLE_QUOTES}]", "'")
-    text = F.regexp_replace(text, f"[{_DOUBLE_QUOTES}]", '"')
-    text = F.regexp_replace(text, "\r\n|[\r\u0085\u2028\u2029]", "\n")
-    text = F.regexp_replace(text, r"\x1B\[[0-9;]*[a-zA-Z]", "")
-    return F.regexp_replace(text, f"[{_CONTROLS}]", "")
+    text = _where(text, f"[{''.join(_LIGATURES)}]", _without_ligatures)
+    text = _where(text, "[\uFF01-\uFF5E\u3000]", lambda t: F.translate(t, _FULLWIDTH, _HALFWIDTH))
+    text = _where(text, f"[{_SINGLE_QUOTES}{_DOUBLE_QUOTES}]", lambda t: F.regexp_replace(F.regexp_replace(t, f"[{_SINGLE_QUOTES}]", "'"), f"[{_DOUBLE_QUOTES}]", '"'))
+    text = _where(text, "[\r\u0085\u2028\u2029]", lambda t: F.regexp_replace(t, "\r\n|[\r\u0085\u2028\u2029]", "\n"))
+    text = let(text, lambda t: F.when(t.contains("\x1B"), F.regexp_replace(t, r"\x1B\[[0-9;]*[a-zA-Z]", "")).otherwise(t))
+    return _where(text, f"[{_CONTROLS}]", lambda t: F.regexp_replace(t, f"[{_CONTROLS}]", ""))
 
 
 def repair_text(text: Column) -> Column:

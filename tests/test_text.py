@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tandem.functions import text as txt
 from tandem.operators.translate import truncate_tokens
+from tandem.plans.queries import QUERIES
 
 SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
@@ -125,3 +126,20 @@ def test_truncate(column):
 def test_repair_takes_any_reference(column):
     texts = ["don&apos;t", "&#00000065;&#x0000000042;", "&rarr;&nosuch;", "&#99999999999;"]
     assert column(txt.repair_text(F.col("x")), texts) == ["don't", "AB", "\u2192&nosuch;", "&#99999999999;"]
+
+
+def test_damage_is_done_once_per_text(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(["fi 12 \u00e1\u00e9", "a\nb", "", None] * 8)] + [(None, "fi")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["repair_damage"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("fi, \uFB01") == 1
+    assert sorted(map(str, found.collect())) == sorted(str(r) for r in spark.createDataFrame([(d, None if d is None else t) for d, t in rows], found.schema).collect())
+
+
+def test_damage_after_letters_that_need_none(column):
+    """Each kind alone in a text: what decides whether a step runs must know all that the step mends."""
+    pairs = {
+        "x\u00c3\u00a9": "x\u00e9", "e\u0301": "\u00e9", "\u0301e": "\u0301e", "\ufb03": "ffi", "\uff21": "A", "\u3000a": " a", "\u201ca": '"a', "\u2018a": "'a",
+        "a\rb": "a\nb", "a\u0085b": "a\u2026b", "a\u2028b": "a\nb", "\x1b[1ma": "a", "\x07a": "a", "&amp;a": "&a", "&amp;<": "&amp;<", "\u00e9&": "\u00e9&",
+    }
+    assert column(txt.repair_text(F.col("x")), list(pairs)) == list(pairs.values())
