@@ -217,9 +217,10 @@ def tokenize_13a(text: Column) -> Column:
     for entity, char in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         text = F.replace(text, F.lit(entity), F.lit(char))
     text = F.concat(F.lit(" "), text, F.lit(" "))
-    # The spacing patterns published with the 13a tokeniser.
+    # The spacing patterns published with the 13a tokeniser, but for the blank in the first, which sets blanks
+    # around each blank and so changes no token.
     for pattern, spaced in (
-        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+        (r"([\{-\~\[-\`\!-\&\(-\+\:-\@\/])", " $1 "),
         (r"([^0-9])([\.,])", "$1 $2 "),
         (r"([\.,])([^0-9])", " $1 $2"),
         (r"([0-9])(-)", "$1 $2 "),
