@@ -86,6 +86,10 @@ class Counts:
     frequent: np.ndarray
     counts: np.ndarray
 
+    def __iter__(self):
+        """The fields as plain values, in order."""
+        return iter(vars(self).values())
+
     def places(self, tokens: np.ndarray) -> np.ndarray:
         """Place of each token among the frequent words, or -1."""
         at = np.searchsorted(self.frequent, tokens)
@@ -333,7 +337,7 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
     training = texts.where("train")
     total = count_words(training, options, bucket_count(docs, words / 4))
     # Plain values: a class of this package would travel by name, and executors need no copy of it.
-    shared = spark.sparkContext.broadcast(tuple(vars(total).values()))
+    shared = spark.sparkContext.broadcast(tuple(total))
     # A group's texts are scored where the counts of their words and pairs arrive.
     groups = max(2 * spark.sparkContext.defaultParallelism, size // GROUP_BYTES + 1)
     texts = texts.withColumn("place", F.pmod("key", F.lit(groups)).cast("int"))
