@@ -17,11 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.packed import Outbox, block_of, bucket_count, receive_blocks, rows, runs, send_blocks, text_size, unpack
-from tandem.llm.words import WordHashes, mix, small, split_words, text_bytes
+from tandem.llm.packed import Outbox, block_of, bucket_count, receive_blocks, rows, runs, send_blocks, text_size, unpack  # noqa: F401
+from tandem.llm.words import WordHashes, hashed_texts, mix, small, split_words, text_bytes
 from tandem.workspace import settle
 
 CLASSES = INNER = 16
@@ -29,9 +31,10 @@ BINS = CLASSES * INNER
 END, START = np.uint64(0x1D8AF066E1C3B5A7), np.uint64(0x6C62272E07BB0142)
 BYTES_PER_WORD = 6
 CHUNK = 8192
-# Keys a task holds before it merges them; bytes of text in a group.
+# Tokens a task holds before it merges them; bytes of text in a group; largest score whose exponential is taken as it is.
 FEATURES = 2_000_000
 GROUP_BYTES = 16 * 1024 * 1024
+NEAR = 30
 
 
 @dataclass(frozen=True)
@@ -68,6 +71,19 @@ def token_hashes(text: bytes, hashes: WordHashes) -> np.ndarray:
     return np.append(hashes.of(split_words(text, lower=True)), END)
 
 
+def hashed_tokens(batches, column: str = "_text"):
+    """Slices of the batches, each with the tokens of its texts, as `token_hashes` gives them, and the edges of the texts."""
+    for batch, words, edges in hashed_texts(batches, column):
+        yield batch, np.insert(words, edges[1:], END), edges + np.arange(len(edges))
+
+
+def each_text(batches, column: str = "_text"):
+    """The tokens of each text."""
+    for _, tokens, edges in hashed_tokens(batches, column):
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield tokens[i:j]
+
+
 def bin_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(56)).astype(np.int64)
 
@@ -101,14 +117,13 @@ def count_words(texts: DataFrame, options: Options, buckets: int) -> Counts:
     """Exact counts. Only sums per bin and the bounded list of frequent words come to the driver."""
 
     def send(batches, box: Outbox):
-        hashes, held, size = WordHashes(), [], 0
-        for batch in small(batches):
-            for text in batch.column("_text").to_pylist():
-                held.append(token_hashes(text, hashes))
-                size += len(held[-1])
-                if size >= box.flush:
-                    yield from box.add(*np.unique(np.concatenate(held), return_counts=True))
-                    held, size = [], 0
+        held, size = [], 0
+        for tokens in each_text(batches):
+            held.append(tokens)
+            size += len(tokens)
+            if size >= box.flush:
+                yield from box.add(*np.unique(np.concatenate(held), return_counts=True))
+                held, size = [], 0
         if held:
             yield from box.add(*np.unique(np.concatenate(held), return_counts=True))
 
@@ -145,6 +160,13 @@ def pair_keys(one: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(one) * np.uint64(3) + tokens)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each occurs."""
+    keys = np.sort(keys)
+    edges = runs(keys)
+    return keys[edges[:-1]], np.diff(edges)
+
+
 def _totals(keys: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with the sums of their numbers."""
     order = np.argsort(keys, kind="stable")
@@ -153,33 +175,55 @@ def _totals(keys: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (keys[edges], np.add.reduceat(number, edges)) if len(keys) else (keys, number)
 
 
-def count_features(texts: DataFrame, shared, options: Options, groups: int, buckets: int) -> DataFrame:
+def pack_numbers(first: np.uint64, numbers: np.ndarray) -> bytes:
+    """The first key, then of all numbers the first bytes, the second ones and so on, which compress well."""
+    return first.tobytes() + numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_numbers(blocks: list[bytes]) -> np.ndarray:
+    """The numbers of all blocks, by their first keys."""
+    blocks = sorted(blocks, key=lambda x: int.from_bytes(x[:8], "little"))
+    planes = [np.frombuffer(x, np.uint8, offset=8).reshape(8, -1).T for x in blocks]
+    return np.concatenate([np.empty(0, np.int64), *(np.ascontiguousarray(x).view(np.int64).ravel() for x in planes)])
+
+
+def count_features(texts: DataFrame, shared, options: Options, groups: int, buckets: int, keys: bool = True) -> DataFrame:
     """`place`, `kind` 0, `block`: for each group of texts its words that are not frequent and its pairs of successive
     words, by hash, with their counts in all training texts. Rows of place -1 hold in `n` the keys counted in a bucket.
+    Without `keys`, blocks hold for every key of the group, ascending, its count alone (0: in no training text): a group
+    that has its texts knows its keys, and they are most of what would be moved.
 
     Groups and counts meet by the hash, so the table of counts, which grows with the corpus, is never in one place. A
     group asks for a key once, however often it holds it.
     """
+    with_keys = keys
     kinds = ("u8", "i4", "i4")
 
     def send(batches, box):
-        hashes, counts = WordHashes(), Counts(*shared.value)
-        keys, number, parts, held, place = np.empty(0, np.uint64), np.empty(0, np.int32), [], 0, -1
+        counts = Counts(*shared.value)
+        keys, number, held, size, place = np.empty(0, np.uint64), np.empty(0, np.int32), {True: [], False: []}, 0, -1
 
         def merged():
-            found = [np.concatenate(x) for x in zip((keys, number), *parts, strict=True)]
-            return _totals(*found)
-
-        for batch in small(batches):
-            for group, text, train in zip(*(batch.column(c).to_pylist() for c in ("place", "_text", "train")), strict=True):
-                tokens = token_hashes(text, hashes)
-                words = tokens[counts.places(tokens) < 0]
-                wanted = np.concatenate([words, pair_keys(before(tokens, np.zeros(1, np.int64)), tokens)])
-                parts.append((wanted, np.full(len(wanted), train, np.int32)))
-                held, place = held + len(wanted), group
-                if held >= FEATURES:
-                    keys, number = merged()
-                    parts, held = [], 0
+            """What was merged before with the words and pairs held: how often in training texts, once with 0 in others."""
+            found = [(keys, number)]
+            for train, tokens in held.items():
+                words, often = distinct(np.concatenate([np.empty(0, np.uint64), *(x for x, _ in tokens)]))
+                rare = counts.places(words) < 0
+                for some, n in ((words[rare], often[rare]), distinct(np.concatenate([np.empty(0, np.uint64), *(x for _, x in tokens)]))):
+                    found.append((some, n.astype(np.int32) * train))
+            return _totals(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+        for batch, tokens, edges in hashed_tokens(batches):
+            if not batch.num_rows:
+                continue
+            pairs = pair_keys(before(tokens, edges[:-1]), tokens)
+            train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), np.diff(edges))
+            for flag in held:
+                held[flag].append((tokens[train == flag], pairs[train == flag]))
+            size, place = size + len(tokens), batch.column("place")[0].as_py()
+            if size >= FEATURES:
+                keys, number = merged()
+                held, size = {True: [], False: []}, 0
         if place >= 0:
             keys, number = merged()
             for i in range(0, len(keys), box.flush):
@@ -190,11 +234,14 @@ def count_features(texts: DataFrame, shared, options: Options, groups: int, buck
         edges = runs(keys)
         sums = np.add.reduceat(number.astype(np.int64), edges[:-1])
         total = np.repeat(sums, np.diff(edges))
-        known = np.flatnonzero(total)
-        known = known[np.argsort(place[known], kind="stable")]
-        keys, place, total = keys[known], place[known], total[known]
+        if with_keys:
+            known = np.flatnonzero(total)
+            keys, place, total = keys[known], place[known], total[known]
+        # Small numbers are sorted by radix.
+        order = np.argsort(place.astype(np.uint16) if groups <= 1 << 16 else place, kind="stable")
+        keys, place, total = keys[order], place[order], total[order]
         edges = runs(place)
-        blocks = [block_of([keys[i:j], total[i:j]]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        blocks = [block_of([keys[i:j], total[i:j]]) if with_keys else pack_numbers(keys[i], total[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
         at = [int(place[i]) for i in edges[:-1]]
         schema = [("place", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("block", pa.binary())]
         yield from rows([[*at, -1], [0] * (len(at) + 1), [0] * len(at) + [int((sums > 0).sum())], [*blocks, None]], schema, 64)
@@ -233,47 +280,64 @@ class Weights:
         outer, inner = self.features(tokens, first)
         bins, at = bin_of(tokens), np.arange(len(tokens))
         total = np.zeros(len(tokens), np.float32)
+        ones = np.ones(CLASSES, np.float32)
         for table, parts, gold in ((self.outer, outer, bins // INNER), (self.inner, inner, bins % INNER)):
-            score = sum(np.take(table, f, axis=0) for f in parts)
-            score -= np.maximum.reduce(score.T.copy())[:, None]
-            chance = np.exp(score)
-            norm = chance.sum(axis=1)
-            total += score[at, gold] - np.log(norm)
+            score = np.take(table, parts[0], axis=0)
+            for f in parts[1:]:
+                score += np.take(table, f, axis=0)
+            # Exponentials of scores near 0 need no shift.
+            if len(score) and max(score.max(), -score.min()) > NEAR:
+                score -= np.maximum.reduce(score.T.copy())[:, None]
+            total += score[at, gold]
+            chance = np.exp(score, out=score)
+            norm = chance @ ones
+            total -= np.log(norm)
             if learn is not None:
-                chance /= -norm[:, None]
+                chance *= (-1 / norm)[:, None]
                 chance[at, gold] += 1
                 learn(table, parts, chance)
         return total
 
 
 def _improve(weights: Weights, squares: dict[int, np.ndarray], tokens: np.ndarray, first: np.ndarray) -> None:
-    """One AdaGrad step on a batch."""
+    """One AdaGrad step on a batch. Only rows of its features change."""
 
     def learn(table, parts, rest):
-        grad = np.zeros(table.shape, np.float32)
+        used = np.zeros(len(table), bool)
         for f in parts:
-            order = np.argsort(f.astype(np.uint16) if len(table) <= 1 << 16 else f, kind="stable")
-            edges = runs(f[order])[:-1]
-            grad[f[order[edges]]] += np.add.reduceat(rest[order], edges)
+            used[f] = True
+        rows = np.flatnonzero(used)
+        place = np.cumsum(used) - 1
+        columns = np.ascontiguousarray(rest.T, np.float64)
+        grad = np.zeros((table.shape[1], len(rows)))
+        for f in parts:
+            if (f == f[0]).all():
+                grad[:, place[f[0]]] += columns.sum(axis=1)
+                continue
+            at = place[f]
+            for sums, column in zip(grad, columns, strict=True):
+                sums += np.bincount(at, column, len(rows))
+        grad = np.ascontiguousarray(grad.T, np.float32)
         square = squares.setdefault(id(table), np.full(table.shape, 1.0, np.float32))
-        square += grad * grad
+        now = square[rows] + grad * grad
+        square[rows] = now
         grad *= weights.options.rate
-        grad /= np.sqrt(square)
-        table += grad
+        grad /= np.sqrt(now, out=now)
+        table[rows] += grad
 
-    weights.log_chances(tokens, first, learn)
+    if len(tokens):
+        weights.log_chances(tokens, first, learn)
 
 
 def _batches(batches, column: str, size: int):
     """Token arrays of about `size`, with the places where texts begin."""
-    hashes, held, n = WordHashes(), [], 0
-    for batch in small(batches):
-        for text in batch.column(column).to_pylist():
-            held.append(token_hashes(text, hashes))
-            n += len(held[-1])
-            if n >= size:
-                yield np.concatenate(held), np.cumsum([0, *map(len, held[:-1])])
-                held, n = [], 0
+    held, n = [], 0
+    for tokens in each_text(batches, column):
+        held.append(tokens)
+        n += len(tokens)
+        if n >= size:
+            yield np.concatenate(held), np.cumsum([0, *map(len, held[:-1])])
+            held, n = [], 0
     if held:
         yield np.concatenate(held), np.cumsum([0, *map(len, held[:-1])])
 
@@ -341,80 +405,88 @@ def score_documents(docs: DataFrame, options: Options = Options(), id: str = "do
     # A group's texts are scored where the counts of their words and pairs arrive.
     groups = max(2 * spark.sparkContext.defaultParallelism, size // GROUP_BYTES + 1)
     texts = texts.withColumn("place", F.pmod("key", F.lit(groups)).cast("int"))
-    features = settle(count_features(texts, shared, options, groups, bucket_count(docs, words / 2)), "features")
+    features = settle(count_features(texts, shared, options, groups, bucket_count(docs, words / 2), keys=False), "features")
     pairs = features.where("place < 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] - (total.words - len(total.frequent))
     # The model counts as many tokens beside those that followed a word as words follow one on average.
     weight = max(1.0, pairs / max(1, total.words))
     model = spark.sparkContext.broadcast(train(training, options).values)
 
     def score(batches):
-        hashes, counts, weights = WordHashes(), Counts(*shared.value), Weights(options, model.value)
+        counts, weights = Counts(*shared.value), Weights(options, model.value)
         share = np.log10(counts.bin_tokens + options.smooth * (counts.bin_words + 1))
-        parts, keys, found = [], np.empty(0, np.uint64), np.empty(0, np.int64)
-
-        def looked_up(wanted):
-            if not len(keys):
-                return np.zeros(len(wanted), np.int64)
-            # Ascending searches are quicker.
-            wanted, back = np.unique(wanted, return_inverse=True)
-            at = np.searchsorted(keys, wanted)
-            at[at == len(keys)] = 0
-            return np.where(keys[at] == wanted, found[at], 0)[back]
-
-        def counted(tokens):
-            tokens, back = np.unique(tokens, return_inverse=True)
-            places, out = counts.places(tokens), np.zeros(len(tokens), np.int64)
-            often = places >= 0
-            out[often], out[~often] = counts.counts[places[often]], looked_up(tokens[~often])
-            return out[back]
-
+        blocks, places, held, who = [], {}, [np.array([END])], []
         for batch in small(batches):
-            # The group's counts come before its texts.
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
-            parts += [unpack(x, ("u8", "i8")) for x in batch.column("block").slice(0, int((kind == 0).sum())).to_pylist()]
-            batch = batch.slice(int((kind == 0).sum()))
-            if not batch.num_rows:
-                continue
-            if parts:
-                # Buckets are ranges of hashes.
-                parts.sort(key=lambda x: x[0][0])
-                keys, found = (np.concatenate(c) for c in zip(*parts, strict=True))
-                parts = []
-            tokens = [token_hashes(t, hashes) for t in batch.column("_text").to_pylist()]
-            out = np.zeros((3, len(tokens)))
-            k = 0
-            while k < len(tokens):
-                # As many texts as make a batch; one at least.
-                end, size = k, 0
-                while end < len(tokens) and (end == k or size + len(tokens[end]) <= options.batch):
-                    size += len(tokens[end])
-                    end += 1
-                every = np.concatenate(tokens[k:end])
-                first = np.cumsum([0, *map(len, tokens[k : end - 1])])
-                context = np.concatenate([
-                    weights.log_chances(every[i : i + options.batch], np.append(0, first[(first > i) & (first < i + options.batch)] - i))
-                    for i in range(0, len(every), options.batch)
-                ]).astype(np.float64)
-                one = before(every, first)
-                number = counted(every)
-                alone = np.log10(number + options.smooth)
-                # Texts begin as often as they end.
-                history = np.empty_like(number)
-                history[1:] = number[:-1]
-                history[first] = counted(np.array([END]))[0]
-                chance = 10 ** (context / np.log(10) - share[bin_of(every)] + alone)
-                chance = np.log10((looked_up(pair_keys(one, every)) + weight * chance) / (history + weight))
-                for row, value in enumerate((alone, number > 0, chance)):
-                    out[row, k:end] = np.add.reduceat(value.astype(np.float64), first)
-                k = end
-            n = np.array(list(map(len, tokens)), np.int64)
-            columns = [batch.column("_id"), batch.column("train"), pa.array(n), pa.array(out[0]), pa.array(out[1].astype(np.int64)), pa.array(out[2])]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "train", "n", "s", "k", "c"])
+            blocks += batch.column("block").drop_null().to_pylist()
+            batch = batch.filter(pc.equal(batch.column("kind"), 1))
+            # Rows that repeat a text share its tokens.
+            at, new = [], []
+            for i, text in enumerate(batch.column("_text").to_pylist()):
+                digest = xxhash.xxh3_128_digest(text)
+                if digest not in places:
+                    places[digest] = len(places)
+                    new.append(i)
+                at.append(places[digest])
+            who.append((batch.column("_id"), batch.column("train"), np.array(at, np.int64)))
+            held += each_text([batch.select(["_text"]).take(new)])
+        if not places:
+            return
+        # The end alone stands first, for the number of texts.
+        lengths = np.array(list(map(len, held)), np.int64)
+        tokens, edges = np.concatenate(held), np.append(0, np.cumsum(lengths))
+        held.clear()
+        first = edges[:-1]
+        pairs = pair_keys(before(tokens, first), tokens)[1:]
+        # The group's counts come in the order of its keys.
+        order = np.argsort(tokens)
+        bounds = runs(tokens[order])
+        words = tokens[order[bounds[:-1]]]
+        at = counts.places(words)
+        rare = words[at < 0]
+        wanted = np.concatenate([pairs, rare])
+        by_key = np.argsort(wanted)
+        edges_of_keys = runs(wanted[by_key])
+        found = unpack_numbers(blocks)
+        blocks.clear()
+        if len(found) != len(edges_of_keys) - 1:
+            raise RuntimeError(f"{len(found)} counts for {len(edges_of_keys) - 1} words and pairs")
+        numbers = np.empty(len(wanted), np.int64)
+        numbers[by_key] = np.repeat(found, np.diff(edges_of_keys))
+        of_word = np.empty(len(words), np.int64)
+        of_word[at >= 0], of_word[at < 0] = counts.counts[at[at >= 0]], numbers[len(pairs) :]
+        number = np.empty(len(tokens), np.int64)
+        number[order] = np.repeat(of_word, np.diff(bounds))
+        del order, by_key, wanted, found
+        out = np.zeros((3, len(lengths)))
+        k = 1
+        while k < len(lengths):
+            # As many texts as make a batch; one at least.
+            end = max(k + 1, int(np.searchsorted(edges, edges[k] + options.batch, "right")) - 1)
+            i, j = edges[k], edges[end]
+            starts, every, own = edges[k:end] - i, tokens[i:j], number[i:j]
+            context = np.concatenate([
+                weights.log_chances(every[x : x + options.batch], np.append(0, starts[(starts > x) & (starts < x + options.batch)] - x))
+                for x in range(0, len(every), options.batch)
+            ]).astype(np.float64)
+            alone = np.log10(own + options.smooth)
+            # Texts begin as often as they end.
+            history = np.empty_like(own)
+            history[1:] = own[:-1]
+            history[starts] = number[0]
+            chance = np.exp(context + np.log(10) * (alone - share[bin_of(every)]))
+            chance = np.log10((numbers[i - 1 : j - 1] + weight * chance) / (history + weight))
+            for row, value in enumerate((alone, own > 0, chance)):
+                out[row, k:end] = np.add.reduceat(value.astype(np.float64), starts)
+            k = end
+        for ids, train, at in who:
+            if len(at):
+                at = at + 1
+                columns = [ids, train, pa.array(lengths[at]), pa.array(out[0, at]), pa.array(out[1, at].astype(np.int64)), pa.array(out[2, at])]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "train", "n", "s", "k", "c"])
 
     kind = texts.schema["_id"].dataType.simpleString()
     sent = features.where("place >= 0").select("place", "kind", "block", F.lit(None).cast(kind).alias("_id"), F.lit(None).cast("binary").alias("_text"), F.lit(None).cast("boolean").alias("train"))
     sent = sent.unionByName(texts.select("place", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("block"), "_id", "_text", "train"))
-    sent = sent.repartitionById(groups, "place").sortWithinPartitions("kind")
+    sent = sent.repartitionById(groups, "place")
     scored = sent.mapInArrow(score, f"_id {kind}, train boolean, n bigint, s double, k bigint, c double")
     base = float(np.log10(total.tokens + options.smooth * (total.words + 1)))
     return scored.select(
